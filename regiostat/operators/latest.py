@@ -55,9 +55,12 @@ def last_periods(df: DataFrame, n: int, period: str = "period") -> DataFrame:
     return df.select(period).distinct().orderBy(F.col(period).desc()).limit(n)
 
 
-def period_axis(df: DataFrame, period: str = "period") -> Column:
-    """Sorted array of the distinct periods of ``df`` as a scalar column (calendar-sized)."""
-    return scalar_of(df.select(period).distinct(), F.sort_array(F.collect_list(period)))
+def period_axis(df: DataFrame, period: str = "period", last: int | None = None) -> Column:
+    """Sorted array of the (last) distinct periods of ``df`` as a scalar column, calendar-sized."""
+    axis = F.sort_array(F.collect_set(period))
+    if last is not None:
+        axis = F.slice(axis, F.greatest(F.size(axis) - (last - 1), F.lit(1)), last)
+    return scalar_of(df, axis)
 
 
 def year_axis(df: DataFrame, years: int, period: str = "year") -> Column:
