@@ -36,7 +36,7 @@ def _sum(*columns: str) -> str:
 SHEETS["R3_3"] = f"""SELECT period, state,
        {_sum('credit_total', 'rural_credit', 'housing_credit', 'savings', 'time_deposits')}
 FROM v22 GROUP BY 1, 2"""
-SHEETS["R3_4"] = """SELECT * FROM v25 WHERE gdp >= 100000
+SHEETS["R3_4"] = """SELECT * FROM v25 WHERE gdp >= 100
 ORDER BY penetration_rank NULLS LAST, place_id LIMIT 300"""
 # 4
 SHEETS["R4_1"] = f"""SELECT place_id, national_rank, name, state, region, year, gdp, population, gdp_per_capita,

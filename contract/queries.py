@@ -944,6 +944,7 @@ for _number, _name in VIEW_NAMES.items():
 
 QUERIES.update(R.sheets())
 QUERIES["R1_4"] = lambda t: R.quarters(t, since=199901)
+QUERIES["R3_4"] = lambda t: R.top_penetration(t, min_gdp=100)
 QUERIES["R5_4"] = lambda t: R.company_density(t, min_companies=20)
 
 

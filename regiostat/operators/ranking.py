@@ -15,46 +15,58 @@ def with_rank(
 ) -> DataFrame:
     """``rank()`` by ``metric`` descending (NULL last), equal to the plain window function.
 
-    1. count the rows of each distinct value (map-side combine, so ties cost one row);
-    2. put each value in a bucket between approximate cut points: any cut points give the same
-       ranks, because equal values share a bucket;
-    3. rank = rows in better buckets + better rows inside the bucket + 1;
-    4. join the rank back on the value.
+    1. approximate cut points of the metric, as one small array;
+    2. each value between two cut points goes to one bucket, each cut point is a bucket of its
+       own: equal values always share a bucket, so any cut points give the same ranks;
+    3. rows per bucket give the number of better rows outside the bucket;
+    4. the rank inside a bucket is a window over one bucket of one group.
+
+    A value held by many rows is a cut point, and all rows of such a bucket (and all NULLs) tie:
+    their rank needs no window, so they are spread by a salt. ``df`` is read three times, twice
+    for a few columns only; stage it first if it is expensive.
     """
     group = list(group)
-    counts = df.groupBy(*group, metric).agg(F.count(F.lit(1)).alias("_n"))
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = (
-        counts.filter(F.col("_n") > 0)
-        .groupBy(*group)
-        .agg(F.percentile_approx(metric, steps, 1000).alias("_cuts"))
+    cuts = df.agg(F.percentile_approx(metric, steps).alias("c")).scalar()
+    value = F.col(metric)
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        better = F.size(F.filter("_cuts", lambda cut: cut > value))
+        single = value.isNull() | F.array_contains("_cuts", value)
+        return (
+            rows.withColumn("_cuts", cuts)
+            .withColumn("_tie", F.coalesce(single, F.lit(False)))
+            .withColumn(
+                "_bucket",
+                F.when(value.isNull(), 2 * buckets).otherwise(2 * better + F.col("_tie").cast("int")),
+            )
+            .drop("_cuts")
+        )
+
+    sizes = bucketed(df.select(*group, metric)).groupBy(*group, "_bucket").agg(
+        F.count(F.lit(1)).alias("n")
     )
+    per_bucket = F.map_from_entries(F.collect_list(F.struct("_bucket", "n"))).alias("_sizes")
+    rows = bucketed(df)
     if group:
-        placed = counts.join(cuts, group)
+        rows = rows.join(sizes.groupBy(*group).agg(per_bucket), group)
     else:
-        placed = counts.withColumn("_cuts", cuts.scalar())
-    better_cuts = F.size(F.filter("_cuts", lambda cut: cut > F.col(metric)))
-    placed = placed.withColumn(
-        "_bucket", F.when(F.col(metric).isNull(), buckets).otherwise(better_cuts)
-    ).drop("_cuts")
-
-    bucket_rows = placed.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_rows"))
-    up_to_bucket = Window.partitionBy(*group).orderBy("_bucket")
-    offsets = bucket_rows.withColumn(
-        "_offset", F.sum("_rows").over(up_to_bucket) - F.col("_rows")
-    ).drop("_rows")
-
-    inside = Window.partitionBy(*group, "_bucket").orderBy(F.col(metric).desc_nulls_last())
-    ranks = (
-        placed.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
-        .join(offsets, [*group, "_bucket"])
-        .select(*group, metric, (F.col("_offset") + F.col("_before") + 1).alias(out))
-        .alias("r")
+        rows = rows.withColumn("_sizes", sizes.agg(per_bucket).scalar())
+    outside = F.aggregate(
+        F.map_values(F.map_filter("_sizes", lambda k, _: k < F.col("_bucket"))),
+        F.lit(0).cast("long"),
+        lambda total, n: total + n,
+    )
+    salt = F.when(F.col("_tie"), F.xxhash64(*df.columns) % 64).otherwise(0)
+    inside = Window.partitionBy(*group, "_bucket", "_salt").orderBy(value.desc_nulls_last())
+    return (
+        rows.withColumns({"_outside": outside, "_salt": salt})
+        .withColumn("_inside", F.rank().over(inside))
+        .withColumn(
+            out, F.col("_outside") + F.when(F.col("_tie"), 1).otherwise(F.col("_inside"))
+        )
+        .select(*df.columns, out)
     )
-    rows = df.alias("d")
-    on = [F.col(f"d.{k}") == F.col(f"r.{k}") for k in group]
-    on.append(F.col(f"d.{metric}").eqNullSafe(F.col(f"r.{metric}")))
-    return rows.join(ranks, on, "left").select("d.*", f"r.{out}")
 
 
 def local_rank(metric: str, group: Sequence[str]) -> Column:

@@ -46,6 +46,23 @@ def long_series(df: DataFrame, keys: Sequence[str], arrays: Sequence[str], axis:
     ).select(*keys, "series", "position", F.col("_c.period").alias("period"), F.col("_c.value").alias("value"))
 
 
+def by_period(rows: DataFrame, columns: Sequence[str], last: Column | None = None) -> DataFrame:
+    """One row from a national series: ``period`` (the last one) and a period -> values map.
+
+    The map is as long as the calendar; look it up with ``at``.
+    """
+    entry = F.struct(F.col("period"), F.struct(*columns))
+    period = F.max("period") if last is None else last
+    return rows.agg(
+        period.alias("period"), F.map_from_entries(F.collect_list(entry)).alias("_at")
+    )
+
+
+def at(period: Column) -> Column:
+    """Values at ``period`` in a row made by ``by_period``; NULL where the period is absent."""
+    return F.try_element_at("_at", period.cast("int"))
+
+
 def label_values(columns: Mapping[str, str]) -> Column:
     """``[(label, value), ...]`` of the non-null columns, in the given order."""
     pairs = F.array(

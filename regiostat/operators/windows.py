@@ -35,24 +35,6 @@ def with_year_ago(df: DataFrame, keys: Sequence[str], value: str, out: str) -> D
     return df.join(earlier, [*keys, "period"], "left")
 
 
-def with_reference(
-    df: DataFrame, keys: Sequence[str], value: str, ref_period: Column, out: str
-) -> DataFrame:
-    """Value at another period of the same series; ``ref_period`` maps a row to that period."""
-    there = df.select(
-        *[F.col(k) for k in keys], F.col("period").alias("_ref"), F.col(value).alias(out)
-    )
-    here = df.withColumn("_ref", ref_period)
-    return here.join(there, [*keys, "_ref"], "left").drop("_ref")
-
-
-def fill_forward_then_back(c: str, keys: Sequence[str], period: str) -> Column:
-    w = series_window(keys, period)
-    before = F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return F.coalesce(before, after)
-
-
 def share_of_group(
     df: DataFrame, value: str, group: Sequence[str], out: str, digits: int = 2
 ) -> DataFrame:

@@ -64,6 +64,7 @@ def regional_activity(t: TableSet) -> DataFrame:
 
 def credit_detail(t: TableSet) -> DataFrame:
     """Detailed series with the value of the same period one year before (any frequency)."""
+    t.stage("credit_value")
     values = t["credit_value"].select("code", "period", "value")
     dims = t["credit_series"].select(
         "code", "metric", "client", "size", "origin", "region", "modality", "frequency", "unit"
@@ -155,11 +156,13 @@ def state_credit(t: TableSet) -> DataFrame:
 
 
 def latest_population(t: TableSet) -> DataFrame:
+    t.stage("population_ref")
     return at_latest(t["population_ref"], period="year").select("place_id", "population")
 
 
 def place_credit_per_capita(t: TableSet) -> DataFrame:
     """Latest month per place, per capita, ranked in the country and in the state."""
+    t.stage("place_balance", "place_credit")
     now = at_latest(t["place_credit"], t["place_balance"])
     rows = (
         now.join(latest_population(t), "place_id", "left")
@@ -176,6 +179,7 @@ def place_credit_per_capita(t: TableSet) -> DataFrame:
 
 def credit_penetration(t: TableSet) -> DataFrame:
     """Mean credit of the last 12 months over the GDP of the last year, ranked unrounded."""
+    t.stage("place_balance", "place_credit", "place_gdp")
     recent = trailing_year(
         t["place_credit"].select("place_id", "period", "credit_total"), t["place_balance"]
     )

@@ -18,6 +18,7 @@ from regiostat.operators.latest import (
     period_axis,
     year_axis,
 )
+from regiostat.operators.pivot import pivot_max
 from regiostat.operators.ranking import top, top_keys, top_per_group, top_series_and_rest
 from regiostat.operators.statements import broken_totals, with_statement_metrics
 from regiostat.plans.institutions import statement_of
@@ -30,6 +31,10 @@ TOP_PRODUCTS = 12
 TOP_PORTFOLIOS = 5
 PLACE_ACTIVITIES = 6
 STATE_ACTIVITIES = 8
+# Fact tables that the map reads several times.
+MAP_TABLES = [
+    "place_gdp", "population_ref", "place_balance", "place_jobs", "place_company", "insolvency",
+]
 TOP_STATEMENTS = 50
 TOP_FIRM_PORTFOLIOS = 30
 TOP_IN_SEGMENT = 10
@@ -55,22 +60,17 @@ def credit_series_panel(t: TableSet) -> DataFrame:
 
 
 def credit_headline(t: TableSet) -> DataFrame:
-    """Last month against the same month one year before, one row."""
-    panel = t["credit_macro"].select(
-        "period", "balance_total", "rate_total", "default_total", "credit_gdp_pct"
-    )
-    before = panel.select(
-        (F.col("period") + 100).alias("period"), F.col("balance_total").alias("b"),
-        F.col("rate_total").alias("r"), F.col("default_total").alias("d"),
-    )
-    now = at_latest(panel).join(before, "period", "left")
-    return now.select(
-        "period", "balance_total",
-        M.pct_change_nonzero(F.col("balance_total"), F.col("b")).alias("balance_change_12m_pct"),
-        "rate_total", M.point_change(F.col("rate_total"), F.col("r")).alias("rate_change_12m_pp"),
-        "default_total",
-        M.point_change(F.col("default_total"), F.col("d")).alias("default_change_12m_pp"),
-        "credit_gdp_pct",
+    """Last month against the same month one year before, one row from one pass."""
+    columns = ["balance_total", "rate_total", "default_total", "credit_gdp_pct"]
+    one = S.by_period(t["credit_macro"], columns)
+    now, before = S.at(F.col("period")), S.at(F.col("period") - 100)
+    b, r, d = "balance_total", "rate_total", "default_total"
+    return one.select(
+        "period", now[b].alias(b),
+        M.pct_change_nonzero(now[b], before[b]).alias("balance_change_12m_pct"),
+        now[r].alias(r), M.point_change(now[r], before[r]).alias("rate_change_12m_pp"),
+        now[d].alias(d), M.point_change(now[d], before[d]).alias("default_change_12m_pp"),
+        now["credit_gdp_pct"].alias("credit_gdp_pct"),
     )
 
 
@@ -140,6 +140,7 @@ def largest_portfolios_history(
     t: TableSet, total_code: int = C.TOTAL_BALANCE_SERIES, n: int = TOP_PORTFOLIOS
 ) -> DataFrame:
     """Monthly history of the largest products, the rest and the total."""
+    t.stage("credit_value")
     products = leaf_products(t, "SALDO", C.SEARCH_BALANCE)
     label = F.concat(M.with_client(F.col("modality"), F.col("client")))
     chosen = _largest_now(t, products, n).select("code", label.alias("label"))
@@ -150,20 +151,17 @@ def largest_portfolios_history(
 
 def invoice_rate(t: TableSet) -> DataFrame:
     """Invoice discount rate per year and per month at the last period, 12-month change."""
-    values = t["series_value"].filter(
-        F.col("code").isin(C.INVOICE_RATE_YEARLY, C.INVOICE_RATE_MONTHLY)
-    )
-    yearly = values.filter(F.col("code") == C.INVOICE_RATE_YEARLY).select(
-        "period", F.col("value").alias("yearly")
+    units = {"yearly": C.INVOICE_RATE_YEARLY, "monthly": C.INVOICE_RATE_MONTHLY}
+    wide = pivot_max(
+        t["series_value"].filter(F.col("code").isin(list(units.values()))),
+        ["period"], "code", "value", units,
     )
-    monthly = values.filter(F.col("code") == C.INVOICE_RATE_MONTHLY).select(
-        "period", F.col("value").alias("monthly")
-    )
-    before = yearly.select((F.col("period") + 100).alias("period"), F.col("yearly").alias("_b"))
-    now = at_latest(yearly).join(monthly, "period", "left").join(before, "period", "left")
-    return now.select(
-        "period", "yearly", "monthly",
-        M.point_change(F.col("yearly"), F.col("_b")).alias("change_12m_pp"),
+    last = F.max(F.when(F.col("yearly").isNotNull(), F.col("period")))
+    one = S.by_period(wide, list(units), last)
+    now, before = S.at(F.col("period")), S.at(F.col("period") - 100)
+    return one.filter(F.col("period").isNotNull()).select(
+        "period", now["yearly"].alias("yearly"), now["monthly"].alias("monthly"),
+        M.point_change(now["yearly"], before["yearly"]).alias("change_12m_pp"),
     )
 
 
@@ -177,6 +175,7 @@ def total_rate_monthly(t: TableSet) -> DataFrame:
 
 def axes(t: TableSet) -> dict[str, Column]:
     """The shared period axes of the map, each a scalar array."""
+    t.stage(*MAP_TABLES)
     months = HISTORY_MONTHS
     return {
         "gdp": year_axis(t["place_gdp"], HISTORY_YEARS),
@@ -236,6 +235,7 @@ PLACE_HISTORIES = {
 
 
 def place_histories(t: TableSet) -> list[DataFrame]:
+    t.stage(*MAP_TABLES)
     ax = axes(t)
     key = ["place_id"]
     companies = t["place_company"].groupBy("place_id", "year").agg(
@@ -254,6 +254,7 @@ def place_histories(t: TableSet) -> list[DataFrame]:
 
 def place_activities(t: TableSet, n: int = PLACE_ACTIVITIES) -> DataFrame:
     """The largest activities of each place at the last year."""
+    t.stage("place_company")
     rows = at_latest(t["place_companies"], t["place_company"], "year")
     rows = rows.filter(F.col("companies").isNotNull()).select(
         "place_id", "section", "section_name", "companies"
@@ -279,6 +280,7 @@ def _activity_list(rows: DataFrame, key: str) -> DataFrame:
 
 def place_profile(t: TableSet) -> DataFrame:
     """Flat part of the place panel: ranking, coordinates, bands."""
+    t.stage(*MAP_TABLES, "place_gdp_profile")
     dims = t["place"].select("place_id", "lat", "lng", "name_key")
     bands = t["place_size"].select("place_id", "gdp_band", "population_band")
     return t["place_ranking"].join(dims, "place_id").join(bands, "place_id", "left")
@@ -286,6 +288,7 @@ def place_profile(t: TableSet) -> DataFrame:
 
 def place_panel(t: TableSet) -> DataFrame:
     """One nested row per place: profile, six aligned histories, activities, products."""
+    t.stage(*MAP_TABLES, "place_credit", "place_employment", "place_companies", "place_gdp_profile")
     panel = _left_all(
         place_profile(t), "place_id",
         [
@@ -306,6 +309,7 @@ STATE_HISTORIES = {
 
 
 def state_histories(t: TableSet) -> list[DataFrame]:
+    t.stage(*MAP_TABLES, "state_gdp_history")
     ax = axes(t)
     key = ["state"]
     state_of = t["place"].select("place_id", "state")
@@ -464,6 +468,7 @@ def _bn(c: str) -> Column:
 
 def segment_totals(t: TableSet) -> DataFrame:
     """Active institutions with a statement, and their assets, per segment."""
+    t.stage("institution")
     now = at_latest(t["institution"]).filter(F.col("status") == "A")
     return now.join(_assets(t), KEYS, "left").groupBy("segment").agg(
         F.count("total_assets").alias("institutions"), _bn("total_assets")
@@ -482,6 +487,7 @@ def system_evolution(t: TableSet, years: int = RATE_YEARS) -> DataFrame:
 
 def active_institutions(t: TableSet) -> DataFrame:
     """Active institutions of the last quarter with assets, income and yearly return."""
+    t.stage("institution")
     last = latest(t["institution"])
     values = t["statement_value"].filter(F.col("period") == last)
     rows = statement_of(t, values).filter(
@@ -505,6 +511,7 @@ def statement_scope(
     cities: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Keys kept in the history: national top N, or based in a listed state or city; all live."""
+    t.stage("statement_value")
     states = C.FULL_COVERAGE_STATES if states is None else states
     cities = C.FULL_COVERAGE_CITIES if cities is None else cities
     live = at_latest(_assets(t), t["statement_value"])
@@ -553,6 +560,7 @@ def statement_breaks(t: TableSet, **scope) -> DataFrame:
 
 
 def firm_portfolio_totals(t: TableSet, n: int = TOP_FIRM_PORTFOLIOS) -> DataFrame:
+    t.stage("portfolio_value", "institution")
     totals = at_latest(t["portfolio_size"]).filter(F.col("size") == C.FIRM_PORTFOLIO_TOTAL)
     rows = totals.select("inst_id", "name", "state", F.col("value").alias("firm_portfolio"))
     return top(rows, n, _desc("firm_portfolio"), F.col("inst_id"))
@@ -560,6 +568,7 @@ def firm_portfolio_totals(t: TableSet, n: int = TOP_FIRM_PORTFOLIOS) -> DataFram
 
 def firm_portfolio_cells(t: TableSet) -> DataFrame:
     """(inst_id, cut, label, value) of the four cuts of the largest firm portfolios."""
+    t.stage("portfolio_value", "institution")
     keys = firm_portfolio_totals(t).select("inst_id")
     aging = at_latest(t["portfolio_aging"]).filter(F.col("client") == C.CLIENT_FIRM)
 
@@ -601,6 +610,7 @@ def rate_history(t: TableSet, as_of_year: int, years: int = RATE_YEARS) -> DataF
 
     Both segments fall on one cell; the household rate is published if there are two.
     """
+    t.stage("lending_rate")
     start = f"{as_of_year - years}-01-01"
     rows = t["lending_rate"].filter(
         (F.col("start_date") >= start) & F.col("year_rate").isNotNull()
@@ -619,20 +629,17 @@ def rate_history(t: TableSet, as_of_year: int, years: int = RATE_YEARS) -> DataF
 
 def monthly_changes(rows: DataFrame, value: str) -> DataFrame:
     """Changes of the last row against exact periods: month before, last December, a year ago."""
-    series = rows.select("period", F.col(value).alias("value"))
-    now = at_latest(series)
     here = F.col("period")
+    now = S.at(here)[value]
     refs = {
         "month": previous_month(here), "december": december_before(here),
         "year": same_month_last_year(here),
     }
-    for name, ref in refs.items():
-        back = series.select(here.alias("_p"), F.col("value").alias(f"_{name}"))
-        now = now.withColumn("_p", ref).join(back, "_p", "left").drop("_p")
-    return now.select(
-        "period", "value",
+    return S.by_period(rows, [value]).select(
+        "period", now.alias("value"),
         *[
-            M.pct_change(F.col("value"), F.col(f"_{n}"), 1).alias(f"change_{n}_pct") for n in refs
+            M.pct_change(now, S.at(ref)[value], 1).alias(f"change_{name}_pct")
+            for name, ref in refs.items()
         ],
     )
 
@@ -690,23 +697,31 @@ def overview_figures(t: TableSet) -> DataFrame:
             F.col("value").cast("double").alias("value"), "change_pct",
         )
 
-    def steps(df: DataFrame, name: str) -> list[DataFrame]:
-        return [
-            tag(df.withColumn("change_pct", F.col(f"change_{k}_pct")), f"{name}_{k}")
-            for k in ("month", "december", "year")
-        ]
+    def steps(df: DataFrame, name: str) -> DataFrame:
+        changes = F.array(
+            *[
+                F.struct(F.lit(f"{name}_{k}").alias("figure"), F.col(f"change_{k}_pct").alias("change"))
+                for k in ("month", "december", "year")
+            ]
+        )
+        rows = df.select("period", "value", F.explode(changes).alias("c"))
+        return rows.select(
+            "c.figure", F.col("period").cast("int").alias("period"),
+            F.col("value").cast("double").alias("value"), F.col("c.change").alias("change_pct"),
+        )
 
     record = record_credit_gdp(t).withColumn("change_pct", F.lit(None).cast("double"))
     parts = [
-        tag(gdp, "gdp_vs_prev_quarter"), *steps(credit, "credit"), tag(record, "credit_gdp_record"),
+        tag(gdp, "gdp_vs_prev_quarter"), steps(credit, "credit"), tag(record, "credit_gdp_record"),
         tag(yearly("population_ref", "population"), "population"),
-        tag(yearly("place_company", "companies"), "companies"), *steps(jobs, "jobs_12m"),
+        tag(yearly("place_company", "companies"), "companies"), steps(jobs, "jobs_12m"),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def highlights(t: TableSet) -> DataFrame:
     """Best and worst entity of four measures."""
+    t.stage(*MAP_TABLES, "state_scorecard", "place_ranking", "insolvency_state")
     sectors = (
         t["quarter_gdp"].join(gdp_classes(t), "sector").filter(F.col("sector_group") != "AGREGADO")
         .groupBy("sector").agg(S.last_known("rate_vs_prev_year_quarter", "quarter").alias("value"))

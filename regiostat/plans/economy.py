@@ -22,6 +22,7 @@ GDP_AMOUNTS = ["gdp", "taxes", "va_total", *VA_PARTS]
 
 def place_gdp_profile(t: TableSet) -> DataFrame:
     """GDP per place and year: per capita, share in the state, composition, two ranks."""
+    t.stage("place_gdp", "population_ref")
     state_year = Window.partitionBy("state", "year")
     rows = (
         t["place_gdp"].join(t["place"].select("place_id", "name", "state", "region"), "place_id")
@@ -133,6 +134,7 @@ def national_employment(t: TableSet, cut: int = C.NEW_ERA_START) -> DataFrame:
 
 
 def _latest_value_added(t: TableSet) -> DataFrame:
+    t.stage("place_gdp")
     sums = at_latest(t["place_gdp"], period="year").agg(
         *[M.exact_sum(F.col(c)).alias(name) for name, c in C.VALUE_ADDED_SECTORS.items()],
         F.max("year").alias("va_year"),
@@ -141,11 +143,14 @@ def _latest_value_added(t: TableSet) -> DataFrame:
 
 
 def _latest_companies(t: TableSet, *columns: str) -> DataFrame:
-    return at_latest(t["place_company"].select("year", "section", "place_id", *columns), period="year")
+    t.stage("place_company")
+    rows = t["place_company"].select("year", "section", "place_id", *columns)
+    return at_latest(rows, period="year")
 
 
 def _section_jobs(t: TableSet) -> DataFrame:
     """Last 12 months of jobs per section: reduced to divisions before the small join."""
+    t.stage("place_jobs")
     recent = trailing_year(t["place_jobs"].select("period", "division", "net", "hires"))
     by_division = recent.groupBy("division").agg(F.sum("net").alias("n"), F.sum("hires").alias("h"))
     return (
@@ -157,6 +162,7 @@ def _section_jobs(t: TableSet) -> DataFrame:
 
 def sector_crosswalk(t: TableSet) -> DataFrame:
     """Credit, value added, jobs and companies side by side for each consolidated sector."""
+    t.stage("series_value")
     sector_codes = t["series"].filter(F.col("family") == C.FAMILY_SECTOR).select("code")
     sector_values = t["series_value"].join(sector_codes, "code", "left_semi")
     credit = (
@@ -200,6 +206,7 @@ def _left_all(key: str, first: DataFrame, *others: DataFrame) -> DataFrame:
 
 def state_scorecard(t: TableSet) -> DataFrame:
     """One row per state from five sources, each reduced to places before the dimension join."""
+    t.stage("place_gdp", "population_ref", "place_balance", "place_jobs", "place_company")
     state_of = t["place"].select("place_id", "state")
 
     def by_state(per_place: DataFrame, *sums: Column) -> DataFrame:
@@ -292,6 +299,10 @@ def section_by_state(t: TableSet) -> DataFrame:
 
 def place_ranking(t: TableSet) -> DataFrame:
     """One row per place with the latest position of every source."""
+    t.stage(
+        "population_ref", "place_gdp", "place_balance", "place_credit", "place_jobs",
+        "place_company",
+    )
     gdp = at_latest(t["place_gdp_profile"], t["place_gdp"], "year").select(
         "place_id", "gdp", "gdp_per_capita", F.col("national_rank").alias("gdp_rank")
     )

@@ -53,6 +53,7 @@ def quarters(t: TableSet, since: int = 201901) -> DataFrame:
 
 
 def sector_latest(t: TableSet) -> DataFrame:
+    t.stage("series_value")
     return at_latest(t["sector_credit"]).drop("code").orderBy("level", _desc("value"), "name")
 
 
@@ -161,12 +162,14 @@ def companies_by_section(t: TableSet) -> DataFrame:
 
 
 def companies_by_state(t: TableSet) -> DataFrame:
+    t.stage("place_company")
     now = at_latest(t["place_companies"], t["place_company"], "year")
     sums = now.groupBy("year", "state", "section", "section_name").agg(*_sums("companies", "staff"))
     return sums.orderBy("state", _desc("companies"), "section")
 
 
 def top_company_places(t: TableSet, n: int = 300) -> DataFrame:
+    t.stage("place_company_total")
     now = at_latest(t["place_company_total"], period="year")
     rows = now.join(t["place"].select("place_id", "name", "state"), "place_id").select(
         "year", "place_id", "name", "state", "active_companies", "local_units", "staff",
@@ -176,6 +179,7 @@ def top_company_places(t: TableSet, n: int = 300) -> DataFrame:
 
 
 def company_density(t: TableSet, n: int = 300, min_companies: int = 1000) -> DataFrame:
+    t.stage("place_company")
     now = at_latest(t["place_companies"], t["place_company"], "year")
     sums = now.groupBy("year", "place_id", "name", "state").agg(
         *_sums("companies"),
@@ -189,6 +193,7 @@ def company_density(t: TableSet, n: int = 300, min_companies: int = 1000) -> Dat
 
 
 def jobs_by_division(t: TableSet) -> DataFrame:
+    t.stage("place_jobs")
     return at_latest(t["sector_jobs"], t["place_jobs"]).orderBy(_desc("net_12m"), "division")
 
 
@@ -207,6 +212,7 @@ def jobs_by_state(t: TableSet) -> DataFrame:
 
 
 def top_job_places(t: TableSet, n: int = 300) -> DataFrame:
+    t.stage("place_jobs")
     rows = at_latest(t["place_employment"], t["place_jobs"]).select(
         "place_id", "name", "state", "region", "period", "net_12m", "net_12m_per_1000", "hires",
         "leavers",
@@ -307,6 +313,7 @@ KEYS = ["inst_id", "period"]
 
 def segments(t: TableSet) -> DataFrame:
     """Registered and matched institutions per segment: two answers, two names."""
+    t.stage("institution")
     now = at_latest(t["institution"]).filter(F.col("status") == "A")
     assets = t["income_statement"].select(*KEYS, "total_assets", F.lit(1).alias("_hit"))
     return (
@@ -324,6 +331,7 @@ def _statement_now(t: TableSet, column: str) -> DataFrame:
 
     The quarter is read from the account rows, never from the pivoted view.
     """
+    t.stage("statement_value", "institution")
     known = t["statement_value"].filter(
         F.col("account").isin(C.STATEMENT_COLUMNS[column]) & F.col("value").isNotNull()
     )
@@ -353,12 +361,14 @@ def registry(t: TableSet) -> DataFrame:
 
 def largest_portfolios(t: TableSet, n: int = 30) -> DataFrame:
     """Keys of the largest firm portfolios at the last quarter."""
+    t.stage("portfolio_value", "institution")
     sizes = t["portfolio_size"]
     totals = at_latest(sizes).filter(F.col("size") == C.FIRM_PORTFOLIO_TOTAL)
     return top_keys(totals, "inst_id", n, _desc("value"), F.col("inst_id"))
 
 
 def _firm_cut(t: TableSet, view: str, label: str, where: Column) -> DataFrame:
+    t.stage("portfolio_value", "institution")
     rows = at_latest(t[view]).filter(where)
     return rows.join(largest_portfolios(t), "inst_id", "left_semi").select(
         "inst_id", "name", "state", label, "value"
@@ -386,6 +396,7 @@ def firm_by_size(t: TableSet) -> DataFrame:
 
 
 def lending_rates_now(t: TableSet) -> DataFrame:
+    t.stage("lending_rate")
     housing = F.col("modality").ilike(C.HOUSING_PATTERN)
     return at_two_latest(t["lending_rate"], "start_date", housing).select(
         "tax_id8", "institution", "segment", "modality", "month_rate", "year_rate"

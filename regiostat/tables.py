@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regiostat.session import work_folder
+
 Builder = Callable[["TableSet"], DataFrame]
 
 
@@ -20,6 +22,7 @@ class TableSet:
         self.spark = spark
         self._builders = dict(builders)
         self._planned: dict[str, DataFrame] = {}
+        self._stored: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._planned:
@@ -39,6 +42,19 @@ class TableSet:
         """Make ``name`` stand for ``df``; views planned before are planned again on next use."""
         self._builders[name] = lambda _: df
         self._planned.clear()
+        self._stored.add(name)
+
+    def stage(self, *names: str) -> None:
+        """Write tables that a query reads several times to the shared work folder, once.
+
+        A name that already stands for a written table is left alone. The written table cuts the
+        lineage: a lost executor re-reads it instead of repeating the scan and join behind it.
+        """
+        for name in names:
+            if name not in self._stored:
+                path = work_folder(self.spark, name)
+                self[name].write.parquet(path)
+                self.repoint(name, self.spark.read.parquet(path))
 
     def register(self, names: Iterable[str] | None = None) -> None:
         """Expose tables to ``spark.sql`` as temporary views."""
