@@ -8,8 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str = "8", shuffle_partitions: int = 8, work: str | None = None
+) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
+    shared = work or tempfile.mkdtemp(prefix="regiostat-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("regiostat")
@@ -20,6 +23,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

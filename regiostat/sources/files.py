@@ -62,9 +62,12 @@ def good(df: DataFrame) -> DataFrame:
     return df.filter(F.col("corrupt").isNull()).drop("corrupt")
 
 
-def rejects(df: DataFrame) -> DataFrame:
-    """Files that could not be parsed: named and kept, never deleted."""
-    return df.filter(F.col("corrupt").isNotNull()).select("stem", "corrupt").distinct()
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Files that are no JSON at all (error pages): named for a report, never deleted."""
+    files = spark.read.text(path, wholetext=True)
+    return files.filter(F.try_parse_json("value").isNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.lit("corrupt").alias("reason")
+    )
 
 
 def read_envelope(spark: SparkSession, path: str, fields: Mapping[str, str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from regiostat.sources.files import (
     read_header_row_json,
     read_json,
     read_seed,
+    rejects,
 )
 from regiostat.tables import TableSet
 
@@ -189,6 +191,22 @@ def read_outlines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Folders of JSON answers below the raw folder.
+JSON_FOLDERS = ["sidra", "ipea", "sgs", "credito_detalhado", "ifdata", "taxa_juros", "datajud_rj_falencia", "malha_uf"]
+
+
+def raw_rejects(spark: SparkSession, raw: str) -> DataFrame:
+    """Corrupt files of every JSON folder that exists."""
+    found = spark.createDataFrame([], "file string, reason string")
+    for folder in JSON_FOLDERS:
+        try:
+            found = found.unionByName(rejects(spark, f"{raw}/{folder}/*.json"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
+
+
 SEED_SCHEMAS = {
     "division": "division string, section string, section_name string, name string",
     "account": "account string, name string, account_group string",
