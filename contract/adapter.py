@@ -19,7 +19,7 @@ from regiostat.operators.crosswalk import extend_code
 from regiostat.operators.population import reference_population
 from regiostat.operators.titles import CLIENT_TOKENS, TITLE_PATTERNS
 from regiostat.plans.catalogue import VIEWS
-from regiostat.sources.movements import signed_jobs
+from regiostat.sources.movements import finish_jobs, signed_jobs
 from regiostat.tables import TableSet
 
 PLACES = 200
@@ -85,11 +85,6 @@ def pick(values, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def place_code(customer: Column) -> Column:
-    n = customer % PLACES
-    return F.concat(_code6(n), (n % 10).cast("string"))
-
-
 def _code6(n: Column) -> Column:
     return F.lpad(n.cast("string"), 6, "0")
 
@@ -188,8 +183,8 @@ def place_presence(t) -> DataFrame:
     )
 
 
-def job_movement(t) -> DataFrame:
-    """Raw movements: one row per line, with the kind of file it came in."""
+def _moves(t) -> DataFrame:
+    """Movements with plain numbers as keys; codes are formatted on the reduced rows."""
     orders = t["orders"].select(
         F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % PLACES).alias("pl")
     )
@@ -198,23 +193,31 @@ def job_movement(t) -> DataFrame:
     )
     part, number = F.col("l_partkey"), F.col("l_linenumber")
     return lines.join(orders, "l_orderkey").select(
-        P.month_of(F.col("l_shipdate")).alias("period"),
-        _code6(F.col("pl")).alias("place_id6"),
-        F.lpad((part % 99 + 1).cast("string"), 2, "0").alias("division"),
+        P.month_of(F.col("l_shipdate")).alias("period"), "pl", (part % 99 + 1).alias("d"),
         F.when(part % 2 == 0, 1).otherwise(-1).cast("long").alias("movement"),
         F.when(part % 11 != 0, F.col("l_extendedprice")).alias("wage"),
         F.when(number <= 4, "MOV").when(number <= 6, "FOR").otherwise("EXC").alias("kind"),
     )
 
 
+def _move_codes() -> list[Column]:
+    return [
+        _code6(F.col("pl")).alias("place_id6"),
+        F.lpad(F.col("d").cast("string"), 2, "0").alias("division"),
+    ]
+
+
+def job_movement(t) -> DataFrame:
+    """Raw movements: one row per line, with the kind of file it came in."""
+    return _moves(t).select("period", *_move_codes(), "movement", "wage", "kind")
+
+
 def place_jobs(t) -> DataFrame:
-    sums = signed_jobs(t["job_movement"], ["period", "place_id6", "division"])
-    matched, _ = extend_code(sums, t["place"])
+    sums = finish_jobs(signed_jobs(_moves(t), ["period", "pl", "d"]))
+    coded = sums.select("period", *_move_codes(), "hires", "leavers", "net", "mean_wage")
+    matched, _ = extend_code(coded, t["place"])
     return matched.select(
-        "period", "place_id", "division", "hires", "leavers", "net",
-        F.round(
-            F.col("wage_sum") / F.nullif(F.col("wage_count").cast("double"), F.lit(0.0)), 2
-        ).alias("mean_wage"),
+        "period", "place_id", "division", "hires", "leavers", "net", "mean_wage"
     )
 
 
@@ -238,14 +241,14 @@ def _company_lines(t) -> DataFrame:
             "l_returnflag", F.year("l_shipdate").alias("year"),
         )
         .join(orders, "l_orderkey")
-        .withColumn("section", F.chr(65 + (F.col("l_partkey") % 99 + 1) % 21))
+        .withColumn("s", (F.col("l_partkey") % 99 + 1) % 21)
         .withColumn("paid", F.when(F.col("l_returnflag") != "N", F.col("l_quantity")))
     )
 
 
 def place_company(t) -> DataFrame:
     return (
-        _company_lines(t).groupBy("pl", "year", "section")
+        _company_lines(t).groupBy("pl", "year", "s")
         .agg(
             F.count_distinct("l_suppkey").cast("double").alias("companies"),
             F.sum("l_quantity").alias("staff"),
@@ -253,8 +256,8 @@ def place_company(t) -> DataFrame:
             M.money_sum(F.col("l_extendedprice")).alias("wages"),
         )
         .select(
-            _place(), "year", "section", "companies", "staff", "paid_staff",
-            X.thousands(F.col("wages")).alias("wages"),
+            _place(), "year", F.chr(65 + F.col("s")).alias("section"), "companies", "staff",
+            "paid_staff", X.thousands(F.col("wages")).alias("wages"),
         )
     )
 
@@ -501,30 +504,31 @@ def statement_value(t) -> DataFrame:
 def portfolio_value(t) -> DataFrame:
     """Bucket rows of four reports plus a total row per group."""
     number = F.col("l_linenumber")
-    report = (
-        F.when(number <= 2, C.REPORT_HOUSEHOLD_AGING).when(number <= 4, C.REPORT_FIRM_AGING)
-        .when(number == 5, C.REPORT_FIRM_ACTIVITY).otherwise(C.REPORT_FIRM_SIZE)
-    )
-    by_size = report == C.REPORT_FIRM_SIZE
-    group = F.when(~by_size, F.concat(F.lit("Grupo "), (F.col("l_partkey") % 6).cast("string")))
-    bucket = F.floor(F.col("l_quantity") / 8).cast("int")
+    report = F.when(number <= 2, 11).when(number <= 4, 13).when(number == 5, 12).otherwise(14)
     cells = (
         t["lineitem"].groupBy(
-            F.col("l_suppkey").cast("string").alias("inst_id"),
-            P.quarter_end_of(F.col("l_shipdate")).alias("period"),
-            report.alias("report"), group.alias("group"),
-            F.when(by_size, pick(SIZES, bucket)).otherwise(pick(BUCKETS, bucket)).alias("column_name"),
+            "l_suppkey", P.quarter_end_of(F.col("l_shipdate")).alias("period"),
+            report.alias("r"), F.when(number <= 5, F.col("l_partkey") % 6).alias("g"),
+            F.floor(F.col("l_quantity") / 8).cast("int").alias("b"),
         )
         .agg(M.cents_sum(F.col("l_extendedprice")).alias("cents"))
     )
-    total_name = F.when(F.col("report") == C.REPORT_FIRM_SIZE, C.FIRM_PORTFOLIO_TOTAL).otherwise(C.BUCKET_TOTAL)
-    totals = cells.groupBy("inst_id", "period", "report", "group").agg(F.sum("cents").alias("cents"))
-    rows = cells.unionByName(totals.withColumn("column_name", total_name))
-    account = F.concat_ws("|", "report", F.coalesce("group", F.lit("-")), "column_name")
-    return rows.select(
-        "inst_id", "period", "report", "group", account.alias("account"), "column_name",
-        (F.col("cents") / F.lit(100.0)).alias("value"),
+    totals = cells.groupBy("l_suppkey", "period", "r", "g").agg(F.sum("cents").alias("cents"))
+    rows = cells.unionByName(totals.withColumn("b", F.lit(None).cast("int")))
+    by_size = F.col("r") == 14
+    column = (
+        F.when(F.col("b").isNull(), F.when(by_size, C.FIRM_PORTFOLIO_TOTAL).otherwise(C.BUCKET_TOTAL))
+        .when(by_size, pick(SIZES, F.col("b")))
+        .otherwise(pick(BUCKETS, F.col("b")))
     )
+    named = rows.select(
+        F.col("l_suppkey").cast("string").alias("inst_id"), "period",
+        F.col("r").cast("string").alias("report"),
+        F.concat(F.lit("Grupo "), F.col("g").cast("string")).alias("group"),
+        column.alias("column_name"), (F.col("cents") / F.lit(100.0)).alias("value"),
+    )
+    account = F.concat_ws("|", "report", F.coalesce("group", F.lit("-")), "column_name")
+    return named.withColumn("account", account)
 
 
 def lending_rate(t) -> DataFrame:

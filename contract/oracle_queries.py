@@ -712,8 +712,7 @@ SQL["D18_portfolio_cells"] = " UNION ALL ".join(
         _cut_of("v16", "size", "size", "size <> 'Total da Carteira de Pessoa Jurídica'"),
     ]
 )
-SQL["D19_rates_now"] = f"""SELECT modality, year_rate, tax_id8, segment, institution, month_rate,
-  CAST(row_number() OVER (PARTITION BY modality ORDER BY year_rate NULLS FIRST, tax_id8, segment) - 1 AS INTEGER) AS position
+SQL["D19_rates_now"] = f"""SELECT *, rank() OVER (PARTITION BY modality ORDER BY year_rate NULLS LAST) AS position
 FROM ({RATES_NOW})"""
 
 _recent = "(SELECT period, net_12m FROM v30 WHERE net_12m IS NOT NULL ORDER BY period DESC LIMIT 26)"

@@ -1064,14 +1064,7 @@ query("D18_portfolio_totals")(D.firm_portfolio_totals)
 query("D18_portfolio_cells")(D.firm_portfolio_cells)
 
 
-@query("D19_rates_now")
-def _(t):
-    nested = D.rates_by_modality(t).select("modality", F.posexplode("rates").alias("position", "r"))
-    return nested.select(
-        "modality", "position", "r.year_rate", "r.tax_id8", "r.segment", "r.institution", "r.month_rate"
-    )
-
-
+query("D19_rates_now")(D.rates_by_modality)
 QUERIES["D19_rate_history"] = QUERIES["N9_rate_history"]
 query("D20_figures")(D.overview_figures)
 query("D20_highlights")(D.highlights)

@@ -16,20 +16,25 @@ def align(
     values: Mapping[str, str],
     axis: Column,
     period: str = "period",
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per key with one array per value; position i belongs to ``axis[i]``, gaps NULL.
 
+    ``also`` adds named aggregates of the same group.
+
     ``df`` is one row per (key, period). Each key collects one map of its periods and the axis
     is looked up in it: one shuffle, no key x axis product.
     """
     cells = F.struct(*[F.col(c).alias(out) for c, out in values.items()])
     lookup = F.map_from_entries(F.collect_list(F.struct(F.col(period), cells)))
-    per_key = df.groupBy(*keys).agg(lookup.alias("_cells")).withColumn("_axis", axis)
+    grouped = df.groupBy(*keys).agg(lookup.alias("_cells"), *also)
+    extra = [c for c in grouped.columns if c not in (*keys, "_cells")]
+    per_key = grouped.withColumn("_axis", axis)
 
     def series(out: str) -> Column:
         return F.transform("_axis", lambda p: F.try_element_at("_cells", p)[out])
 
-    return per_key.select(*keys, *[series(out).alias(out) for out in values.values()])
+    return per_key.select(*keys, *extra, *[series(out).alias(out) for out in values.values()])
 
 
 def long_series(df: DataFrame, keys: Sequence[str], arrays: Sequence[str], axis: Column):

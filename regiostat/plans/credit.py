@@ -162,7 +162,8 @@ def latest_population(t: TableSet) -> DataFrame:
 
 def place_credit_per_capita(t: TableSet) -> DataFrame:
     """Latest month per place, per capita, ranked in the country and in the state."""
-    t.stage("place_balance", "place_credit")
+    t.stage("place_balance", "place_presence", "population_ref")
+    t.stage("place_credit")
     now = at_latest(t["place_credit"], t["place_balance"])
     rows = (
         now.join(latest_population(t), "place_id", "left")
@@ -179,7 +180,8 @@ def place_credit_per_capita(t: TableSet) -> DataFrame:
 
 def credit_penetration(t: TableSet) -> DataFrame:
     """Mean credit of the last 12 months over the GDP of the last year, ranked unrounded."""
-    t.stage("place_balance", "place_credit", "place_gdp")
+    t.stage("place_balance", "place_presence", "place_gdp")
+    t.stage("place_credit")
     recent = trailing_year(
         t["place_credit"].select("place_id", "period", "credit_total"), t["place_balance"]
     )

@@ -19,7 +19,13 @@ from regiostat.operators.latest import (
     year_axis,
 )
 from regiostat.operators.pivot import pivot_max
-from regiostat.operators.ranking import top, top_keys, top_per_group, top_series_and_rest
+from regiostat.operators.ranking import (
+    top,
+    top_keys,
+    top_per_group,
+    top_series_and_rest,
+    with_rank,
+)
 from regiostat.operators.statements import broken_totals, with_statement_metrics
 from regiostat.plans.institutions import statement_of
 from regiostat.plans.reports import lending_rates_now
@@ -280,7 +286,8 @@ def _activity_list(rows: DataFrame, key: str) -> DataFrame:
 
 def place_profile(t: TableSet) -> DataFrame:
     """Flat part of the place panel: ranking, coordinates, bands."""
-    t.stage(*MAP_TABLES, "place_gdp_profile")
+    t.stage(*MAP_TABLES, "place_presence")
+    t.stage("place_gdp_profile")
     dims = t["place"].select("place_id", "lat", "lng", "name_key")
     bands = t["place_size"].select("place_id", "gdp_band", "population_band")
     return t["place_ranking"].join(dims, "place_id").join(bands, "place_id", "left")
@@ -288,7 +295,8 @@ def place_profile(t: TableSet) -> DataFrame:
 
 def place_panel(t: TableSet) -> DataFrame:
     """One nested row per place: profile, six aligned histories, activities, products."""
-    t.stage(*MAP_TABLES, "place_credit", "place_employment", "place_companies", "place_gdp_profile")
+    t.stage(*MAP_TABLES, "place_presence")
+    t.stage("place_credit", "place_employment", "place_companies", "place_gdp_profile")
     panel = _left_all(
         place_profile(t), "place_id",
         [
@@ -309,7 +317,8 @@ STATE_HISTORIES = {
 
 
 def state_histories(t: TableSet) -> list[DataFrame]:
-    t.stage(*MAP_TABLES, "state_gdp_history")
+    t.stage(*MAP_TABLES)
+    t.stage("state_gdp_history")
     ax = axes(t)
     key = ["state"]
     state_of = t["place"].select("place_id", "state")
@@ -511,7 +520,7 @@ def statement_scope(
     cities: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Keys kept in the history: national top N, or based in a listed state or city; all live."""
-    t.stage("statement_value")
+    t.stage("statement_value", "institution")
     states = C.FULL_COVERAGE_STATES if states is None else states
     cities = C.FULL_COVERAGE_CITIES if cities is None else cities
     live = at_latest(_assets(t), t["statement_value"])
@@ -541,11 +550,11 @@ def statement_history(t: TableSet, **scope) -> DataFrame:
     rows = scoped_statements(t, **scope)
     inside = rows.filter(F.array_contains(axis, F.col("period")))
     known = F.when(F.col("name").isNotNull(), F.col("period"))
-    attributes = inside.groupBy("inst_id").agg(
-        F.max_by(F.struct("name", "segment", "state", "status"), known).alias("a")
-    ).select("inst_id", "a.*")
-    histories = S.align(inside, ["inst_id"], {c: f"hist_{c}" for c in STATEMENT_FIELDS}, axis)
-    return attributes.join(histories, "inst_id")
+    names = ["name", "segment", "state", "status"]
+    last = F.max_by(F.struct(*names), known).alias("_last")
+    columns = {c: f"hist_{c}" for c in STATEMENT_FIELDS}
+    rows = S.align(inside, ["inst_id"], columns, axis, also=[last])
+    return rows.select("inst_id", *[f"_last.{c}" for c in names], *columns.values())
 
 
 def statement_ranking(t: TableSet, **scope) -> DataFrame:
@@ -599,10 +608,12 @@ def firm_portfolios(t: TableSet) -> DataFrame:
 
 
 def rates_by_modality(t: TableSet) -> DataFrame:
-    """Current rates as one list per modality, cheapest first."""
-    now = lending_rates_now(t)
-    entry = F.struct("year_rate", "tax_id8", "segment", "institution", "month_rate")
-    return now.groupBy("modality").agg(F.sort_array(F.collect_list(entry)).alias("rates"))
+    """Current rates with their place in the modality, cheapest first, missing rates last.
+
+    A modality may hold a large part of all institutions, so it stays rows, not one list.
+    """
+    now = lending_rates_now(t).withColumn("_cheap", -F.col("year_rate"))
+    return with_rank(now, "_cheap", "position", ["modality"]).drop("_cheap")
 
 
 def rate_history(t: TableSet, as_of_year: int, years: int = RATE_YEARS) -> DataFrame:
@@ -721,7 +732,8 @@ def overview_figures(t: TableSet) -> DataFrame:
 
 def highlights(t: TableSet) -> DataFrame:
     """Best and worst entity of four measures."""
-    t.stage(*MAP_TABLES, "state_scorecard", "place_ranking", "insolvency_state")
+    t.stage(*MAP_TABLES, "place_presence")
+    t.stage("state_scorecard", "place_ranking", "insolvency_state")
     sectors = (
         t["quarter_gdp"].join(gdp_classes(t), "sector").filter(F.col("sector_group") != "AGREGADO")
         .groupBy("sector").agg(S.last_known("rate_vs_prev_year_quarter", "quarter").alias("value"))

@@ -16,6 +16,8 @@ from regiostat.operators.ranking import local_rank, with_rank
 from regiostat.plans.credit import latest_population
 from regiostat.tables import TableSet
 
+# Fact tables that the scorecards read several times.
+SCORECARD_TABLES = ["population_ref", "place_gdp", "place_balance", "place_jobs", "place_company"]
 VA_PARTS = ["va_agri", "va_industry", "va_services", "va_public"]
 GDP_AMOUNTS = ["gdp", "taxes", "va_total", *VA_PARTS]
 
@@ -162,7 +164,7 @@ def _section_jobs(t: TableSet) -> DataFrame:
 
 def sector_crosswalk(t: TableSet) -> DataFrame:
     """Credit, value added, jobs and companies side by side for each consolidated sector."""
-    t.stage("series_value")
+    t.stage("series_value", "place_gdp", "place_jobs", "place_company")
     sector_codes = t["series"].filter(F.col("family") == C.FAMILY_SECTOR).select("code")
     sector_values = t["series_value"].join(sector_codes, "code", "left_semi")
     credit = (
@@ -206,7 +208,7 @@ def _left_all(key: str, first: DataFrame, *others: DataFrame) -> DataFrame:
 
 def state_scorecard(t: TableSet) -> DataFrame:
     """One row per state from five sources, each reduced to places before the dimension join."""
-    t.stage("place_gdp", "population_ref", "place_balance", "place_jobs", "place_company")
+    t.stage(*SCORECARD_TABLES)
     state_of = t["place"].select("place_id", "state")
 
     def by_state(per_place: DataFrame, *sums: Column) -> DataFrame:
@@ -270,6 +272,7 @@ def state_gdp_history(t: TableSet) -> DataFrame:
 
 
 def section_scorecard(t: TableSet) -> DataFrame:
+    t.stage("place_jobs", "place_company")
     firms = _latest_companies(t, "companies", "staff", "wages").groupBy("section").agg(
         *[M.exact_sum(F.col(c)).alias(c) for c in ["companies", "staff", "wages"]]
     )
@@ -299,10 +302,8 @@ def section_by_state(t: TableSet) -> DataFrame:
 
 def place_ranking(t: TableSet) -> DataFrame:
     """One row per place with the latest position of every source."""
-    t.stage(
-        "population_ref", "place_gdp", "place_balance", "place_credit", "place_jobs",
-        "place_company",
-    )
+    t.stage(*SCORECARD_TABLES, "place_presence")
+    t.stage("place_credit")
     gdp = at_latest(t["place_gdp_profile"], t["place_gdp"], "year").select(
         "place_id", "gdp", "gdp_per_capita", F.col("national_rank").alias("gdp_rank")
     )

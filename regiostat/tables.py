@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +48,21 @@ class TableSet:
     def stage(self, *names: str) -> None:
         """Write tables that a query reads several times to the shared work folder, once.
 
-        A name that already stands for a written table is left alone. The written table cuts the
+        A name that already stands for a written table is left alone. The tables of one call are
+        written side by side, so they must not build on each other. A written table cuts the
         lineage: a lost executor re-reads it instead of repeating the scan and join behind it.
         """
-        for name in names:
-            if name not in self._stored:
-                path = work_folder(self.spark, name)
-                self[name].write.parquet(path)
-                self.repoint(name, self.spark.read.parquet(path))
+        todo = {
+            name: (self[name], work_folder(self.spark, name))
+            for name in dict.fromkeys(names)
+            if name not in self._stored
+        }
+        if not todo:
+            return
+        with ThreadPoolExecutor(max_workers=len(todo)) as jobs:
+            list(jobs.map(lambda job: job[0].write.parquet(job[1]), todo.values()))
+        for name, (_, path) in todo.items():
+            self.repoint(name, self.spark.read.parquet(path))
 
     def register(self, names: Iterable[str] | None = None) -> None:
         """Expose tables to ``spark.sql`` as temporary views."""
