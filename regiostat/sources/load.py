@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,16 +193,14 @@ def read_outlines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# Folders of JSON answers below the raw folder.
-JSON_FOLDERS = ["sidra", "ipea", "sgs", "credito_detalhado", "ifdata", "taxa_juros", "datajud_rj_falencia", "malha_uf"]
-
-
-def raw_rejects(spark: SparkSession, raw: str) -> DataFrame:
-    """Corrupt files of every JSON folder that exists."""
+def raw_rejects(spark: SparkSession, raw: str, layout: Mapping[str, str] | None = None) -> DataFrame:
+    """Corrupt files of every JSON source that exists."""
     found = spark.createDataFrame([], "file string, reason string")
-    for folder in JSON_FOLDERS:
+    for pattern in {**LAYOUT, **(layout or {})}.values():
+        if not pattern.endswith(".json"):
+            continue
         try:
-            found = found.unionByName(rejects(spark, f"{raw}/{folder}/*.json"))
+            found = found.unionByName(rejects(spark, f"{raw}/{pattern}"))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -221,84 +221,95 @@ SEED_SCHEMAS = {
         "parse_status string"
     ),
 }
-# Seed files.
-SEED_FILES = {
-    "division": "cnae_divisoes.csv", "account": "estban_verbetes.csv", "series": "sgs_series.csv",
-    "sector_map": "setor_mapa.csv", "credit_series": "credito_detalhado_series.csv",
+SEED_NUMBERS = {"series": "code", "credit_series": "code", "account": "account"}
+
+# Where each source lies below the raw folder; every entry can be replaced by the caller.
+LAYOUT = {
+    "places": "places.json",
+    "population": "population/*.json",
+    "past_population": "research/population/*.json",
+    "national_jobs": "research/jobs/*.json",
+    "series": "series/*.json",
+    "credit_series": "credit_series/*.json",
+    "place_gdp": "place_gdp/*.json",
+    "quarter_gdp": "quarter_gdp/*.json",
+    "companies": "companies/*.json",
+    "company_totals": "company_totals/*.json",
+    "balances": "balances/*.zip",
+    "movements": "movements/*",
+    "registry": "institutions/registry/*.json",
+    "statements": "institutions/statements/*.json",
+    "portfolios": "institutions/portfolios/*.json",
+    "weekly_rates": "rates/weekly/*.json",
+    "monthly_rates": "rates/monthly/*.json",
+    "insolvency": "insolvency/*.json",
+    "outlines": "outlines/*.json",
 }
 
 
-def raw_tables(spark: SparkSession, raw: str, seeds: str) -> TableSet:
-    """Base tables and views over a raw folder in the published layout.
+def raw_tables(
+    spark: SparkSession, raw: str, seeds: str, layout: Mapping[str, str] | None = None
+) -> TableSet:
+    """Base tables and views over a raw folder; ``seeds`` holds one ``<table>.csv`` per seed.
 
     A source without files becomes an empty typed table; the others go on.
     """
+    at = {name: f"{raw}/{pattern}" for name, pattern in {**LAYOUT, **(layout or {})}.items()}
 
-    def seed(table: str):
-        def build(_t):
-            df = read_seed(spark, f"{seeds}/{SEED_FILES[table]}", SEED_SCHEMAS[table])
-            number = {"series": "code", "credit_series": "code", "account": "account"}.get(table)
-            return df.withColumn(number, F.col(number).cast("int")) if number else df
-
-        return lambda t: or_empty(spark, table, lambda: build(t))
-
-    def source(table: str, build):
-        return lambda t: or_empty(spark, table, lambda: build(t))
+    def seed(table: str) -> DataFrame:
+        df = read_seed(spark, f"{seeds}/{table}.csv", SEED_SCHEMAS[table])
+        number = SEED_NUMBERS.get(table)
+        return df.withColumn(number, F.col(number).cast("int")) if number else df
 
-    def balance_cells(_t):
-        return banks.balance_cells(banks.read_zipped_lines(spark, f"{raw}/estban/*_ESTBAN.csv.zip"))
+    def balance_cells() -> DataFrame:
+        return banks.balance_cells(banks.read_zipped_lines(spark, at["balances"]))
 
-    def balances(t):
-        amounts = banks.place_amounts(balance_cells(t))
+    def balances(t: TableSet) -> DataFrame:
+        amounts = banks.place_amounts(balance_cells())
         kept = amounts.join(t["place"].select("place_id"), "place_id", "left_semi")
         return kept.join(t["account"].select("account"), "account", "left_semi").select(
             "period", "place_id", "account", "amount"
         )
 
-    def presence(t):
-        rows = banks.place_presence(balance_cells(t))
+    def presence(t: TableSet) -> DataFrame:
+        rows = banks.place_presence(balance_cells())
         return rows.join(t["place"].select("place_id"), "place_id", "left_semi")
 
-    def jobs(t):
-        raw_rows = movements.read_movements(spark, f"{raw}/caged/CAGED*")
+    def jobs(t: TableSet) -> DataFrame:
+        raw_rows = movements.read_movements(spark, at["movements"])
         sums = movements.signed_jobs(raw_rows, ["period", "place_id6", "division"])
-        matched, _ = extend_code(movements.finish_jobs(sums), t["place"])
-        return matched
-
-    def portfolio(_t):
-        prefixes = "aging_pf,cnae,aging_pj,porte"
-        return institutions.read_portfolios(spark, f"{raw}/ifdata/{{{prefixes}}}_*.json")
-
-    sidra = f"{raw}/sidra"
-    builders = {name: seed(name) for name in SEED_FILES}
-    loaders = {
-        "place": lambda t: read_places(
-            spark, f"{raw}/ibge/municipios.json", f"{seeds}/municipios_coord.csv"
-        ),
-        "population_a": lambda t: read_population(spark, f"{sidra}/pop_*.json"),
-        "population_b": lambda t: read_past_population(spark, f"{raw}/ipea/ESTIMA_PO.json"),
-        "national_jobs": lambda t: read_national_jobs(spark, f"{raw}/ipea/CAGED12_*.json"),
-        "series_value": lambda t: read_series_values(spark, f"{raw}/sgs/*.json"),
-        "credit_value": lambda t: read_series_values(spark, f"{raw}/credito_detalhado/*.json"),
-        "place_gdp": lambda t: read_place_gdp(spark, f"{sidra}/pib_mun_*.json"),
-        "quarter_gdp": lambda t: read_quarter_gdp(spark, f"{sidra}/pib_tri_*.json"),
-        "place_company": lambda t: read_companies(spark, f"{sidra}/cempre_secao_*.json"),
-        "place_company_total": lambda t: read_company_totals(spark, f"{sidra}/cempre_total_*.json"),
-        "place_balance": balances,
-        "place_presence": presence,
-        "place_jobs": jobs,
-        "institution": lambda t: institutions.read_registry(spark, f"{raw}/ifdata/cadastro_*.json"),
-        "statement_value": lambda t: institutions.read_statements(spark, f"{raw}/ifdata/dre_*.json"),
-        "portfolio_value": portfolio,
-        "lending_rate": lambda t: rates.read_lending_rates(
-            spark, f"{raw}/taxa_juros/[!i]*.json", f"{raw}/taxa_juros/imobiliario_*.json"
-        ),
-        "insolvency": lambda t: read_insolvency(spark, f"{raw}/datajud_rj_falencia/*.json"),
-        "state_outline": lambda t: read_outlines(spark, f"{raw}/malha_uf/*.json"),
-    }
-    builders.update({name: source(name, build) for name, build in loaders.items()})
-    builders["population_ref"] = lambda t: reference_population(t["population_a"], t["population_b"])
-    builders.update(VIEWS)
-    return TableSet(spark, builders)
+        return extend_code(movements.finish_jobs(sums), t["place"])[0]
+
+    loaders = {name: (lambda t, n=name: seed(n)) for name in SEED_SCHEMAS}
+    loaders.update(
+        {
+            "place": lambda t: read_places(spark, at["places"], f"{seeds}/coordinates.csv"),
+            "population_a": lambda t: read_population(spark, at["population"]),
+            "population_b": lambda t: read_past_population(spark, at["past_population"]),
+            "national_jobs": lambda t: read_national_jobs(spark, at["national_jobs"]),
+            "series_value": lambda t: read_series_values(spark, at["series"]),
+            "credit_value": lambda t: read_series_values(spark, at["credit_series"]),
+            "place_gdp": lambda t: read_place_gdp(spark, at["place_gdp"]),
+            "quarter_gdp": lambda t: read_quarter_gdp(spark, at["quarter_gdp"]),
+            "place_company": lambda t: read_companies(spark, at["companies"]),
+            "place_company_total": lambda t: read_company_totals(spark, at["company_totals"]),
+            "place_balance": balances,
+            "place_presence": presence,
+            "place_jobs": jobs,
+            "institution": lambda t: institutions.read_registry(spark, at["registry"]),
+            "statement_value": lambda t: institutions.read_statements(spark, at["statements"]),
+            "portfolio_value": lambda t: institutions.read_portfolios(spark, at["portfolios"]),
+            "lending_rate": lambda t: rates.read_lending_rates(
+                spark, at["weekly_rates"], at["monthly_rates"]
+            ),
+            "insolvency": lambda t: read_insolvency(spark, at["insolvency"]),
+            "state_outline": lambda t: read_outlines(spark, at["outlines"]),
+        }
+    )
 
+    def safe(name: str, build):
+        return lambda t: or_empty(spark, name, lambda: build(t))
 
+    builders = {name: safe(name, build) for name, build in loaders.items()}
+    builders["population_ref"] = lambda t: reference_population(t["population_a"], t["population_b"])
+    return TableSet(spark, {**builders, **VIEWS})

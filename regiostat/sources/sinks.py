@@ -12,21 +12,26 @@ from regiostat.plans.catalogue import MATERIALISED
 from regiostat.schemas import TABLE_KEYS
 from regiostat.tables import TableSet
 
-# Tables worth splitting by period on disk, so a latest-position filter reads one folder.
+# Facts are split by period on disk, so a latest-position filter reads one folder.
 PERIOD_COLUMNS = ("period", "year", "quarter")
 
 
+def period_column(df: DataFrame) -> str | None:
+    return next((c for c in PERIOD_COLUMNS if c in df.columns), None)
+
+
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Full refresh. A partition's rows are brought together first, so it gets few files."""
+    """Full refresh. Rows of a period are brought together to get few files; a period that holds
+    a large part of all rows is split again by the rebalance step."""
     if partition is None:
         df.write.mode("overwrite").parquet(path)
         return
-    df.repartition(partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+    df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def replace_periods(df: DataFrame, path: str, partition: str = "period") -> None:
     """Overwrite only the periods present in ``df``; a revised period replaces the old one."""
-    writer = df.repartition(partition).write.mode("overwrite").partitionBy(partition)
+    writer = df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -35,7 +40,7 @@ def write_base_tables(t: TableSet, folder: str) -> None:
     for name, keys in TABLE_KEYS.items():
         if name not in t:
             continue
-        write_table(t[name], f"{folder}/{name}")
+        write_table(t[name], f"{folder}/{name}", period_column(t[name]))
         stored = t.spark.read.parquet(f"{folder}/{name}")
         if not duplicate_keys(stored, keys).isEmpty():
             raise ValueError(f"duplicate keys in {name}: {', '.join(keys)}")

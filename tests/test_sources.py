@@ -16,7 +16,7 @@ ADM;;"O,P";
 
 
 def test_seed_with_comments_quotes_and_empty_cells(spark, put):
-    path = put("setor_mapa.csv", SEED)
+    path = put("sector_map.csv", SEED)
     df = files.read_seed(spark, path, load.SEED_SCHEMAS["sector_map"])
     assert rows(df) == [("ADM", None, "O,P", None), ("INDUSTRIA", "INDÚSTRIA", "B,C,D", "INDUSTRIA")]
     codes = files.read_seed(spark, put("d.csv", "division;section;section_name;name\n01;A;x;y\n"), load.SEED_SCHEMAS["division"])
@@ -51,7 +51,7 @@ def test_header_row_json_to_wide_table(spark, put, tmp_path):
     def row(place, variable, value, label="A Agricultura"):
         return {"A": place, "B": variable, "C": "2021", "D4C": "117", "D4N": label, "V": value}
 
-    put("c/cempre_secao_1.json", [header, row("1", "2585", "7"), row("1", "2585", "8"), row("1", "707", "3"),
+    put("c/companies_1.json", [header, row("1", "2585", "7"), row("1", "2585", "8"), row("1", "707", "3"),
                                   row("1", "9999", "1"), row("2", "707", "..."), row("3", "662", "4", "  Total")])
     df = load.read_companies(spark, f"{tmp_path}/c/*.json")
     assert rows(df) == [("1", 2021, "A", 7.0, 3.0, None, None), ("3", 2021, "T", None, None, None, 4.0)]
@@ -59,21 +59,21 @@ def test_header_row_json_to_wide_table(spark, put, tmp_path):
 
 def test_quarterly_sector_is_read_from_the_label_column(spark, put, tmp_path):
     header = {"D1C": "Variável (Código)", "D2C": "Trimestre (Código)", "D3C": "Setores e subsetores (Código)", "D3N": "Setores e subsetores"}
-    put("q/pib_tri_1.json", [header, {"D1C": "583", "D2C": "202401", "D3C": "90707", "D3N": "Construção", "V": "101.5"}])
+    put("q/quarters_1.json", [header, {"D1C": "583", "D2C": "202401", "D3C": "90707", "D3N": "Construção", "V": "101.5"}])
     got = load.read_quarter_gdp(spark, f"{tmp_path}/q/*.json").first()
     assert (got["sector"], got["quarter"], got["volume_index"], got["rate_4q"]) == ("Construção", 202401, 101.5, None)
 
 
 def test_series_files_by_stem(spark, put, tmp_path):
-    put("sgs/20539.json", [{"data": "01/01/2024", "valor": "1.5"}, {"data": "01/02/2024", "valor": "x"}])
-    put("sgs/20540.json", [])
-    put("sgs/20541.json", {"erro": {"detail": "no data"}})
-    put("sgs/20542.json", "<html>busy</html>")
-    path = f"{tmp_path}/sgs/*.json"
+    put("series/20539.json", [{"data": "01/01/2024", "valor": "1.5"}, {"data": "01/02/2024", "valor": "x"}])
+    put("series/20540.json", [])
+    put("series/20541.json", {"erro": {"detail": "no data"}})
+    put("series/20542.json", "<html>busy</html>")
+    path = f"{tmp_path}/series/*.json"
     assert rows(load.read_series_values(spark, path)) == [(20539, 202401, "2024-01-01", 1.5)]
     found = load.raw_rejects(spark, str(tmp_path)).collect()
     assert [(r["file"].split("/")[-1], r["reason"]) for r in found] == [("20542.json", "corrupt")]
-    assert (tmp_path / "sgs/20542.json").exists()
+    assert (tmp_path / "series/20542.json").exists()
 
 
 def test_zipped_balance(spark, tmp_path):
@@ -86,8 +86,8 @@ def test_zipped_balance(spark, tmp_path):
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w") as z:
             z.writestr("x.csv", text.replace("202401", month).encode("latin-1"))
-        (tmp_path / f"{month}_ESTBAN.csv.zip").write_bytes(buffer.getvalue())
-    cells = banks.balance_cells(banks.read_zipped_lines(spark, f"{tmp_path}/*_ESTBAN.csv.zip"))
+        (tmp_path / f"{month}.csv.zip").write_bytes(buffer.getvalue())
+    cells = banks.balance_cells(banks.read_zipped_lines(spark, f"{tmp_path}/*.csv.zip"))
     amounts = rows(banks.place_amounts(cells).filter("period = 202401 AND place_id <> ''"), "place_id", "account", "amount")
     assert amounts == [("1234567", 160, 1.5), ("1234567", 399, 100.0)]
     presence = rows(banks.place_presence(cells).filter("period = 202402"), "place_id", "institutions", "branches")
@@ -95,10 +95,10 @@ def test_zipped_balance(spark, tmp_path):
 
 
 MOVES = {
-    "CAGEDMOV202401.txt": [("202401", "123456", "0111301", "1", "1000,50"), ("202401", "123456", "0111302", "-1", "900,00"),
+    "MOV202401.txt": [("202401", "123456", "0111301", "1", "1000,50"), ("202401", "123456", "0111302", "-1", "900,00"),
                            ("202401", "123456", "0111301", "1", ""), ("202401", "123456", "0111301", "0", "5,00")],
-    "CAGEDFOR202402.txt": [("202401", "123456", "0111301", "1", "2000,00")],
-    "CAGEDEXC202403.txt": [("202401", "123456", "0111301", "1", "1000,50")],
+    "FOR202402.txt": [("202401", "123456", "0111301", "1", "2000,00")],
+    "EXC202403.txt": [("202401", "123456", "0111301", "1", "1000,50")],
 }
 
 
@@ -106,12 +106,12 @@ def write_moves(put, names):
     head = "competênciamov;região;município;seção;subclasse;saldomovimentação;salário"
     for name in names:
         lines = [f"{p};1;{m};A;{s};{b};{w}" for p, m, s, b, w in MOVES[name]]
-        put(f"caged/{name}", "\n".join([head, *lines]) + "\n")
+        put(f"moves/{name}", "\n".join([head, *lines]) + "\n")
 
 
 def test_movements_with_late_and_retracted_files(spark, put, tmp_path):
     write_moves(put, MOVES)
-    raw = movements.read_movements(spark, f"{tmp_path}/caged/*.txt")
+    raw = movements.read_movements(spark, f"{tmp_path}/moves/*.txt")
     assert raw.count() == 6
     got = movements.finish_jobs(movements.signed_jobs(raw, ["period", "place_id6", "division"])).collect()
     assert [tuple(r) for r in got] == [(202401, "123456", "01", 2, 1, 1, 2000.0)]
@@ -120,40 +120,40 @@ def test_movements_with_late_and_retracted_files(spark, put, tmp_path):
 def test_institutions_codes_and_duplicates(spark, put, tmp_path):
     base = {"NomeInstituicao": "Banco", "Sr": "S1", "Uf": "SP", "Municipio": "X", "Situacao": "A", "Tc": 1,
             "CodConglomeradoFinanceiro": None, "CodConglomeradoPrudencial": "C1"}
-    put("if/cadastro_202403.json", {"value": [{"CodInst": "0012", "Data": "202403", **base}]})
-    put("if/cadastro_202406.json", {"value": [{"CodInst": 12, "Data": 202406, **base}, {"CodInst": 12, "Data": 202406, **base}]})
-    put("if/dre_202403.json", {"value": [{"CodInst": 12, "AnoMes": 202403, "Conta": 78187, "Saldo": 5000.0},
+    put("if/registry_202403.json", {"value": [{"CodInst": "0012", "Data": "202403", **base}]})
+    put("if/registry_202406.json", {"value": [{"CodInst": 12, "Data": 202406, **base}, {"CodInst": 12, "Data": 202406, **base}]})
+    put("if/statement_202403.json", {"value": [{"CodInst": 12, "AnoMes": 202403, "Conta": 78187, "Saldo": 5000.0},
                                          {"CodInst": 12, "AnoMes": 202403, "Conta": 78203, "Saldo": None}]})
-    registry = institutions.read_registry(spark, f"{tmp_path}/if/cadastro_*.json")
+    registry = institutions.read_registry(spark, f"{tmp_path}/if/registry_*.json")
     assert rows(registry, "inst_id", "period") == [("0012", 202403), ("12", 202406)]
-    assert rows(institutions.read_statements(spark, f"{tmp_path}/if/dre_*.json")) == [("12", 202403, "78187", 5.0)]
+    assert rows(institutions.read_statements(spark, f"{tmp_path}/if/statement_*.json")) == [("12", 202403, "78187", 5.0)]
 
 
 def test_fallback_shards_and_dictionary(spark, put):
-    report = institutions.read_report(spark, put("trel.json", {"c": [{"ifd": 1, "sc": [{"ifd": 2}, {"ifd": 3}]}, {"ifd": 4, "sc": []}, {"ifd": 5}]}))
-    names = institutions.read_names(spark, put("info.json", [
+    report = institutions.read_report(spark, put("report.json", {"c": [{"ifd": 1, "sc": [{"ifd": 2}, {"ifd": 3}]}, {"ifd": 4, "sc": []}, {"ifd": 5}]}))
+    names = institutions.read_names(spark, put("names.json", [
         {"id": 1, "n": "Capital de Giro", "lid": -1}, {"id": 2, "n": "Total", "lid": 100},
         {"id": 3, "n": "Nome", "lid": -1}, {"id": 4, "n": "Micro", "lid": 200}, {"id": 5, "n": "UF"}]))
     dictionary = institutions.column_dictionary(report, names)
     assert rows(dictionary, "account", "group", "column_name") == [("100", "Capital de Giro", "Total"), ("200", None, "Micro")]
-    shard = put("dados.json", {"values": [{"e": 7, "v": [{"i": 100, "v": 1000.0}, {"i": 999, "v": 1.0}]}, {"e": 8, "v": [{"i": 200, "v": 5.0}]}]})
+    shard = put("shard.json", {"values": [{"e": 7, "v": [{"i": 100, "v": 1000.0}, {"i": 999, "v": 1.0}]}, {"e": 8, "v": [{"i": 200, "v": 5.0}]}]})
     entities = spark.createDataFrame([("7",)], "inst_id string")
     cells = institutions.read_shards(spark, shard, entities, dictionary)
     got = institutions.fallback_portfolio(cells, dictionary, "13", 202506)
     assert rows(got, "inst_id", "group", "column_name", "value") == [("7", "Capital de Giro", "Total", 1.0)]
     main = got.withColumn("value", F.lit(9.0))
     assert rows(institutions.fill_from_fallback(main, got, "period", "report"), "value") == [(9.0,)]
-    reg = institutions.read_fallback_registry(spark, put("cad.json", [{"c0": 7, "c2": "B", "c12": "", "c10": "SP", "c11": "X", "c4": "C"}]), 202506)
+    reg = institutions.read_fallback_registry(spark, put("registry.json", [{"c0": 7, "c2": "B", "c12": "", "c10": "SP", "c11": "X", "c4": "C"}]), 202506)
     assert rows(reg, "inst_id", "period", "segment", "status") == [("7", 202506, None, "A")]
 
 
 def test_lending_rates_weekly_and_monthly(spark, put, tmp_path):
     week = {"InicioPeriodo": "2024-01-02", "cnpj8": "1", "InstituicaoFinanceira": "B", "Segmento": "Pessoa Jurídica",
             "Modalidade": "Giro", "TaxaJurosAoMes": 1.5, "TaxaJurosAoAno": 19.6}
-    put("t/2024-01-02.json", {"value": [week, week, {**week, "cnpj8": "2", "TaxaJurosAoMes": None}]})
-    put("t/imobiliario_202401.json", {"value": [{"anoMes": "2024-01", "cnpj8": "1", "InstituicaoFinanceira": "B",
+    put("t/weekly_1.json", {"value": [week, week, {**week, "cnpj8": "2", "TaxaJurosAoMes": None}]})
+    put("t/monthly_1.json", {"value": [{"anoMes": "2024-01", "cnpj8": "1", "InstituicaoFinanceira": "B",
                                                  "Modalidade": "Financiamento imobiliário", "TaxaJurosAoMes": 0.9, "TaxaJurosAoAno": 11.0}]})
-    got = rates.read_lending_rates(spark, f"{tmp_path}/t/[!i]*.json", f"{tmp_path}/t/imobiliario_*.json")
+    got = rates.read_lending_rates(spark, f"{tmp_path}/t/weekly_*.json", f"{tmp_path}/t/monthly_*.json")
     assert rows(got, "start_date", "segment", "month_rate") == [("2024-01-01", "Pessoa Física", 0.9), ("2024-01-02", "Pessoa Jurídica", 1.5)]
 
 
@@ -176,9 +176,9 @@ def test_outlines(spark, put, tmp_path):
 
 
 def test_places_with_coordinates(spark, put):
-    raw = put("municipios.json", [{"municipio-id": 1100015, "municipio-nome": "Alta Floresta D'Oeste", "UF-id": 11, "UF-sigla": "RO", "regiao-id": 1},
+    raw = put("places.json", [{"municipio-id": 1100015, "municipio-nome": "Alta Floresta D'Oeste", "UF-id": 11, "UF-sigla": "RO", "regiao-id": 1},
                                   {"municipio-id": 3550308, "municipio-nome": "São Paulo", "UF-id": 35, "UF-sigla": "SP", "regiao-id": 3}])
-    coord = put("municipios_coord.csv", "codigo_ibge,latitude,longitude,capital\n3550308,-23.5,-46.6,1\n")
+    coord = put("coordinates.csv", "codigo_ibge,latitude,longitude,capital\n3550308,-23.5,-46.6,1\n")
     got = load.read_places(spark, raw, coord)
     assert rows(got, "place_id", "place_id6", "name_key", "region", "lat", "is_capital") == [
         ("1100015", "110001", "ALTA FLORESTA D'OESTE", "Norte", None, None),
@@ -196,8 +196,8 @@ def test_national_jobs(spark, put, tmp_path):
 
 
 def test_absent_sources_become_empty_tables_and_views_still_plan(spark, put, tmp_path):
-    put("seeds/setor_mapa.csv", SEED)
-    put("raw/sgs/20539.json", [{"data": "01/01/2024", "valor": "1.5"}])
+    put("seeds/sector_map.csv", SEED)
+    put("raw/series/20539.json", [{"data": "01/01/2024", "valor": "1.5"}])
     t = load.raw_tables(spark, f"{tmp_path}/raw", f"{tmp_path}/seeds")
     assert t["place_jobs"].count() == 0
     assert t["credit_macro"].first()["balance_total"] == 1.5
