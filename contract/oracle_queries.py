@@ -350,7 +350,8 @@ SQL["W5_rank_per_year"] = """SELECT *, rank() OVER (PARTITION BY year ORDER BY p
   SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
          CASE WHEN o_orderkey % 10 <> 0 THEN CAST(floor(o_totalprice / 1000) AS BIGINT) END AS price FROM orders)"""
 SQL["W5_rank_in_state"] = """SELECT g.place_id, p.state, g.year,
-  rank() OVER (PARTITION BY p.state, g.year ORDER BY g.gdp DESC) AS position FROM place_gdp g JOIN place p USING (place_id)"""
+  rank() OVER (PARTITION BY p.state, g.year ORDER BY g.gdp DESC) AS in_state,
+  rank() OVER (PARTITION BY g.year ORDER BY g.gdp DESC) AS in_nation, rank() OVER (ORDER BY g.gdp DESC) AS ever FROM place_gdp g JOIN place p USING (place_id)"""
 SQL["W6_share_of_nation"] = f"SELECT state, year, gdp, {_share('gdp', 'year')} AS share_pct FROM v33"
 SQL["W7_population_grid"] = "SELECT * FROM population_ref"
 SQL["W8_source_precedence"] = "SELECT * FROM population_merged"

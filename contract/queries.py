@@ -622,9 +622,9 @@ def _(t):
 @query("W5_rank_in_state")
 def _(t):
     cells = t["place_gdp"].join(t["place"].select("place_id", "state"), "place_id")
-    return cells.select(
-        "place_id", "state", "year", ranking.local_rank("gdp", ["state", "year"]).alias("position")
-    )
+    cells = cells.select("place_id", "state", "year", "gdp")
+    groups = {"in_state": ["state", "year"], "in_nation": ["year"], "ever": []}
+    return ranking.with_ranks(cells, "gdp", groups).drop("gdp")
 
 
 @query("W6_share_of_nation")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,22 +10,24 @@ from pyspark.sql import functions as F
 from regiostat.functions import metrics as M
 
 
-def with_rank(
-    df: DataFrame, metric: str, out: str, group: Sequence[str] = (), buckets: int = 32
+def with_ranks(
+    df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]], buckets: int = 32
 ) -> DataFrame:
-    """``rank()`` by ``metric`` descending (NULL last), equal to the plain window function.
+    """``rank()`` by ``metric`` descending (NULL last) inside each group of ``ranks``.
+
+    ``ranks`` maps an output column to its group columns (none = the whole table); the result
+    equals the plain window function.
 
     1. approximate cut points of the metric, as one small array;
     2. each value between two cut points goes to one bucket, each cut point is a bucket of its
        own: equal values always share a bucket, so any cut points give the same ranks;
-    3. rows per bucket give the number of better rows outside the bucket;
+    3. rows per group and bucket give the number of better rows outside the bucket;
     4. the rank inside a bucket is a window over one bucket of one group.
 
     A value held by many rows is a cut point, and all rows of such a bucket (and all NULLs) tie:
     their rank needs no window, so they are spread by a salt. ``df`` is read three times, twice
     for a few columns only; stage it first if it is expensive.
     """
-    group = list(group)
     steps = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(metric, steps).alias("c")).scalar()
     value = F.col(metric)
@@ -43,36 +45,39 @@ def with_rank(
             .drop("_cuts")
         )
 
-    sizes = bucketed(df.select(*group, metric)).groupBy(*group, "_bucket").agg(
+    every = list(dict.fromkeys(c for group in ranks.values() for c in group))
+    sizes = bucketed(df.select(*every, metric)).groupBy(*every, "_bucket").agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_bucket = F.map_from_entries(F.collect_list(F.struct("_bucket", "n"))).alias("_sizes")
-    rows = bucketed(df)
-    if group:
-        rows = rows.join(sizes.groupBy(*group).agg(per_bucket), group)
-    else:
-        rows = rows.withColumn("_sizes", sizes.agg(per_bucket).scalar())
-    outside = F.aggregate(
-        F.map_values(F.map_filter("_sizes", lambda k, _: k < F.col("_bucket"))),
-        F.lit(0).cast("long"),
-        lambda total, n: total + n,
+    rows = bucketed(df).withColumn(
+        "_salt", F.when(F.col("_tie"), F.xxhash64(*df.columns) % 64).otherwise(0)
     )
-    salt = F.when(F.col("_tie"), F.xxhash64(*df.columns) % 64).otherwise(0)
-    inside = Window.partitionBy(*group, "_bucket", "_salt").orderBy(value.desc_nulls_last())
-    return (
-        rows.withColumns({"_outside": outside, "_salt": salt})
-        .withColumn("_inside", F.rank().over(inside))
-        .withColumn(
-            out, F.col("_outside") + F.when(F.col("_tie"), 1).otherwise(F.col("_inside"))
+    for out, group in ranks.items():
+        per_group = sizes.groupBy(*group, "_bucket").agg(F.sum("n").alias("n"))
+        sizes_map = F.map_from_entries(F.collect_list(F.struct("_bucket", "n"))).alias("_sizes")
+        if group:
+            rows = rows.join(per_group.groupBy(*group).agg(sizes_map), list(group))
+        else:
+            rows = rows.withColumn("_sizes", per_group.agg(sizes_map).scalar())
+        outside = F.aggregate(
+            F.map_values(F.map_filter("_sizes", lambda k, _: k < F.col("_bucket"))),
+            F.lit(0).cast("long"),
+            lambda total, n: total + n,
         )
-        .select(*df.columns, out)
-    )
+        inside = Window.partitionBy(*group, "_bucket", "_salt").orderBy(value.desc_nulls_last())
+        rows = (
+            rows.withColumn("_inside", F.rank().over(inside))
+            .withColumn(out, outside + F.when(F.col("_tie"), 1).otherwise(F.col("_inside")))
+            .drop("_sizes", "_inside")
+        )
+    return rows.select(*df.columns, *ranks)
 
 
-def local_rank(metric: str, group: Sequence[str]) -> Column:
-    """Rank inside a small group (places of one state in one year)."""
-    w = Window.partitionBy(*group).orderBy(F.col(metric).desc_nulls_last())
-    return F.rank().over(w).cast("long")
+def with_rank(
+    df: DataFrame, metric: str, out: str, group: Sequence[str] = (), buckets: int = 32
+) -> DataFrame:
+    """``with_ranks`` for one column."""
+    return with_ranks(df, metric, {out: list(group)}, buckets)
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -36,13 +36,18 @@ def with_year_ago(df: DataFrame, keys: Sequence[str], value: str, out: str) -> D
 
 
 def share_of_group(
-    df: DataFrame, value: str, group: Sequence[str], out: str, digits: int = 2
+    df: DataFrame,
+    value: str,
+    group: Sequence[str],
+    out: str,
+    digits: int = 2,
+    of: DataFrame | None = None,
 ) -> DataFrame:
-    """Share in the group total.
+    """Share in the group total (of the rows ``of``, by default of ``df`` itself).
 
     Totals are pre-aggregated and joined back (NULL-safe), so a hot group is never one task.
     """
-    totals = df.groupBy(*group).agg(M.exact_sum(F.col(value)).alias("_total")).alias("g")
+    totals = (df if of is None else of).groupBy(*group).agg(M.exact_sum(F.col(value)).alias("_total")).alias("g")
     rows = df.alias("d")
     on = [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in group]
     joined = rows.join(totals, on, "left") if on else rows

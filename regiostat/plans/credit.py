@@ -10,7 +10,7 @@ from regiostat.functions import metrics as M
 from regiostat.operators import windows as W
 from regiostat.operators.latest import at_latest, trailing_year
 from regiostat.operators.pivot import pivot_max, pivot_sum
-from regiostat.operators.ranking import local_rank, with_rank
+from regiostat.operators.ranking import with_rank, with_ranks
 from regiostat.tables import TableSet
 
 
@@ -162,7 +162,7 @@ def latest_population(t: TableSet) -> DataFrame:
 
 def place_credit_per_capita(t: TableSet) -> DataFrame:
     """Latest month per place, per capita, ranked in the country and in the state."""
-    t.stage("place_balance", "place_presence", "population_ref")
+    t.stage("place", "place_balance", "place_presence", "population_ref")
     t.stage("place_credit")
     now = at_latest(t["place_credit"], t["place_balance"])
     rows = (
@@ -170,9 +170,8 @@ def place_credit_per_capita(t: TableSet) -> DataFrame:
         .withColumn(
             "credit_per_capita", M.ratio(F.col("credit_total"), F.col("population"), 1000, 0)
         )
-        .withColumn("state_rank", local_rank("credit_total", ["state"]))
     )
-    ranked = with_rank(rows, "credit_total", "national_rank")
+    ranked = with_ranks(rows, "credit_total", {"national_rank": [], "state_rank": ["state"]})
     return ranked.select(
         *now.columns, "population", "credit_per_capita", "national_rank", "state_rank"
     )
@@ -180,7 +179,7 @@ def place_credit_per_capita(t: TableSet) -> DataFrame:
 
 def credit_penetration(t: TableSet) -> DataFrame:
     """Mean credit of the last 12 months over the GDP of the last year, ranked unrounded."""
-    t.stage("place_balance", "place_presence", "place_gdp")
+    t.stage("place", "place_balance", "place_presence", "place_gdp")
     t.stage("place_credit")
     recent = trailing_year(
         t["place_credit"].select("place_id", "period", "credit_total"), t["place_balance"]

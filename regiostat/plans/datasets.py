@@ -39,7 +39,7 @@ PLACE_ACTIVITIES = 6
 STATE_ACTIVITIES = 8
 # Fact tables that the map reads several times.
 MAP_TABLES = [
-    "place_gdp", "population_ref", "place_balance", "place_jobs", "place_company", "insolvency",
+    "place", "place_gdp", "population_ref", "place_balance", "place_jobs", "place_company", "insolvency",
 ]
 TOP_STATEMENTS = 50
 TOP_FIRM_PORTFOLIOS = 30

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiostat import constants as C
@@ -12,41 +12,37 @@ from regiostat.functions import metrics as M
 from regiostat.operators import windows as W
 from regiostat.operators.crosswalk import totals_by_list
 from regiostat.operators.latest import at_latest, trailing_year
-from regiostat.operators.ranking import local_rank, with_rank
+from regiostat.operators.ranking import with_ranks
 from regiostat.plans.credit import latest_population
 from regiostat.tables import TableSet
 
 # Fact tables that the scorecards read several times.
-SCORECARD_TABLES = ["population_ref", "place_gdp", "place_balance", "place_jobs", "place_company"]
+SCORECARD_TABLES = [
+    "place", "population_ref", "place_gdp", "place_balance", "place_jobs", "place_company",
+]
 VA_PARTS = ["va_agri", "va_industry", "va_services", "va_public"]
 GDP_AMOUNTS = ["gdp", "taxes", "va_total", *VA_PARTS]
 
 
 def place_gdp_profile(t: TableSet) -> DataFrame:
     """GDP per place and year: per capita, share in the state, composition, two ranks."""
-    t.stage("place_gdp", "population_ref")
-    state_year = Window.partitionBy("state", "year")
+    t.stage("place", "place_gdp", "population_ref")
     rows = (
         t["place_gdp"].join(t["place"].select("place_id", "name", "state", "region"), "place_id")
         .join(t["population_ref"], ["place_id", "year"], "left")
         .withColumn("gdp_per_capita", M.ratio(F.col("gdp"), F.col("population"), 1000, 2))
-        .withColumn(
-            "state_share_pct",
-            M.ratio(F.col("gdp"), _windowed_total("gdp", state_year), 100, 3),
-        )
-        .withColumn("state_rank", local_rank("gdp", ["state", "year"]))
+    )
+    ranks = {"national_rank": ["year"], "state_rank": ["state", "year"]}
+    shared = W.share_of_group(
+        with_ranks(rows, "gdp", ranks), "gdp", ["state", "year"], "state_share_pct", 3, of=rows
     )
     pct = {f"pct_{p[3:]}": M.ratio(F.col(p), F.col("va_total"), 100, 1) for p in VA_PARTS}
-    return with_rank(rows.withColumns(pct), "gdp", "national_rank", ["year"]).select(
+    return shared.withColumns(pct).select(
         "place_id", "name", "state", "region", "year", *GDP_AMOUNTS, "population",
         "gdp_per_capita", "state_share_pct", *pct, "national_rank", "state_rank",
     )
 
 
-def _windowed_total(c: str, window) -> Column:
-    return F.sum(F.col(c).cast("decimal(28,6)")).over(window).cast("double")
-
-
 def place_size(t: TableSet) -> DataFrame:
     """Size bands of each place at the last GDP year."""
     return at_latest(t["place_gdp_profile"], t["place_gdp"], "year").select(
