@@ -35,13 +35,19 @@ def replace_periods(df: DataFrame, path: str, partition: str = "period") -> None
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def _read_back(df: DataFrame, path: str) -> DataFrame:
+    """The written table in the column order of ``df``; an empty one has no file to ask."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def write_base_tables(t: TableSet, folder: str) -> None:
     """Write every base table, fail on duplicate keys, and read them back from then on."""
     for name, keys in TABLE_KEYS.items():
         if name not in t:
             continue
-        write_table(t[name], f"{folder}/{name}", period_column(t[name]))
-        stored = t.spark.read.parquet(f"{folder}/{name}")
+        df = t[name]
+        write_table(df, f"{folder}/{name}", period_column(df))
+        stored = _read_back(df, f"{folder}/{name}")
         if not duplicate_keys(stored, keys).isEmpty():
             raise ValueError(f"duplicate keys in {name}: {', '.join(keys)}")
         t.repoint(name, stored)
@@ -50,8 +56,9 @@ def write_base_tables(t: TableSet, folder: str) -> None:
 def materialise(t: TableSet, folder: str, names: list[str] | None = None) -> None:
     """Write the heavy views in dependency order; each name then stands for its table."""
     for name in names or MATERIALISED:
-        write_table(t[name], f"{folder}/{name}")
-        t.repoint(name, t.spark.read.parquet(f"{folder}/{name}"))
+        df = t[name]
+        write_table(df, f"{folder}/{name}")
+        t.repoint(name, _read_back(df, f"{folder}/{name}"))
 
 
 def write_sheets(

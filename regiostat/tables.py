@@ -61,8 +61,8 @@ class TableSet:
             return
         with ThreadPoolExecutor(max_workers=len(todo)) as jobs:
             list(jobs.map(lambda job: job[0].write.parquet(job[1]), todo.values()))
-        for name, (_, path) in todo.items():
-            self.repoint(name, self.spark.read.parquet(path))
+        for name, (df, path) in todo.items():
+            self.repoint(name, self.spark.read.schema(df.schema).parquet(path))
 
     def register(self, names: Iterable[str] | None = None) -> None:
         """Expose tables to ``spark.sql`` as temporary views."""

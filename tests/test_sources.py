@@ -210,3 +210,34 @@ def test_absent_sources_become_empty_tables_and_views_still_plan(spark, put, tmp
 def test_missing_path_is_the_only_error_that_is_tolerated(spark):
     with pytest.raises(Exception):
         files.or_empty(spark, "place", lambda: spark.sql("SELECT no_such_column FROM range(1)"))
+
+
+def test_raw_folder_to_place_views(spark, put, tmp_path):
+    """Raw files of five sources through the load job, the key check and two views."""
+    from regiostat.sources.sinks import write_base_tables
+
+    places = [(1234567, "Vila Nova", 35, "SP", 3), (7654321, "São José", 33, "RJ", 3)]
+    put("raw/places.json", [dict(zip(["municipio-id", "municipio-nome", "UF-id", "UF-sigla", "regiao-id"], p)) for p in places])
+    put("seeds/coordinates.csv", "codigo_ibge,latitude,longitude,capital\n1234567,-23.5,-46.6,0\n")
+    put("seeds/account.csv", "verbete;nome;grupo\n160;Crédito;CREDITO\n174;Provisão;PROVISAO\n")
+    put("seeds/division.csv", "divisao;secao;secao_nome;nome\n01;A;Agro;Agricultura\n")
+    head = "x\nx\n#DATA_BASE;CODMUN_IBGE;CNPJ;AGEN_PROCESSADAS;VERBETE_160_A;VERBETE_174_B;VERBETE_999_C\n"
+    for month in ("202401", "202501"):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as z:
+            z.writestr("a.csv", head + f"{month};1234567;1;3;{month}000;-5000;1\n{month};9999999;1;1;1;1;1\n")
+        path = tmp_path / "raw" / "balances" / f"{month}.zip"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(buffer.getvalue())
+    for name in MOVES:
+        lines = [f"{p};1;{m};A;{s};{b};{w}" for p, m, s, b, w in MOVES[name]]
+        put(f"raw/movements/{name}", "\n".join(["competênciamov;região;município;seção;subclasse;saldomovimentação;salário", *lines]) + "\n")
+    t = load.raw_tables(spark, f"{tmp_path}/raw", f"{tmp_path}/seeds")
+    write_base_tables(t, f"{tmp_path}/base")
+    credit = rows(t["place_credit"], "period", "place_id", "credit_total", "provision_pct", "branches")
+    assert credit == [(202401, "1234567", 202401.0, 0.0, 3.0), (202501, "1234567", 202501.0, 0.0, 3.0)]
+    jobs = rows(t["place_employment"], "period", "place_id", "state", "hires", "net_12m")
+    assert jobs == [(202401, "1234567", "SP", 2, 1)]
+    assert rows(t["sector_jobs"], "section", "mean_wage") == [("A", 2000.0)]
+    assert t["place_ranking"].count() == 2
+    assert rows(load.raw_rejects(spark, f"{tmp_path}/raw")) == []
