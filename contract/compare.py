@@ -31,10 +31,6 @@ def _kind(v) -> str:
     return type(v).__name__
 
 
-def _key(row):
-    return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
-
-
 def _sort_key(row):
     return tuple("" if v is None else (f"{v:.6g}" if isinstance(v, float) else str(v)) for v in row)
 

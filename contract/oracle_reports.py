@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from contract.oracle_tables import exact, long, rnd
-from contract.oracle_views import MAX_BALANCE, MAX_COMPANY, MAX_GDP, MAX_JOBS
+from contract.oracle_views import MAX_COMPANY, MAX_GDP, MAX_JOBS
 
 SHEETS: dict[str, str] = {}
 

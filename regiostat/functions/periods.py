@@ -34,10 +34,6 @@ def _month(period: Column) -> Column:
     return (period % 100).cast("int")
 
 
-def year_of(period: Column) -> Column:
-    return _year(period)
-
-
 def previous_month(period: Column) -> Column:
     january = _month(period) == 1
     return F.when(january, (_year(period) - 1) * 100 + 12).otherwise(period - 1).cast("int")

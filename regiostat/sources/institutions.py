@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ PORTFOLIO_FIELDS = {
     "CodInst": "inst_id", "AnoMes": "period", "NumeroRelatorio": "report", "Grupo": "group",
     "Conta": "account", "NomeColuna": "column_name", "Saldo": "value",
 }
+PORTFOLIO_REPORTS = [
+    C.REPORT_HOUSEHOLD_AGING, C.REPORT_FIRM_ACTIVITY, C.REPORT_FIRM_AGING, C.REPORT_FIRM_SIZE,
+]
 # Fields of the fallback registry.
 FALLBACK_REGISTRY = {
     "c0": "inst_id", "c2": "name", "c12": "segment", "c10": "state", "c11": "city",
@@ -130,6 +135,24 @@ def fallback_statement(cells: DataFrame, period: int) -> DataFrame:
     )
 
 
+def read_fallback(
+    spark: SparkSession, folder: str, period: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(registry, statements, portfolios) of one quarter of the fallback site.
+
+    Each institution's shard cells are kept only for listed institutions and known accounts.
+    """
+    registry = read_fallback_registry(spark, f"{folder}/registry.json", period)
+    names = read_names(spark, f"{folder}/names.json")
+    cells = read_shards(spark, f"{folder}/statements.json", registry, statement_accounts(spark))
+    parts = []
+    for report in PORTFOLIO_REPORTS:
+        columns = column_dictionary(read_report(spark, f"{folder}/report_{report}.json"), names)
+        values = read_shards(spark, f"{folder}/portfolios.json", registry, columns)
+        parts.append(fallback_portfolio(values, columns, report, period))
+    return registry, fallback_statement(cells, period), reduce(DataFrame.unionByName, parts)
+
+
 def fill_from_fallback(main: DataFrame, fallback: DataFrame, *group: str) -> DataFrame:
     """Never replaces a period (of a report) that the main API delivered."""
     return fill_missing_groups(main, fallback, list(group))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -313,3 +314,21 @@ def raw_tables(
     builders = {name: safe(name, build) for name, build in loaders.items()}
     builders["population_ref"] = lambda t: reference_population(t["population_a"], t["population_b"])
     return TableSet(spark, {**builders, **VIEWS})
+
+
+def with_fallback(t: TableSet, folder: str, quarters: Sequence[int]) -> TableSet:
+    """Fill quarters (of a portfolio report) that the main source has no rows of.
+
+    ``folder`` holds one sub-folder per quarter; delivered quarters are never replaced.
+    """
+    groups = {
+        "institution": ["period"], "statement_value": ["period"],
+        "portfolio_value": ["period", "report"],
+    }
+    parts = [institutions.read_fallback(t.spark, f"{folder}/{q}", q) for q in quarters]
+
+    def filled(i: int, name: str, group: list[str]):
+        spare = reduce(DataFrame.unionByName, [p[i] for p in parts])
+        return lambda _: institutions.fill_from_fallback(t[name], spare, *group)
+
+    return t.extended({n: filled(i, n, g) for i, (n, g) in enumerate(groups.items())})

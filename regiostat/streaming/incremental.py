@@ -85,12 +85,15 @@ def monthly_counts(df: DataFrame, time: str, label: str) -> DataFrame:
 def stream_daily_counts(
     stream: DataFrame, time: str, label: str, delay: str, out: str, checkpoint: str
 ) -> DataFrame:
-    """Daily windows with a watermark, kept per batch; roll them up with ``months_of_days``."""
-    timed = stream.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", delay)
-    days = timed.groupBy(F.window("_at", "1 day").alias("w"), F.col(label).alias("class")).agg(
-        F.count(F.lit(1)).alias("cases")
-    )
-    flat = days.select(F.to_date("w.start").alias("day"), "class", "cases")
+    """Calendar days with a watermark, kept per batch; roll them up with ``months_of_days``.
+
+    The day is the event time itself, cut in the session's time zone, so it is the same day that
+    a batch job sees.
+    """
+    day = F.date_trunc("day", F.col(time).cast("timestamp"))
+    timed = stream.withColumn("_day", day).withWatermark("_day", delay)
+    days = timed.groupBy("_day", F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("cases"))
+    flat = days.select(F.to_date("_day").alias("day"), "class", "cases")
     _drain(flat, _batch_writer(out, lambda b: b), checkpoint, "update")
     written = stream.sparkSession.read.parquet(out)
     return newest_release(written, ["day", "class"], "batch").drop("batch")
