@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from regiostat.llm.common import table
+from regiostat.llm.oracle import NEAR_DUPS
+from regiostat.llm.near_dups import near_duplicates
 from regiostat.llm.token_counts import token_counts
 
 
@@ -17,11 +19,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates over four-word shingles at similarity 0.8; see ``near_duplicates``."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
-    return {"op1_token_counts": op1_token_counts}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op8_near_dups": op8_near_dups,
+    }
 
 
 def llm_oracle_sql() -> dict[str, str]:
     """The queries that SQL can express."""
-    return {}
+    return {"op8_near_dups": NEAR_DUPS}
