@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiostat.llm.common import slices, staged
-from regiostat.llm.word_arrays import Prefix, constants, mix, spans
+from regiostat.llm.word_arrays import constants, mix, word_hashes
 
 HALVES = 12
 ROWS = 2
@@ -63,10 +63,9 @@ def shingle_sets(run: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     words than a shingle has one hash of all its words; one without words has none.
     """
     data = np.frombuffer(b"\n".join(run).lower() + b"\n", dtype=np.uint8)
-    starts, ends = spans(data)
+    starts, _, hashes = word_hashes(data)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = Prefix(data).of(starts, ends)
     begins = np.cumsum([0, *(len(t) + 1 for t in run[:-1])])
     owner = np.searchsorted(begins, starts, side="right") - 1
     per_text = np.bincount(owner, minlength=len(run))

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regiostat.llm.common import table
-from regiostat.llm.oracle import NEAR_DUPS
+from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
+from regiostat.llm.oracle import NEAR_DUPS
+from regiostat.llm.quality import quality_scores
+from regiostat.llm.sharding import OLD_SHARDS, resharded, text_hash
 from regiostat.llm.token_counts import token_counts
 
 
@@ -19,16 +23,37 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; see ``quality_scores``."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a 5:2:1 mix of the sources takes of each document; see ``mixture``."""
+    return mixture(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates over four-word shingles at similarity 0.8; see ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 12 shards by text hash to 16 of near equal bytes; see ``resharded``."""
+    documents = table(spark, sf_dir, "documents")
+    return resharded(documents, F.pmod(text_hash(), F.lit(OLD_SHARDS))).drop("old_shard")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
         "op1_token_counts": op1_token_counts,
+        "op5_quality": op5_quality,
+        "op6_mixing": op6_mixing,
         "op8_near_dups": op8_near_dups,
+        "op9_sharding": op9_sharding,
     }
 
 

@@ -75,3 +75,38 @@ class Prefix:
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+
+
+#: Bytes hashed at a time; a longer word is hashed in one go all the same.
+PIECE = 1 << 22
+
+
+def pieces(data: np.ndarray, separators: np.ndarray = SPACES) -> list[tuple[int, int]]:
+    """Ranges of about ``PIECE`` bytes that end at separators."""
+    found, a = [], 0
+    while a < len(data):
+        b = min(a + PIECE, len(data))
+        while b < len(data):
+            near = np.flatnonzero(separators[data[b : b + PIECE]])
+            if len(near):
+                b += int(near[0])
+                break
+            b = min(b + PIECE, len(data))
+        found.append((a, b))
+        a = b
+    return found
+
+
+def word_hashes(
+    data: np.ndarray, separators: np.ndarray = SPACES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word, with memory bounded by the words and not by the bytes."""
+    parts = []
+    for a, b in pieces(data, separators):
+        piece = data[a:b]
+        starts, ends = spans(piece, separators)
+        parts.append((starts + a, ends + a, Prefix(piece).of(starts, ends)))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
