@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.llm.common import table
+from regiostat.llm.decontaminate import leaks
 from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
 from regiostat.llm.oracle import NEAR_DUPS
@@ -23,6 +24,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, with its place; see ``leaks``."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text; see ``quality_scores``."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -50,6 +56,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
         "op1_token_counts": op1_token_counts,
+        "op4_decontamination": op4_decontamination,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
         "op8_near_dups": op8_near_dups,
