@@ -12,14 +12,15 @@ for each block; an ordinary benchmark is one block.
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -249,22 +250,22 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
 
 
 def _shared(documents: DataFrame, rows: list[Row], rate: float) -> Broadcast:
-    return documents.sparkSession.sparkContext.broadcast(([tuple(r) for r in rows], rate))
-
-
-def _indexed(shared: Broadcast) -> Callable[[], Index]:
-    """Builds the index once per Python worker and block."""
+    return documents.sparkSession.sparkContext.broadcast(
+        (uuid.uuid4().hex, [tuple(r) for r in rows], rate)
+    )
 
-    def get() -> Index:
-        if shared.id not in _indexes:
-            _indexes.clear()
-            _indexes[shared.id] = build_index(*shared.value)
-        return _indexes[shared.id]
 
-    return get
+#: The index a Python worker built last, by the name of its block.
+_built: dict[str, Index] = {}
 
 
-_indexes: dict[int, Index] = {}
+def index_of(shared: Broadcast) -> Index:
+    """The index of a block, built once per Python worker."""
+    name, rows, rate = shared.value
+    if name not in _built:
+        _built.clear()
+        _built[name] = build_index(rows, rate)
+    return _built[name]
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
@@ -279,10 +280,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
     )
     found = documents.sparkSession.createDataFrame([], MATCHES)
     for block in _blocks(benchmark):
-        index = _indexed(_shared(documents, block, rate))
+        shared = _shared(documents, block, rate)
 
-        def run(batches: Iterator[pd.DataFrame], index: Callable[[], Index] = index) -> Iterator[pd.DataFrame]:
-            known = index()
+        def run(
+            batches: Iterator[pd.DataFrame], shared: Broadcast = shared
+        ) -> Iterator[pd.DataFrame]:
+            known = index_of(shared)
             for batch in batches:
                 texts, ids = batch["text"].tolist(), batch["doc_id"].tolist()
                 out = []
@@ -299,21 +302,21 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
 MATCH_COLUMNS = [c.split()[0] for c in MATCHES.split(", ")]
 
 
+def _leaky(shared: Broadcast) -> Column:
+    @F.pandas_udf(T.BooleanType())
+    def leaky(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = index_of(shared)
+        for column in columns:
+            texts = [normalised(t) if isinstance(t, str) else "" for t in column]
+            hit = np.zeros(len(texts), bool)
+            hit[[k for k, *_ in find(known, texts)]] = True
+            yield pd.Series(hit)
+
+    return leaky(F.col("text"))
+
+
 def without_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``documents`` that hold no item, with all their columns."""
     for block in _blocks(benchmark):
-        index = _indexed(_shared(documents, block, rate))
-
-        @F.pandas_udf(T.BooleanType())
-        def leaky(
-            columns: Iterator[pd.Series], index: Callable[[], Index] = index
-        ) -> Iterator[pd.Series]:
-            known = index()
-            for column in columns:
-                texts = [normalised(t) if isinstance(t, str) else "" for t in column]
-                hit = np.zeros(len(texts), bool)
-                hit[[k for k, *_ in find(known, texts)]] = True
-                yield pd.Series(hit)
-
-        documents = documents.filter(~leaky(F.col("text")))
+        documents = documents.filter(~_leaky(_shared(documents, block, rate)))
     return documents

@@ -179,7 +179,7 @@ def mixture(
             F.col("doc_id").cast("long").alias("doc_id"),
             "source",
             word_count("text").alias("size"),
-            F.xxhash64("doc_id", "text").alias("tie"),
+            F.xxhash64(F.col("doc_id").cast("long"), "text").alias("tie"),
         ),
         "mix-sizes",
     )
@@ -222,3 +222,28 @@ def mixture(
         F.col("taken_copies").alias("copies"),
         "tie",
     )
+
+
+#: Decisions are broadcast to the documents up to so many rows; beyond that Spark shuffles.
+BROADCAST_ROWS = 500_000
+
+
+def mixed(documents: DataFrame, **settings) -> DataFrame:
+    """The rows of ``documents`` as often as the mix takes them, with all their columns.
+
+    Rows that agree in doc_id and text all get the rounded mean of their draws.
+    """
+    drawn = mixture(documents, **settings)
+    copies = staged(
+        drawn.groupBy(F.col("tie").alias("mix_tie"))
+        .agg(F.round(F.avg("copies")).cast("int").alias("mix_copies"))
+        .filter("mix_copies > 0"),
+        "mix-copies",
+    )
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)
+    tie = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    repeated = documents.join(copies, tie == copies["mix_tie"]).withColumn(
+        "mix_copy", F.explode(F.array_repeat(F.lit(True), F.col("mix_copies")))
+    )
+    return repeated.select(*[documents[c] for c in documents.columns])

@@ -375,3 +375,13 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         F.lit(True).alias("kept"),
     )
     return found.union(nameless)
+
+
+def one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` that stay when one document of each group does, all columns kept."""
+    found = near_duplicates(documents, words, percent)
+    gone = staged(found.filter("NOT kept").select("doc_id").distinct(), "near-dup-gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    gone = gone.withColumnRenamed("doc_id", "gone_id")
+    return documents.join(gone, documents["doc_id"].cast("long") == gone["gone_id"], "left_anti")
