@@ -10,9 +10,12 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiostat.session import ship_package
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by Spark so that any file system it knows will do."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: work done once, lineage cut there."""
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from regiostat.llm.oracle import NEAR_DUPS
 from regiostat.llm.quality import quality_scores
 from regiostat.llm.sharding import OLD_SHARDS, resharded, text_hash
 from regiostat.llm.token_counts import token_counts
+from regiostat.llm.toxicity import toxicity_scores
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; see ``toxicity_scores``."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, with its place; see ``leaks``."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -56,6 +62,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_toxicity": op2_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
