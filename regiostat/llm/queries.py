@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from regiostat.llm.common import table
 from regiostat.llm.decontaminate import leaks
+from regiostat.llm.language_id import predicted_languages
 from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
 from regiostat.llm.oracle import NEAR_DUPS
@@ -58,6 +59,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharded(documents, F.pmod(text_hash(), F.lit(OLD_SHARDS))).drop("old_shard")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; see ``predicted_languages``."""
+    return predicted_languages(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
@@ -68,6 +74,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op8_near_dups": op8_near_dups,
         "op9_sharding": op9_sharding,
+        "op10_language_id": op10_language_id,
     }
 
 
