@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from regiostat.llm.common import table
 from regiostat.llm.decontaminate import leaks
 from regiostat.llm.language_id import predicted_languages
+from regiostat.llm.licenses import license_matches
 from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
+from regiostat.llm.neighbours import neighbours
 from regiostat.llm.oracle import NEAR_DUPS
 from regiostat.llm.quality import quality_scores
 from regiostat.llm.sharding import OLD_SHARDS, resharded, text_hash
@@ -31,6 +33,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth one; see ``neighbours``."""
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, with its place; see ``leaks``."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,6 +55,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence notice found in a document; see ``license_matches``."""
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates over four-word shingles at similarity 0.8; see ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
@@ -69,9 +81,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_toxicity": op2_toxicity,
+        "op3_neighbours": op3_neighbours,
         "op4_decontamination": op4_decontamination,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
+        "op7_licenses": op7_licenses,
         "op8_near_dups": op8_near_dups,
         "op9_sharding": op9_sharding,
         "op10_language_id": op10_language_id,
