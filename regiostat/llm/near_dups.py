@@ -12,7 +12,7 @@ Half keys that only one class has are dropped before tables are formed; they can
    links the usual group of copies without looking at pairs;
 2. classes that meet in a table but are not yet connected are compared in blocks, so that no link
    between different components is lost; a pair must also agree in ``AGREE`` of its 24 half keys
-   (a true pair fails that with probability 3e-6).
+   (compared by 16 bits of each; a true pair fails that with probability 3e-6).
 
 Every link is confirmed on the full sets.
 """
@@ -35,6 +35,8 @@ ROWS = 2
 AGREE = 5
 #: Classes in a block when those of one table are compared with each other.
 BLOCK = 512
+#: Rows of such comparisons in one group of a task.
+GROUP_ROWS = 4000
 #: At most so many ids are broadcast to pick documents; beyond that Spark shuffles.
 BROADCAST_IDS = 500_000
 
@@ -49,6 +51,7 @@ SKETCH = T.StructType(
         T.StructField("print2", T.LongType()),
         T.StructField("us", T.ArrayType(T.LongType())),
         T.StructField("vs", T.ArrayType(T.LongType())),
+        T.StructField("marks", T.BinaryType()),
     ]
 )
 SETS = T.StructType(
@@ -127,11 +130,13 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                 full = np.flatnonzero(sizes)
                 us: list = [None] * len(sets)
                 vs: list = [None] * len(sets)
+                marks: list = [None] * len(sets)
                 if len(full):
                     cuts = np.cumsum([0, *sizes[full][:-1]])
                     keys = half_keys(np.concatenate([sets[k] for k in full]), cuts)
                     for k, row in zip(full, keys, strict=True):
                         us[k], vs[k] = row[:HALVES], row[HALVES:]
+                        marks[k] = row.astype(np.uint16).tobytes()
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[first : first + len(texts)],
@@ -140,6 +145,7 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                         "print2": [mix(~s).sum(dtype=np.uint64).view(np.int64) for s in sets],
                         "us": us,
                         "vs": vs,
+                        "marks": marks,
                     }
                 )
 
@@ -239,7 +245,8 @@ def candidates_in_blocks(
 ) -> DataFrame:
     """Pairs of classes that meet in a table but lie in different components.
 
-    The classes of a table are dealt to blocks, every pair of blocks is a task's group, and a pair
+    The classes of a table are dealt to blocks of about ``BLOCK``, and every pair of blocks is compared
+    by itself. Many such comparisons share a task's group, since most tables hold a few classes. A pair
     is returned if set sizes allow the similarity and enough half keys agree.
     """
     rows = keyed.join(labels, "node", "left").withColumn(
@@ -249,8 +256,11 @@ def candidates_in_blocks(
         rows.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
         .filter("low < high")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
+    open_keys = staged(open_keys, "near-dup-open")
+    amount = open_keys.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]
+    groups = amount // GROUP_ROWS + 1
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
@@ -259,30 +269,37 @@ def candidates_in_blocks(
         .withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .join(classes.select("node", "n_shingles", "us", "vs"), "node")
+        .join(classes.select("node", "n_shingles", "marks"), "node")
+        .withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
+        .select("part", "key", "low", "high", "block", "node", "component", "n_shingles", "marks")
     )
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        nodes, comps = group["node"].to_numpy(), group["component"].to_numpy()
-        sizes, block = group["n_shingles"].to_numpy(), group["block"].to_numpy()
-        keys = np.hstack([np.stack(group["us"]), np.stack(group["vs"])])
-        high = group["high"].iloc[0]
-        same = group["low"].iloc[0] == high
+        group = group.sort_values(["key", "low", "high", "node"], kind="stable")
+        key, low, high, block, node, component, size = (
+            group[c].to_numpy()
+            for c in ("key", "low", "high", "block", "node", "component", "n_shingles")
+        )
+        marks = np.frombuffer(b"".join(group["marks"]), np.uint16).reshape(len(group), -1)
         found = []
-        for k in range(len(nodes)):
-            if not same and block[k] == high:
-                continue
-            ok = (
-                ((nodes > nodes[k]) if same else (block == high))
-                & (comps != comps[k])
-                & (100 * np.minimum(sizes, sizes[k]) >= percent * np.maximum(sizes, sizes[k]))
-            )
-            at = np.flatnonzero(ok)
-            at = at[(keys[at] == keys[k]).sum(axis=1) >= AGREE]
-            found += [(min(nodes[k], nodes[j]), max(nodes[k], nodes[j])) for j in at]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("key", "low", "high").applyInPandas(run, "a long, b long").distinct()
+        # Rows of one comparison are neighbours: compare each row with the one ``step`` behind it.
+        place = np.arange(len(group) - 1)
+        step = 1
+        while len(place):
+            i, j = place, place + step
+            place = i[(key[i] == key[j]) & (low[i] == low[j]) & (high[i] == high[j])]
+            i, j = place, place + step
+            ok = (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+            ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            i, j = i[ok], j[ok]
+            ok = (marks[i] == marks[j]).sum(axis=1) >= AGREE
+            found.append(np.stack([node[i[ok]], node[j[ok]]], axis=1))
+            step += 1
+            place = place[place + step < len(group)]
+        pairs = np.unique(np.concatenate([*found, np.zeros((0, 2), np.int64)]), axis=0)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    return dealt.groupBy("part").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -302,6 +319,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
             F.min("doc_id").alias("node"),
             F.min_by("us", "doc_id").alias("us"),
             F.min_by("vs", "doc_id").alias("vs"),
+            F.min_by("marks", "doc_id").alias("marks"),
         ),
         "near-dup-classes",
     )
