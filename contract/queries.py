@@ -1152,7 +1152,7 @@ def _(t):
 @query("ST3_streamed_months")
 def _(t):
     stream = I.file_stream(t.spark, t.folder, "events.parquet")
-    days = I.stream_daily_counts(stream, "ts", "event_type", "40 days", *_folders(t, "months"))
+    days = I.stream_daily_counts(stream, "ts", "event_type", *_folders(t, "months"))
     return I.months_of_days(days)
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 ACCENTED = "ÁÀÂÃÄÅáàâãäåÇçÉÈÊËéèêëÍÌÎÏíìîïÑñÓÒÔÕÖóòôõöÚÙÛÜúùûüÝýÿ"
 PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
 
+#: Decimal notation; suffixes, names of special values and separators are no numbers.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
 # Region code -> label and label -> code used by the regional credit series.
 REGION_LABELS = {"1": "Norte", "2": "Nordeste", "3": "Sudeste", "4": "Sul", "5": "Centro-Oeste"}
 REGION_CODES = {
@@ -36,8 +39,15 @@ def name_key(c: Column) -> Column:
 
 
 def lenient_number(c: Column) -> Column:
-    """Text to double, NULL where the text is no number."""
-    return F.trim(c).try_cast("double")
+    """Text to double, NULL where the text is no finite decimal number."""
+    text = F.trim(c)
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
+
+
+def lenient_int(c: Column) -> Column:
+    """Text to int by way of a number, NULL where it does not fit."""
+    return lenient_number(c).try_cast("int")
 
 
 def decimal_comma(c: Column) -> Column:
@@ -45,7 +55,7 @@ def decimal_comma(c: Column) -> Column:
 
 
 def count_or_zero(c: Column) -> Column:
-    return F.coalesce(lenient_number(c).cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(lenient_number(c).try_cast("long"), F.lit(0).cast("long"))
 
 
 def null_if_blank(c: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +58,10 @@ def with_ranks(
         per_group = sizes.groupBy(*group, "_bucket").agg(F.sum("n").alias("n"))
         sizes_map = F.map_from_entries(F.collect_list(F.struct("_bucket", "n"))).alias("_sizes")
         if group:
-            rows = rows.join(per_group.groupBy(*group).agg(sizes_map), list(group))
+            # NULL is a group like any other.
+            named = per_group.groupBy(*[F.col(c).alias(f"_group_{c}") for c in group]).agg(sizes_map)
+            same = reduce(and_, [rows[c].eqNullSafe(named[f"_group_{c}"]) for c in group])
+            rows = rows.join(named, same).drop(*[f"_group_{c}" for c in group])
         else:
             rows = rows.withColumn("_sizes", per_group.agg(sizes_map).scalar())
         outside = F.aggregate(

@@ -17,19 +17,29 @@ def align(
     axis: Column,
     period: str = "period",
     also: Sequence[Column] = (),
+    first_by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key with one array per value; position i belongs to ``axis[i]``, gaps NULL.
 
     ``also`` adds named aggregates of the same group.
 
-    ``df`` is one row per (key, period). Each key collects one map of its periods and the axis
-    is looked up in it: one shuffle, no key x axis product.
+    Each key collects one map of its periods and the axis is looked up in it: one shuffle, no
+    key x axis product. Of several rows for one (key, period) the first by ``first_by`` counts, then
+    the one with the smallest values.
     """
-    cells = F.struct(*[F.col(c).alias(out) for c, out in values.items()])
-    lookup = F.map_from_entries(F.collect_list(F.struct(F.col(period), cells)))
-    grouped = df.groupBy(*keys).agg(lookup.alias("_cells"), *also)
-    extra = [c for c in grouped.columns if c not in (*keys, "_cells")]
-    per_key = grouped.withColumn("_axis", axis)
+    cells = F.struct(*[F.col(c).alias(out) for c, out in values.items()]).alias("_values")
+    entry = F.struct(F.col(period).alias("_at"), *first_by, cells)
+    entries = F.sort_array(F.collect_list(entry)).alias("_entries")
+    # A NULL period is no position of the axis.
+    grouped = df.groupBy(*keys).agg(entries, *also)
+    first = F.filter(
+        "_entries",
+        lambda e, i: e["_at"].isNotNull()
+        & ((i == 0) | ~e["_at"].eqNullSafe(F.get("_entries", i - 1)["_at"])),
+    )
+    lookup = F.map_from_entries(F.transform(first, lambda e: F.struct(e["_at"], e["_values"])))
+    extra = [c for c in grouped.columns if c not in (*keys, "_entries")]
+    per_key = grouped.withColumn("_cells", lookup).drop("_entries").withColumn("_axis", axis)
 
     def series(out: str) -> Column:
         return F.transform("_axis", lambda p: F.try_element_at("_cells", p)[out])

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.functions import clean as X
 from regiostat.functions import metrics as M
+from regiostat.session import ship_package
 
 # Layout of the balance file.
 JUNK_LINES = 2
@@ -19,39 +22,75 @@ ACCOUNT_PATTERN = r"VERBETE_(\d{3})"
 BATCH_LINES = 50_000
 
 
+LINES = "path string, header string, line string, problem string"
+BAD_ARCHIVE = "bad archive"
+RAGGED = "other number of cells than the header"
+
+
 def _lines_of_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Unzip each file inside the task and hand its lines on in bounded batches."""
+    """Unzip each file inside the task and hand its lines on in bounded batches.
+
+    An archive that cannot be read costs only itself: it gives one row with the problem.
+    """
     for files in batches:
-        for path, content in zip(files["path"], files["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.namelist():
-                    with archive.open(member) as raw:
-                        text = io.TextIOWrapper(raw, encoding="latin-1", newline=None)
-                        for _ in range(JUNK_LINES):
-                            text.readline()
-                        header = text.readline().rstrip("\n")
-                        lines: list[str] = []
-                        for line in text:
-                            lines.append(line.rstrip("\n"))
-                            if len(lines) == BATCH_LINES:
-                                yield pd.DataFrame({"path": path, "header": header, "line": lines})
-                                lines = []
-                        if lines:
-                            yield pd.DataFrame({"path": path, "header": header, "line": lines})
+        for path, content in zip(files["path"], files["content"], strict=True):
+            try:
+                for header, lines in _members(content):
+                    yield pd.DataFrame(
+                        {"path": path, "header": header, "line": lines, "problem": None}
+                    )
+            except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+                yield pd.DataFrame(
+                    {"path": [path], "header": None, "line": None, "problem": BAD_ARCHIVE}
+                )
+
+
+def _members(content: bytes) -> Iterator[tuple[str, list[str]]]:
+    """Header and some lines of each member, again and again until all lines are read."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for member in archive.namelist():
+            with archive.open(member) as raw:
+                text = io.TextIOWrapper(raw, encoding="latin-1", newline=None)
+                for _ in range(JUNK_LINES):
+                    text.readline()
+                header = text.readline().rstrip("\n")
+                while lines := [x.rstrip("\n") for x in itertools.islice(text, BATCH_LINES)]:
+                    yield header, lines
 
 
 def read_zipped_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, header, line): Spark has no zip codec, so one small Python step unpacks."""
+    """(path, header, line, problem): Spark has no zip codec, so one small Python step unpacks."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(_lines_of_zips, "path string, header string, line string")
+    return files.mapInPandas(_lines_of_zips, LINES)
+
+
+def split_cells(c: Column) -> Column:
+    """Cells of a ``;`` line; a separator inside quotes is text, quotes around a cell go."""
+    plain = F.split(c, ";")
+    quoted = F.transform(
+        F.split(c, r';(?=(?:[^"]*"[^"]*")*[^"]*$)'),
+        lambda x: F.replace(F.regexp_replace(x, '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')),
+    )
+    return F.when(F.contains(c, F.lit('"')), quoted).otherwise(plain)
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    cells = lines.filter("problem IS NULL AND line <> ''").select(
+        "path", split_cells(F.col("header")).alias("names"), split_cells(F.col("line")).alias("cells")
+    )
+    return cells.withColumn("same", F.size("names") == F.size("cells"))
 
 
 def balance_cells(lines: DataFrame) -> DataFrame:
-    """Named cells of each line as a map, so files may differ in their value columns."""
-    cells = F.map_from_arrays(F.split("header", ";"), F.split("line", ";"))
-    same = F.size(F.split("header", ";")) == F.size(F.split("line", ";"))
-    return lines.filter(same).select(cells.alias("c")).select(
-        X.lenient_number(F.col("c")["#DATA_BASE"]).cast("int").alias("period"),
+    """Named cells of each line as a map, so files may differ in their value columns.
+
+    Lines that do not fit their header are counted by ``balance_rejects``.
+    """
+    # The condition stands inside too: a filter may be evaluated after the map.
+    cells = F.when(F.col("same"), F.map_from_arrays("names", "cells"))
+    return _split(lines).filter("same").select(cells.alias("c")).select(
+        X.lenient_int(F.col("c")["#DATA_BASE"]).alias("period"),
         F.trim(F.coalesce(F.col("c")["CODMUN_IBGE"], F.lit(""))).alias("place_id"),
         F.col("c")["CNPJ"].alias("tax_id"),
         X.lenient_number(F.col("c")["AGEN_PROCESSADAS"]).alias("branches"),
@@ -59,11 +98,20 @@ def balance_cells(lines: DataFrame) -> DataFrame:
     )
 
 
+def balance_rejects(lines: DataFrame) -> DataFrame:
+    """(file, reason, rows): archives that cannot be read, and lines that do not fit their header."""
+    bad = lines.filter("problem IS NOT NULL").select("path", F.col("problem").alias("reason"))
+    ragged = _split(lines).filter("NOT same").select("path", F.lit(RAGGED).alias("reason"))
+    return bad.union(ragged).groupBy(F.col("path").alias("file"), "reason").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 def place_amounts(cells: DataFrame) -> DataFrame:
     """(period, place, account) sums in thousands, one decimal; every account is kept."""
     long = cells.select("period", "place_id", F.explode("accounts").alias("name", "text")).select(
         "period", "place_id",
-        F.regexp_extract("name", ACCOUNT_PATTERN, 1).cast("int").alias("account"),
+        F.regexp_extract("name", ACCOUNT_PATTERN, 1).try_cast("int").alias("account"),
         X.lenient_number(F.col("text")).alias("value"),
     )
     sums = long.dropna(subset=["value", "period"]).groupBy("period", "place_id", "account").agg(

@@ -35,7 +35,7 @@ FALLBACK_REGISTRY = {
 
 def _typed(rows: DataFrame) -> DataFrame:
     """Codes stay text whatever the source wrote; money to thousands, once."""
-    out = rows.withColumn("period", X.lenient_number(F.col("period")).cast("int"))
+    out = rows.withColumn("period", X.lenient_int(F.col("period")))
     if "value" in rows.columns:
         out = out.withColumn("value", X.thousands(X.lenient_number(F.col("value"))))
         out = out.filter(F.col("value").isNotNull())

@@ -88,7 +88,7 @@ def _header_table(
 
 
 def _number(c: str) -> Column:
-    return X.lenient_number(F.col(c)).cast("int").alias(c)
+    return X.lenient_int(F.col(c)).alias(c)
 
 
 def read_population(spark: SparkSession, path: str) -> DataFrame:
@@ -97,7 +97,7 @@ def read_population(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _wide(rows: DataFrame, keys: list[str], variables: dict[str, int], number: str) -> DataFrame:
-    typed = rows.withColumns({c: X.lenient_number(F.col(c)).cast("int") for c in (number, "variable")})
+    typed = rows.withColumns({c: X.lenient_int(F.col(c)) for c in (number, "variable")})
     return pivot_first(typed, keys, "variable", "value", variables)
 
 
@@ -249,18 +249,24 @@ LAYOUT = {
 
 
 def raw_tables(
-    spark: SparkSession, raw: str, seeds: str, layout: Mapping[str, str] | None = None
+    spark: SparkSession,
+    raw: str,
+    seeds: str,
+    layout: Mapping[str, str] | None = None,
+    seed_files: Mapping[str, str] | None = None,
 ) -> TableSet:
     """Base tables and views over a raw folder; ``seeds`` holds one ``<table>.csv`` per seed.
 
-    A source without files becomes an empty typed table; the others go on.
+    ``seed_files`` maps a seed (or ``coordinates``) to another file name. A source without files
+    becomes an empty typed table; the others go on. ``load_rejects`` says what was left out.
     """
-    at = {name: f"{raw}/{pattern}" for name, pattern in {**LAYOUT, **(layout or {})}.items()}
+    at = _paths(raw, layout)
+    seed_at = _seed_paths(seeds, seed_files)
 
     def seed(table: str) -> DataFrame:
-        df = read_seed(spark, f"{seeds}/{table}.csv", SEED_SCHEMAS[table])
+        df = read_seed(spark, seed_at[table], SEED_SCHEMAS[table])
         number = SEED_NUMBERS.get(table)
-        return df.withColumn(number, F.col(number).cast("int")) if number else df
+        return df.withColumn(number, X.lenient_int(F.col(number))) if number else df
 
     def balance_cells() -> DataFrame:
         return banks.balance_cells(banks.read_zipped_lines(spark, at["balances"]))
@@ -284,7 +290,7 @@ def raw_tables(
     loaders = {name: (lambda t, n=name: seed(n)) for name in SEED_SCHEMAS}
     loaders.update(
         {
-            "place": lambda t: read_places(spark, at["places"], f"{seeds}/coordinates.csv"),
+            "place": lambda t: read_places(spark, at["places"], seed_at["coordinates"]),
             "population_a": lambda t: read_population(spark, at["population"]),
             "population_b": lambda t: read_past_population(spark, at["past_population"]),
             "national_jobs": lambda t: read_national_jobs(spark, at["national_jobs"]),
@@ -316,6 +322,99 @@ def raw_tables(
     return TableSet(spark, {**builders, **VIEWS})
 
 
+def _paths(raw: str, layout: Mapping[str, str] | None) -> dict[str, str]:
+    return {name: f"{raw}/{pattern}" for name, pattern in {**LAYOUT, **(layout or {})}.items()}
+
+
+def _seed_paths(seeds: str, seed_files: Mapping[str, str] | None) -> dict[str, str]:
+    names = {name: f"{name}.csv" for name in [*SEED_SCHEMAS, "coordinates"]} | dict(seed_files or {})
+    return {name: f"{seeds}/{file}" for name, file in names.items()}
+
+
+# Labels that a file of each header-in-first-row source must have.
+HEADER_LABELS = {
+    "population": [PLACE_LABEL, YEAR_LABEL],
+    "place_gdp": [PLACE_LABEL, VARIABLE_LABEL, YEAR_LABEL],
+    "quarter_gdp": [VARIABLE_LABEL, QUARTER_LABEL, SECTOR_LABEL],
+    "companies": [PLACE_LABEL, VARIABLE_LABEL, YEAR_LABEL, ACTIVITY_LABEL],
+    "company_totals": [PLACE_LABEL, VARIABLE_LABEL, YEAR_LABEL],
+}
+REJECTS = "source string, file string, reason string, rows bigint"
+
+
+def load_rejects(
+    spark: SparkSession,
+    raw: str,
+    seeds: str,
+    layout: Mapping[str, str] | None = None,
+    seed_files: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """(source, file, reason, rows) of everything that the load leaves out.
+
+    Files that are no JSON or lack a label, archives that cannot be read, lines that do not fit their
+    header, microdata files without a needed column, and rows whose place or account is unknown.
+    """
+    at = _paths(raw, layout)
+    t = raw_tables(spark, raw, seeds, layout, seed_files)
+
+    def labels(name: str) -> DataFrame:
+        wanted = {f"l{k}": label for k, label in enumerate(HEADER_LABELS[name])}
+        found = read_header_row_json(spark, at[name], wanted)[1]
+        return found.filter("reason <> 'corrupt'").select(F.col("stem").alias("file"), "reason")
+
+    def lines() -> DataFrame:
+        return banks.read_zipped_lines(spark, at["balances"])
+
+    def unknown_places() -> DataFrame:
+        cells = banks.balance_cells(lines())
+        return cells.join(t["place"].select("place_id"), "place_id", "left_anti").select(
+            F.lit(None).cast("string").alias("file"), F.lit("unknown place").alias("reason")
+        )
+
+    def unknown_accounts() -> DataFrame:
+        amounts = banks.place_amounts(banks.balance_cells(lines()))
+        return amounts.join(t["account"].select("account"), "account", "left_anti").select(
+            F.lit(None).cast("string").alias("file"), F.lit("unknown account").alias("reason")
+        )
+
+    def unknown_job_places() -> DataFrame:
+        raw_rows = movements.read_movements(spark, at["movements"])
+        left_out = extend_code(raw_rows.dropna(subset=["period", "place_id6", "division"]), t["place"])[1]
+        return left_out.select(
+            F.lit(None).cast("string").alias("file"), F.lit("unknown place").alias("reason")
+        )
+
+    def incomplete_jobs() -> DataFrame:
+        raw_rows = movements.read_movements(spark, at["movements"])
+        key = F.col("period").isNull() | F.col("place_id6").isNull() | F.col("division").isNull()
+        return raw_rows.filter(key).select(
+            F.lit(None).cast("string").alias("file"), F.lit("period, place or activity missing").alias("reason")
+        )
+
+    steps = {("json", "raw"): lambda: raw_rejects(spark, raw, layout)}
+    steps |= {(name, "labels"): (lambda n=name: labels(n)) for name in HEADER_LABELS}
+    steps |= {
+        ("balances", "lines"): lambda: banks.balance_rejects(lines()),
+        ("balances", "places"): unknown_places,
+        ("balances", "accounts"): unknown_accounts,
+        ("movements", "files"): lambda: movements.movement_rejects(spark, at["movements"]),
+        ("movements", "keys"): incomplete_jobs,
+        ("movements", "places"): unknown_job_places,
+    }
+    found = spark.createDataFrame([], REJECTS)
+    for (source, _), step in steps.items():
+        try:
+            part = step()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        if "rows" not in part.columns:
+            part = part.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("rows"))
+        found = found.union(part.select(F.lit(source).alias("source"), "file", "reason", "rows"))
+    return found
+
+
 def with_fallback(t: TableSet, folder: str, quarters: Sequence[int]) -> TableSet:
     """Fill quarters (of a portfolio report) that the main source has no rows of.
 

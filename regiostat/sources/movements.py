@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,18 +24,73 @@ def fold_header(name: str) -> str:
     return name.translate(table).encode("ascii", "ignore").decode().lower()
 
 
+def file_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None, str | None]]:
+    """(file, kind, header line) of every file; NULL for a name without kind or a file without header.
+
+    The header is the line that names the period column. Only the first split of a file is searched.
+    """
+    lines = spark.read.text(path)
+    names = X.fold_accents(F.lower("value"))
+    found = (
+        lines.filter(F.col("_metadata.file_block_start") == 0)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(F.when(F.contains(names, F.lit(MOVEMENT_COLUMNS[0])), F.col("value"))).alias("header"))
+    )
+    # One row for each file; the driver lists the files anyway.
+    return [(row["file"], kind_of(row["file"]), row["header"]) for row in found.orderBy("file").collect()]
+
+
+def kind_of(file: str) -> str | None:
+    """Kind of a microdata file by its name."""
+    match = re.search(r"(?:^|CAGED|[^A-Za-z])(MOV|FOR|EXC)(?![A-Za-z])", file.rsplit("/", 1)[-1])
+    return match[1] if match else None
+
+
+def columns_of(header: str | None) -> list[str]:
+    """Folded column names of a header line."""
+    return [fold_header(c.strip().strip('"')) for c in (header or "").lstrip("\ufeff").split(";")]
+
+
+def _problem(kind: str | None, header: str | None) -> str | None:
+    if kind is None:
+        return "unknown kind of file"
+    missing = [c for c in MOVEMENT_COLUMNS if c not in columns_of(header)]
+    return f"column missing: {', '.join(missing)}" if missing else None
+
+
 def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """Microdata as typed movements; Spark splits the large text files itself."""
-    raw = spark.read.csv(path, sep=";", header=True, encoding="UTF-8", inferSchema=False)
-    raw = raw.toDF(*[fold_header(c) for c in raw.columns])
-    kind = F.regexp_extract(F.col("_metadata.file_name"), r"(MOV|FOR|EXC)", 1)
-    return type_movements(raw.select(*MOVEMENT_COLUMNS, kind.alias("kind")))
+    """Microdata as typed movements; Spark splits the large text files itself.
+
+    Files of one header are read together and by that header, so files may differ in their columns.
+    Files that cannot be read are named by ``movement_rejects``.
+    """
+    layouts: dict[tuple[str, str], list[str]] = {}
+    for file, kind, header in file_headers(spark, path):
+        if _problem(kind, header) is None:
+            layouts.setdefault((kind, header), []).append(file)
+    parts = [_read_layout(spark, files, *layout) for layout, files in sorted(layouts.items())]
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in [*MOVEMENT_COLUMNS, "kind"]))
+    return type_movements(reduce(DataFrame.unionByName, parts, empty))
+
+
+def _read_layout(spark: SparkSession, files: list[str], kind: str, header: str) -> DataFrame:
+    names = columns_of(header)
+    schema = ", ".join(f"c{k} string" for k in range(len(names)))
+    raw = spark.read.schema(schema).csv(files, sep=";", header=True, encoding="UTF-8")
+    picked = [F.col(f"c{names.index(c)}").alias(c) for c in MOVEMENT_COLUMNS]
+    return raw.select(*picked, F.lit(kind).alias("kind"))
+
+
+def movement_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason) of the microdata files that ``read_movements`` leaves out."""
+    found = [(file, _problem(kind, header)) for file, kind, header in file_headers(spark, path)]
+    return spark.createDataFrame([r for r in found if r[1]], "file string, reason string")
 
 
 def type_movements(raw: DataFrame) -> DataFrame:
     """Text columns to (period, place_id6, division, movement, wage, kind)."""
     return raw.select(
-        X.lenient_number(F.col("competenciamov")).cast("int").alias("period"),
+        X.lenient_int(F.col("competenciamov")).alias("period"),
         F.col("municipio").alias("place_id6"),
         X.prefix(F.col("subclasse"), 2).alias("division"),
         X.count_or_zero(F.col("saldomovimentacao")).alias("movement"),
@@ -48,7 +105,8 @@ def signed_jobs(movements: DataFrame, keys: Sequence[str]) -> DataFrame:
     Wages count for hires only. All sums are additive, so Spark combines them before the shuffle
     and late or retracted records correct a month whenever they arrive.
     """
-    sign = F.when(F.col("kind") == "EXC", -1).otherwise(1).cast("long")
+    sign = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v)) for k, v in KIND_SIGNS.items()])
+    sign = sign.cast("long")
     move = F.col("movement")
     hire = move > 0
     cents = F.rint(F.col("wage") * 100).cast("long")

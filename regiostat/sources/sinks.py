@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.operators.quality import duplicate_keys
@@ -35,30 +37,56 @@ def replace_periods(df: DataFrame, path: str, partition: str = "period") -> None
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _read_back(df: DataFrame, path: str) -> DataFrame:
-    """The written table in the column order of ``df``; an empty one has no file to ask."""
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+VERSIONS = "_versions"
+
+
+def write_version(
+    df: DataFrame, folder: str, name: str, keys: Sequence[str] = (), partition: str | None = None
+) -> DataFrame:
+    """Write a table beside its earlier versions, check it, then make it the current one.
+
+    Readers follow ``current_version``; a failed write or check leaves the former table as it was,
+    and a table may be computed from its own current version.
+    """
+    spark = df.sparkSession
+    path = f"{folder}/{name}/v-{uuid.uuid4().hex}"
+    write_table(df, path, partition)
+    stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    if keys and not duplicate_keys(stored, keys).isEmpty():
+        raise ValueError(f"duplicate keys in {name}: {', '.join(keys)}")
+    entry = spark.createDataFrame([(path, time.time())], VERSION_SCHEMA)
+    entry.coalesce(1).write.mode("append").json(f"{folder}/{name}/{VERSIONS}")
+    return stored
+
+
+VERSION_SCHEMA = "path string, written double"
+
+
+def current_version(spark: SparkSession, folder: str, name: str) -> str:
+    """Folder of the version that was made current last."""
+    entries = spark.read.schema(VERSION_SCHEMA).json(f"{folder}/{name}/{VERSIONS}")
+    return entries.orderBy(F.desc("written")).first()["path"]
 
 
 def write_base_tables(t: TableSet, folder: str) -> None:
     """Write every base table, fail on duplicate keys, and read them back from then on."""
     for name, keys in TABLE_KEYS.items():
-        if name not in t:
-            continue
-        df = t[name]
-        write_table(df, f"{folder}/{name}", period_column(df))
-        stored = _read_back(df, f"{folder}/{name}")
-        if not duplicate_keys(stored, keys).isEmpty():
-            raise ValueError(f"duplicate keys in {name}: {', '.join(keys)}")
-        t.repoint(name, stored)
+        if name in t:
+            t.repoint(name, write_version(t[name], folder, name, keys, period_column(t[name])))
 
 
 def materialise(t: TableSet, folder: str, names: list[str] | None = None) -> None:
     """Write the heavy views in dependency order; each name then stands for its table."""
     for name in names or MATERIALISED:
-        df = t[name]
-        write_table(df, f"{folder}/{name}")
-        t.repoint(name, _read_back(df, f"{folder}/{name}"))
+        t.repoint(name, write_version(t[name], folder, name))
+
+
+def write_datasets(
+    t: TableSet, datasets: Mapping[str, Callable[[TableSet], DataFrame]], folder: str
+) -> None:
+    """The dashboard datasets (``plans.datasets.DATASETS``), one JSON folder each."""
+    for name, dataset in datasets.items():
+        write_payload(dataset(t), f"{folder}/{name}")
 
 
 def write_sheets(

@@ -83,20 +83,20 @@ def monthly_counts(df: DataFrame, time: str, label: str) -> DataFrame:
 
 
 def stream_daily_counts(
-    stream: DataFrame, time: str, label: str, delay: str, out: str, checkpoint: str
+    stream: DataFrame, time: str, label: str, out: str, checkpoint: str
 ) -> DataFrame:
-    """Calendar days with a watermark, kept per batch; roll them up with ``months_of_days``.
+    """Calendar days per class of every file seen so far; roll them up with ``months_of_days``.
 
-    The day is the event time itself, cut in the session's time zone, so it is the same day that
-    a batch job sees.
+    Counts add up, so each batch writes its own and no state or watermark is needed: an event counts
+    whenever it arrives. The day is the event time, cut in the session's time zone, so it is the same day
+    that a batch job sees.
     """
-    day = F.date_trunc("day", F.col(time).cast("timestamp"))
-    timed = stream.withColumn("_day", day).withWatermark("_day", delay)
-    days = timed.groupBy("_day", F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("cases"))
-    flat = days.select(F.to_date("_day").alias("day"), "class", "cases")
-    _drain(flat, _batch_writer(out, lambda b: b), checkpoint, "update")
-    written = stream.sparkSession.read.parquet(out)
-    return newest_release(written, ["day", "class"], "batch").drop("batch")
+    day = F.to_date(F.col(time).cast("timestamp")).alias("day")
+
+    def count(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(day, F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("cases"))
+
+    return add_up(aggregate_new_files(stream, count, out, checkpoint), ["day", "class"])
 
 
 def months_of_days(days: DataFrame) -> DataFrame:

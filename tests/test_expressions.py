@@ -95,3 +95,15 @@ def test_bands(spark):
     got = [r[0][0] for r in df.select(M.gdp_band(col("v"))).collect()]
     assert got == ["4", "1", "4", "2"]
     assert rows(df.select(M.population_band(F.lit(20_000)).alias("b")).distinct()) == [("4. 20 mil a 100 mil",)]
+
+
+def test_numbers_that_are_none_and_numbers_that_do_not_fit(spark):
+    texts = ["10d", "NaN", "Infinity", "1e400", "1e30", "99999999999", " 7.9 ", "-.5", "1_0", "0x1", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, c string").orderBy("n")
+    c = F.col("c")
+    got = [tuple(r) for r in df.select(X.lenient_number(c), X.lenient_int(c), X.count_or_zero(c)).collect()]
+    assert got == [
+        (None, None, 0), (None, None, 0), (None, None, 0), (None, None, 0), (1e30, None, 0),
+        (99999999999.0, None, 99999999999), (7.9, 7, 7), (-0.5, 0, 0), (None, None, 0),
+        (None, None, 0), (None, None, 0), (None, None, 0),
+    ]

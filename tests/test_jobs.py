@@ -57,11 +57,22 @@ def test_only_new_files_are_read(spark, tmp_path):
 
 def test_streamed_months_equal_batch_months(spark, tmp_path):
     stream = I.file_stream(spark, SMALL, "events.parquet")
-    days = I.stream_daily_counts(stream, "ts", "event_type", "40 days", f"{tmp_path}/o", f"{tmp_path}/c")
+    days = I.stream_daily_counts(stream, "ts", "event_type", f"{tmp_path}/o", f"{tmp_path}/c")
     batch = I.monthly_counts(spark.read.parquet(f"{SMALL}/events.parquet"), "ts", "event_type")
     assert rows(I.months_of_days(days)) == rows(batch)
 
 
+def test_an_old_file_that_comes_late_counts(spark, tmp_path):
+    landing, seen = f"{tmp_path}/landing", f"{tmp_path}/seen"
+    for day in ("2024-06-03 10:00:00", "2024-06-20 09:00:00", "2024-01-05 08:00:00"):
+        row = spark.createDataFrame([(day, "a")], "ts string, kind string").select(F.to_timestamp("ts").alias("ts"), "kind")
+        row.coalesce(1).write.mode("append").parquet(landing)
+        stream = I.file_stream(spark, landing, "*.parquet")
+        days = I.stream_daily_counts(stream, "ts", "kind", seen, f"{tmp_path}/checkpoint")
+    assert rows(I.months_of_days(days)) == rows(I.monthly_counts(spark.read.parquet(landing), "ts", "kind"))
+    assert rows(I.months_of_days(days)) == [(202401, "a", 1), (202406, "a", 2)]
+
+
 def test_revised_period_replaces_the_old_one(spark, tmp_path):
     path = f"{tmp_path}/t"
     sinks.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "period int, v string"), path, "period")
@@ -77,6 +88,27 @@ def test_base_tables_reject_duplicate_keys(spark, tmp_path):
         sinks.write_base_tables(t, str(tmp_path))
 
 
+def test_a_failed_check_leaves_the_current_table(spark, tmp_path):
+    folder = str(tmp_path)
+    one = TableSet(spark, {"series_value": lambda _: spark.sql("SELECT 1 code, 202401 period, '' date, 1.0D value")})
+    sinks.write_base_tables(one, folder)
+    before = sinks.current_version(spark, folder, "series_value")
+    two = TableSet(spark, {"series_value": lambda _: spark.sql("SELECT 1 code, 202401 period, '' date, 2.0D value FROM range(2)")})
+    with pytest.raises(ValueError, match="series_value"):
+        sinks.write_base_tables(two, folder)
+    assert sinks.current_version(spark, folder, "series_value") == before
+    assert spark.read.parquet(before).select("value").collect() == [(1.0,)]
+
+
+def test_a_table_written_twice_stays(spark, tmp_path):
+    t = TableSet(spark, {"v": lambda _: spark.range(5).toDF("n")})
+    for _ in range(3):
+        sinks.materialise(t, str(tmp_path), ["v"])
+        assert rows(t["v"]) == [(k,) for k in range(5)]
+    current = sinks.current_version(spark, str(tmp_path), "v")
+    assert rows(spark.read.parquet(current)) == [(k,) for k in range(5)]
+
+
 def test_views_are_the_same_on_written_tables(spark, tmp_path):
     lazy = DriverTables(spark, SMALL)
     expected = {n: rows(lazy[n]) for n in ("state_scorecard", "sector_crosswalk")}

@@ -215,3 +215,25 @@ def test_checks_fire_on_planted_defects_only(spark):
     assert rows(quality.without_partner(df, dim, "k")) == [("b", 1)]
     assert rows(quality.unclassified(df, dim, "k")) == [("b",)]
     assert tuple(quality.load_summary(df, "k", "p").first()) == (3, 1, 1, 2)
+
+
+def test_rows_of_the_null_group_are_ranked(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 3.0), (None, None)], "g string, v double")
+    got = rows(ranking.with_rank(df, "v", "r", ["g"], 4))
+    assert sorted((r for g, _, r in got if g is None)) == [1, 2, 3]
+    assert len(got) == 5
+
+
+def test_one_dominant_group_ranks_like_the_window(spark):
+    df = spark.range(6000).selectExpr("IF(id % 50 = 0, id % 7, 99) AS g", "CAST(hash(id) % 1000 AS DOUBLE) AS v", "id")
+    got = rows(ranking.with_rank(df, "v", "r", ["g"]), "id", "r")
+    assert got == rows(df.selectExpr("id", "rank() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST) AS r"), "id", "r")
+
+
+def test_first_of_several_values_of_a_cell(spark):
+    from regiostat.operators.series import align
+
+    df = spark.createDataFrame([("k", 2, 5.0, 2), ("k", 2, 9.0, 1), ("k", 1, 4.0, 1), ("k", None, 7.0, 1)], "key string, period int, v double, place int")
+    axis = F.array(F.lit(1), F.lit(2), F.lit(3))
+    assert align(df, ["key"], {"v": "v"}, axis, first_by=["place"]).first()["v"] == [4.0, 9.0, None]
+    assert align(df, ["key"], {"v": "v"}, axis).first()["v"] == [4.0, 5.0, None]

@@ -262,3 +262,66 @@ def test_raw_folder_to_place_views(spark, put, tmp_path):
     assert rows(t["sector_jobs"], "section", "mean_wage") == [("A", 2000.0)]
     assert t["place_ranking"].count() == 2
     assert rows(load.raw_rejects(spark, f"{tmp_path}/raw")) == []
+
+
+def test_microdata_files_are_read_by_their_own_header(spark, put, tmp_path):
+    head = "competênciamov;região;município;seção;subclasse;saldomovimentação;salário"
+    other = "salário;novo;competênciamov;município;subclasse;saldomovimentação"
+    put("m/CAGEDMOV202401.txt", f"{head}\n202401;1;123456;A;0111301;1;1000,50\n")
+    put("m/CAGEDMOV202402.txt", f'{other}\n"7,25";x;202402;123456;0111302;-1\n')
+    put("m/CAGEDEXC202403.txt", "competênciamov;município\n202403;123456\n")
+    put("m/notes.txt", f"{head}\n202401;1;123456;A;0111301;1;1\n")
+    put("m/CAGEDFOR202404.txt", "no header\n")
+    got = rows(movements.read_movements(spark, f"{tmp_path}/m/*.txt"))
+    assert got == [(202401, "123456", "01", 1, 1000.5, "MOV"), (202402, "123456", "01", -1, 7.25, "MOV")]
+    bad = {f.rsplit("/", 1)[1]: r for f, r in rows(movements.movement_rejects(spark, f"{tmp_path}/m/*.txt"))}
+    assert set(bad) == {"CAGEDEXC202403.txt", "notes.txt", "CAGEDFOR202404.txt"}
+    assert bad["notes.txt"] == "unknown kind of file"
+
+
+def test_bad_archives_ragged_lines_and_quotes(spark, tmp_path):
+    text = (
+        "x\nx\n#DATA_BASE;CODMUN_IBGE;CNPJ;AGEN_PROCESSADAS;VERBETE_160_A\n"
+        '202401;"1234567";"a;b";"9";"1000"\n202401;1234567;2;3\n202401;1234567;2;3;4;5\n202401;1234567;3;1;10d\n'
+    )
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("a.csv", text)
+    (tmp_path / "good.zip").write_bytes(buffer.getvalue())
+    (tmp_path / "broken.zip").write_bytes(b"no archive")
+    lines = banks.read_zipped_lines(spark, f"{tmp_path}/*.zip")
+    cells = banks.balance_cells(lines)
+    got = rows(cells, "period", "place_id", "tax_id", "branches")
+    assert got == [(202401, "1234567", "3", 1.0), (202401, "1234567", "a;b", 9.0)]
+    assert rows(banks.place_amounts(cells), "account", "amount") == [(160, 1.0)]
+    bad = sorted((f.rsplit("/", 1)[1], r, n) for f, r, n in rows(banks.balance_rejects(lines)))
+    assert bad == [("broken.zip", banks.BAD_ARCHIVE, 1), ("good.zip", banks.RAGGED, 2)]
+
+
+def test_the_load_reports_what_it_leaves_out(spark, put, tmp_path):
+    put("raw/places.json", [{"municipio-id": 1234567, "municipio-nome": "A", "UF-id": 35, "UF-sigla": "SP", "regiao-id": 3}])
+    put("seeds/coords.csv", "codigo_ibge,latitude,longitude,capital\n1234567,-23.5,-46.6,0\n")
+    put("seeds/accounts.csv", "verbete;nome;grupo\n160;C;CREDITO\n")
+    put("raw/population/2020.json", [{"D1C": "no such label", "V": "Valor"}, {"D1C": "1", "V": "2"}])
+    put("raw/place_gdp/page.json", "<html>")
+    head = "competênciamov;região;município;seção;subclasse;saldomovimentação;salário"
+    put("raw/movements/MOV202401.txt", f"{head}\n202401;1;123456;A;0111301;1;1\n202401;1;999999;A;0111301;1;1\n;1;123456;A;0111301;1;1\n")
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("a.csv", "x\nx\n#DATA_BASE;CODMUN_IBGE;CNPJ;AGEN_PROCESSADAS;VERBETE_160_A;VERBETE_999_B\n202401;1234567;1;1;5;6\n202401;7777777;1;1;5;\n202401\n")
+    (tmp_path / "raw" / "balances").mkdir()
+    (tmp_path / "raw" / "balances" / "a.zip").write_bytes(buffer.getvalue())
+    names = {"account": "accounts.csv", "coordinates": "coords.csv"}
+    found = load.load_rejects(spark, f"{tmp_path}/raw", f"{tmp_path}/seeds", seed_files=names)
+    got = sorted((r["source"], r["reason"], r["rows"]) for r in found.collect())
+    assert got == [
+        ("balances", "other number of cells than the header", 1),
+        ("balances", "unknown account", 1),
+        ("balances", "unknown place", 1),
+        ("json", "corrupt", 1),
+        ("movements", "period, place or activity missing", 1),
+        ("movements", "unknown place", 1),
+        ("population", "label missing", 1),
+    ]
+    t = load.raw_tables(spark, f"{tmp_path}/raw", f"{tmp_path}/seeds", seed_files=names)
+    assert rows(t["account"], "account") == [(160,)]
