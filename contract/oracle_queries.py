@@ -23,6 +23,7 @@ from contract.oracle_views import (
     _max_of,
     _pivot,
 )
+from contract.round_trips import SQL as ROUND_TRIP_SQL
 from regiostat import constants as C
 from regiostat.operators import titles as T
 from regiostat.plans import datasets as D
@@ -780,5 +781,5 @@ QUALIFY row_number() OVER (PARTITION BY o_orderkey % 400, {month('o_orderdate')}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: with_blocks(sql) for key, sql in SQL.items()}
+    return {key: with_blocks(sql) for key, sql in SQL.items()} | ROUND_TRIP_SQL
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from contract.adapter import DriverTables
 from contract.oracle_views import VIEW_NAMES
+from contract.round_trips import ROUND_TRIPS
 from regiostat import constants as C
 from regiostat.functions import clean as X
 from regiostat.functions import metrics as M
@@ -1175,5 +1176,5 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f: Query):
         return lambda spark, folder: f(DriverTables(spark, folder))
 
-    return {key: bind(f) for key, f in QUERIES.items()}
+    return {key: bind(f) for key, f in {**QUERIES, **ROUND_TRIPS}.items()}
 

@@ -7,16 +7,18 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_module
 from contract.compare import connect, difference
+from contract.oracle_queries import oracle_sql
 from contract.oracle_views import VIEW_NAMES
+from contract.queries import spark_queries
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = spark_queries()
+ORACLES = oracle_sql()
 CHOSEN = [
     "S15", "C12", "C16", "C17_month", "C19", "C20", "P3", "P8", "P11", "J6", "J10", "A4", "A9", "A13",
     "W5_global", "W5_rank_per", "W7", "W9", "W10", "T3", "T4", "F6", "N5", "N8", "N9", "V1_", "V5_", "V8_",
     "V13", "V19", "V23", "V25", "V26", "V27", "V29", "V30", "V31", "V32", "V34", "V36", "R5_4", "R8_2",
     "R9_3", "R10_1", "R10_5", "D1_credit_h", "D5", "D7_axes", "D8_place_h", "D9_regional", "D14",
-    "D16_e", "D17_statement_h", "D20_f", "Q3", "Q6", "ST1", "ST2", "ST3_s",
+    "S1_", "S3_", "S6_", "S7_", "S11", "S17", "K1_", "K2_", "K5_", "D16_e", "D17_statement_h", "D20_f", "Q3", "Q6", "ST1", "ST2", "ST3_s",
 ]
 KEYS = list(QUERIES) if os.environ.get("CONTRACT") == "all" else [
     k for k in QUERIES if any(k.startswith(c) for c in CHOSEN)
@@ -36,6 +38,8 @@ def test_every_query_has_its_sql_and_every_item_a_query():
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert entry_module.entry(spark).count() == 25
 
 
