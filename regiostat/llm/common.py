@@ -54,6 +54,10 @@ def byte_size(text: str) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+#: Labels are broadcast to the documents up to so many rows; beyond that Spark shuffles the texts.
+BROADCAST_LABELS = 500_000
+
+
 def labelled(documents: DataFrame, labels: DataFrame, label: str, learnable: Column) -> DataFrame:
     """(doc_id, text, label 0 or 1) of the learnable documents that have a label.
 
@@ -65,6 +69,9 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, learnable: Col
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
     )
+    wanted = staged(wanted, "labels")
+    if wanted.count() <= BROADCAST_LABELS:
+        wanted = F.broadcast(wanted)
     return documents.select("doc_id", "text").join(wanted, "doc_id")
 
 
