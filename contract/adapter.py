@@ -26,6 +26,7 @@ PLACES = 200
 SERIES = 200
 NEW_ERA_CUT = 199901
 
+# Sector and activity series with their labels.
 SECTOR_SERIES = [
     (22027, "Agropecuária", "SETOR", "AGROPECUARIA", None),
     (22043, "Indústria total", "SETOR", "INDUSTRIA", None),

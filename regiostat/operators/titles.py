@@ -13,41 +13,41 @@ from regiostat.functions.clean import label_of, monthly_quarterly
 
 # Title prefix, metric, client, origin, modality ("" = read it from the title).
 TITLE_PATTERNS = [
-    ("Saldo de crédito pessoa jurídica por modalidade de crédito", "SALDO", "PJ", "", ""),
-    ("Saldo de crédito do MEI pessoa jurídica por modalidade de crédito", "SALDO", "MEI_PJ", "", ""),
-    ("Saldo de crédito do MEI pessoa física por modalidade de crédito", "SALDO", "MEI_PF", "", ""),
-    ("Saldo de crédito por origem dos recursos e modalidade de crédito", "SALDO", "MEI", "", ""),
-    ("Taxa de juros de pessoa jurídica por origem dos recursos e modalidade de crédito", "TAXA_JUROS", "PJ", "", ""),
-    ("Taxa de juros por origem dos recursos e modalidade de crédito", "TAXA_JUROS", "MEI", "", ""),
-    ("Taxa de inadimplência de pessoa jurídica por origem dos recursos e modalidade de crédito", "TAXA_INADIMPLENCIA", "PJ", "", ""),
-    ("Taxa de inadimplência por origem dos recursos e modalidade de crédito", "TAXA_INADIMPLENCIA", "MEI", "", ""),
-    ("Indicador de Custo do Crédito - ICC", "ICC", "", "", ""),
-    ("Spread do ICC", "SPREAD_ICC", "", "", ""),
-    ("Prazo médio da carteira de crédito com recursos livres", "PRAZO_MEDIO_CARTEIRA", "", "LIVRE", ""),
-    ("Prazo médio da carteira de crédito com recursos direcionados", "PRAZO_MEDIO_CARTEIRA", "", "DIRECIONADO", ""),
-    ("Prazo médio das concessões de crédito com recursos livres", "PRAZO_MEDIO_CONCESSAO", "", "LIVRE", ""),
-    ("Prazo médio das concessões de crédito com recursos direcionados", "PRAZO_MEDIO_CONCESSAO", "", "DIRECIONADO", ""),
-    ("Saldo de crédito por região - MEI", "SALDO", "MEI", "", ""),
-    ("Saldo de crédito pessoa jurídica por região", "SALDO", "PJ", "", ""),
-    ("Saldo da carteira de crédito com recursos livres rotativo -", "SALDO", "", "LIVRE", "Rotativo"),
-    ("Saldo da carteira de crédito com recursos livres não rotativo -", "SALDO", "", "LIVRE", "Não rotativo"),
-    ("Saldo da carteira de crédito com recursos livres - Pessoas jurídicas -", "SALDO", "PJ", "LIVRE", ""),
-    ("Saldo da carteira de crédito com recursos livres - Pessoas físicas -", "SALDO", "PF", "LIVRE", ""),
-    ("Saldo da carteira de crédito com recursos direcionados - Pessoas jurídicas -", "SALDO", "PJ", "DIRECIONADO", ""),
-    ("Saldo da carteira de crédito com recursos direcionados - Pessoas físicas -", "SALDO", "PF", "DIRECIONADO", ""),
-    ("Saldo da carteira de crédito com recursos livres -", "SALDO", "", "LIVRE", ""),
-    ("Saldo da carteira de crédito com recursos direcionados -", "SALDO", "", "DIRECIONADO", ""),
-    ("Saldo da carteira de crédito -", "SALDO", "", "", ""),
-    ("Concessões de crédito com recursos livres rotativo -", "CONCESSAO", "", "LIVRE", "Rotativo"),
-    ("Concessões de crédito com recursos livres não rotativo -", "CONCESSAO", "", "LIVRE", "Não rotativo"),
-    ("Concessões de crédito com recursos livres - Pessoas jurídicas -", "CONCESSAO", "PJ", "LIVRE", ""),
-    ("Concessões de crédito com recursos livres - Pessoas físicas -", "CONCESSAO", "PF", "LIVRE", ""),
-    ("Concessões de crédito com recursos direcionados - Pessoas jurídicas -", "CONCESSAO", "PJ", "DIRECIONADO", ""),
-    ("Concessões de crédito com recursos direcionados - Pessoas físicas -", "CONCESSAO", "PF", "DIRECIONADO", ""),
-    ("Concessões de crédito com recursos livres -", "CONCESSAO", "", "LIVRE", ""),
-    ("Concessões de crédito com recursos direcionados -", "CONCESSAO", "", "DIRECIONADO", ""),
-    ("Concessões de crédito -", "CONCESSAO", "", "", ""),
-    ("Prazo médio das concessões de crédito -", "PRAZO_MEDIO_CONCESSAO", "", "", ""),
+    ("Saldo de crédito pessoa jurídica por modalidade de crédito", "SALDO", "PJ", None, None),
+    ("Saldo de crédito do MEI pessoa jurídica por modalidade de crédito", "SALDO", "MEI_PJ", None, None),
+    ("Saldo de crédito do MEI pessoa física por modalidade de crédito", "SALDO", "MEI_PF", None, None),
+    ("Saldo de crédito por origem dos recursos e modalidade de crédito", "SALDO", "MEI", None, None),
+    ("Taxa de juros de pessoa jurídica por origem dos recursos e modalidade de crédito", "TAXA_JUROS", "PJ", None, None),
+    ("Taxa de juros por origem dos recursos e modalidade de crédito", "TAXA_JUROS", "MEI", None, None),
+    ("Taxa de inadimplência de pessoa jurídica por origem dos recursos e modalidade de crédito", "TAXA_INADIMPLENCIA", "PJ", None, None),
+    ("Taxa de inadimplência por origem dos recursos e modalidade de crédito", "TAXA_INADIMPLENCIA", "MEI", None, None),
+    ("Indicador de Custo do Crédito - ICC", "ICC", None, None, None),
+    ("Spread do ICC", "SPREAD_ICC", None, None, None),
+    ("Prazo médio da carteira de crédito com recursos livres", "PRAZO_MEDIO_CARTEIRA", None, "LIVRE", None),
+    ("Prazo médio da carteira de crédito com recursos direcionados", "PRAZO_MEDIO_CARTEIRA", None, "DIRECIONADO", None),
+    ("Prazo médio das concessões de crédito com recursos livres", "PRAZO_MEDIO_CONCESSAO", None, "LIVRE", None),
+    ("Prazo médio das concessões de crédito com recursos direcionados", "PRAZO_MEDIO_CONCESSAO", None, "DIRECIONADO", None),
+    ("Saldo de crédito por região - MEI", "SALDO", "MEI", None, None),
+    ("Saldo de crédito pessoa jurídica por região", "SALDO", "PJ", None, None),
+    ("Saldo da carteira de crédito com recursos livres rotativo -", "SALDO", None, "LIVRE", "Rotativo"),
+    ("Saldo da carteira de crédito com recursos livres não rotativo -", "SALDO", None, "LIVRE", "Não rotativo"),
+    ("Saldo da carteira de crédito com recursos livres - Pessoas jurídicas -", "SALDO", "PJ", "LIVRE", None),
+    ("Saldo da carteira de crédito com recursos livres - Pessoas físicas -", "SALDO", "PF", "LIVRE", None),
+    ("Saldo da carteira de crédito com recursos direcionados - Pessoas jurídicas -", "SALDO", "PJ", "DIRECIONADO", None),
+    ("Saldo da carteira de crédito com recursos direcionados - Pessoas físicas -", "SALDO", "PF", "DIRECIONADO", None),
+    ("Saldo da carteira de crédito com recursos livres -", "SALDO", None, "LIVRE", None),
+    ("Saldo da carteira de crédito com recursos direcionados -", "SALDO", None, "DIRECIONADO", None),
+    ("Saldo da carteira de crédito -", "SALDO", None, None, None),
+    ("Concessões de crédito com recursos livres rotativo -", "CONCESSAO", None, "LIVRE", "Rotativo"),
+    ("Concessões de crédito com recursos livres não rotativo -", "CONCESSAO", None, "LIVRE", "Não rotativo"),
+    ("Concessões de crédito com recursos livres - Pessoas jurídicas -", "CONCESSAO", "PJ", "LIVRE", None),
+    ("Concessões de crédito com recursos livres - Pessoas físicas -", "CONCESSAO", "PF", "LIVRE", None),
+    ("Concessões de crédito com recursos direcionados - Pessoas jurídicas -", "CONCESSAO", "PJ", "DIRECIONADO", None),
+    ("Concessões de crédito com recursos direcionados - Pessoas físicas -", "CONCESSAO", "PF", "DIRECIONADO", None),
+    ("Concessões de crédito com recursos livres -", "CONCESSAO", None, "LIVRE", None),
+    ("Concessões de crédito com recursos direcionados -", "CONCESSAO", None, "DIRECIONADO", None),
+    ("Concessões de crédito -", "CONCESSAO", None, None, None),
+    ("Prazo médio das concessões de crédito -", "PRAZO_MEDIO_CONCESSAO", None, None, None),
 ]
 
 # Title segments and what they stand for.
@@ -93,7 +93,7 @@ def match_prefix(df: DataFrame, title: str = "title") -> DataFrame:
     text = F.col(title)
     hit = F.get(F.filter(patterns, lambda p: F.startswith(text, p["prefix"])), F.lit(0))
     after = F.substr(text, F.length(F.col("_hit.prefix")) + 1)
-    fixed = [F.nullif(F.col(f"_hit.{n}"), F.lit("")).alias(n) for n in names[1:]]
+    fixed = [F.col(f"_hit.{n}").alias(n) for n in names[1:]]
     return (
         df.withColumn("_hit", hit)
         .select(*df.columns, *fixed, F.ltrim(after, F.lit(" -")).alias("rest"))

@@ -28,7 +28,7 @@ from regiostat.operators.ranking import (
 )
 from regiostat.operators.statements import broken_totals, with_statement_metrics
 from regiostat.plans.institutions import statement_of
-from regiostat.plans.reports import lending_rates_now
+from regiostat.plans.reports import current_lending_rates
 from regiostat.tables import TableSet
 
 HISTORY_YEARS = 10
@@ -612,7 +612,7 @@ def rates_by_modality(t: TableSet) -> DataFrame:
 
     A modality may hold a large part of all institutions, so it stays rows, not one list.
     """
-    now = lending_rates_now(t).withColumn("_cheap", -F.col("year_rate"))
+    now = current_lending_rates(t).withColumn("_cheap", -F.col("year_rate"))
     return with_rank(now, "_cheap", "position", ["modality"]).drop("_cheap")
 
 

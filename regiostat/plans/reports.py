@@ -396,11 +396,16 @@ def firm_by_size(t: TableSet) -> DataFrame:
 
 
 def lending_rates_now(t: TableSet) -> DataFrame:
+    return current_lending_rates(t).orderBy("segment", "modality", "year_rate", "tax_id8")
+
+
+def current_lending_rates(t: TableSet) -> DataFrame:
+    """The sheet's rows without its order."""
     t.stage("lending_rate")
     housing = F.col("modality").ilike(C.HOUSING_PATTERN)
     return at_two_latest(t["lending_rate"], "start_date", housing).select(
         "tax_id8", "institution", "segment", "modality", "month_rate", "year_rate"
-    ).orderBy("segment", "modality", "year_rate", "tax_id8")
+    )
 
 
 WORKBOOKS: dict[str, dict[str, Sheet]] = {

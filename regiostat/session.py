@@ -5,13 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
 def local_session(
-    cores: str = "8", shuffle_partitions: int = 8, work: str | None = None
+    cores: str = "8",
+    shuffle_partitions: int = 8,
+    work: str | None = None,
+    more: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     shared = work or tempfile.mkdtemp(prefix="regiostat-")
@@ -26,6 +30,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", shared)
+        .config(map=dict(more or {}))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -120,10 +120,10 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
     return good(read_json(spark, path, "id int, n string, lid int")).select("id", "n", "lid")
 
 
-def fallback_portfolio(cells: DataFrame, dictionary: DataFrame, report: str, period: int) -> DataFrame:
-    """Shard cells named by the dictionary, in the shape of the main API, in thousands."""
+def fallback_portfolio(cells: DataFrame, dictionary: DataFrame, period: int) -> DataFrame:
+    """Shard cells named by the reports' dictionary, in the shape of the main API, in thousands."""
     return cells.join(dictionary, "account").select(
-        "inst_id", F.lit(period).alias("period"), F.lit(report).alias("report"), "group",
+        "inst_id", F.lit(period).alias("period"), "report", "group",
         "account", "column_name", X.thousands(F.col("value")).alias("value"),
     )
 
@@ -140,17 +140,23 @@ def read_fallback(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(registry, statements, portfolios) of one quarter of the fallback site.
 
-    Each institution's shard cells are kept only for listed institutions and known accounts.
+    Each institution's shard cells are kept only for listed institutions and known accounts. The
+    portfolio shard is read once for all reports.
     """
     registry = read_fallback_registry(spark, f"{folder}/registry.json", period)
     names = read_names(spark, f"{folder}/names.json")
     cells = read_shards(spark, f"{folder}/statements.json", registry, statement_accounts(spark))
-    parts = []
-    for report in PORTFOLIO_REPORTS:
-        columns = column_dictionary(read_report(spark, f"{folder}/report_{report}.json"), names)
-        values = read_shards(spark, f"{folder}/portfolios.json", registry, columns)
-        parts.append(fallback_portfolio(values, columns, report, period))
-    return registry, fallback_statement(cells, period), reduce(DataFrame.unionByName, parts)
+    columns = reduce(
+        DataFrame.unionByName,
+        [
+            column_dictionary(read_report(spark, f"{folder}/report_{r}.json"), names).withColumn(
+                "report", F.lit(r)
+            )
+            for r in PORTFOLIO_REPORTS
+        ],
+    )
+    values = read_shards(spark, f"{folder}/portfolios.json", registry, columns)
+    return registry, fallback_statement(cells, period), fallback_portfolio(values, columns, period)
 
 
 def fill_from_fallback(main: DataFrame, fallback: DataFrame, *group: str) -> DataFrame:

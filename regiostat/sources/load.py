@@ -59,11 +59,16 @@ JOB_SERIES = {
 }
 PLACE_LEVEL = "Municípios"
 FIRST_GDP_YEAR = 2010
-# States whose court is named after them, and the one that is not.
-STATES = (
-    "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO"
-).split()
-FEDERAL_DISTRICT_COURT = "tjdft"
+# State -> its court.
+STATE_COURTS = {
+    "AC": "tjac", "AL": "tjal", "AM": "tjam", "AP": "tjap",
+    "BA": "tjba", "CE": "tjce", "DF": "tjdft", "ES": "tjes",
+    "GO": "tjgo", "MA": "tjma", "MG": "tjmg", "MS": "tjms",
+    "MT": "tjmt", "PA": "tjpa", "PB": "tjpb", "PE": "tjpe",
+    "PI": "tjpi", "PR": "tjpr", "RJ": "tjrj", "RN": "tjrn",
+    "RO": "tjro", "RR": "tjrr", "RS": "tjrs", "SC": "tjsc",
+    "SE": "tjse", "SP": "tjsp", "TO": "tjto",
+}
 
 
 def read_places(spark: SparkSession, path: str, coordinates: str) -> DataFrame:
@@ -173,11 +178,7 @@ def read_insolvency(spark: SparkSession, path: str) -> DataFrame:
     cells = months.select("stem", "m.key", F.explode("m.por_classe.buckets").alias("k"))
     labels = {str(k): v for k, v in C.INSOLVENCY_CLASSES.items()}
     state = F.col("stem")
-    court = (
-        F.when(state == "DF", FEDERAL_DISTRICT_COURT)
-        .when(state.isin(STATES), F.concat(F.lit("tj"), F.lower(state)))
-        .otherwise(state)
-    )
+    court = F.coalesce(X.label_of(state, STATE_COURTS), state)
     return cells.select(
         state.alias("state"), court.alias("court"), F.col("key").try_cast("int").alias("period"),
         X.label_of(F.col("k.key").cast("string"), labels).alias("class"),

@@ -139,7 +139,8 @@ def test_fallback_shards_and_dictionary(spark, put):
     shard = put("shard.json", {"values": [{"e": 7, "v": [{"i": 100, "v": 1000.0}, {"i": 999, "v": 1.0}]}, {"e": 8, "v": [{"i": 200, "v": 5.0}]}]})
     entities = spark.createDataFrame([("7",)], "inst_id string")
     cells = institutions.read_shards(spark, shard, entities, dictionary)
-    got = institutions.fallback_portfolio(cells, dictionary, "13", 202506)
+    dictionary = dictionary.withColumn("report", F.lit("13"))
+    got = institutions.fallback_portfolio(cells, dictionary, 202506)
     assert rows(got, "inst_id", "group", "column_name", "value") == [("7", "Capital de Giro", "Total", 1.0)]
     main = got.withColumn("value", F.lit(9.0))
     assert rows(institutions.fill_from_fallback(main, got, "period", "report"), "value") == [(9.0,)]
