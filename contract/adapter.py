@@ -20,6 +20,7 @@ from regiostat.operators.population import reference_population
 from regiostat.operators.titles import CLIENT_TOKENS, TITLE_PATTERNS
 from regiostat.plans.catalogue import VIEWS
 from regiostat.sources.movements import finish_jobs, signed_jobs
+from regiostat.session import work_folder
 from regiostat.tables import TableSet
 
 PLACES = 200
@@ -598,10 +599,10 @@ BASE_TABLES = [
 class DriverTables(TableSet):
     """Table set over one folder of driver tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, staging: bool = True):
         builders = {name: _read(name) for name in SOURCE_TABLES}
         builders.update({f.__name__: f for f in BASE_TABLES})
         builders.update(VIEWS)
         builders["national_employment"] = lambda t: VIEWS["national_employment"](t, NEW_ERA_CUT)
-        super().__init__(spark, builders)
+        super().__init__(spark, builders, work_folder(spark, "contract") if staging else None)
         self.folder = folder

@@ -255,9 +255,11 @@ def raw_tables(
     seeds: str,
     layout: Mapping[str, str] | None = None,
     seed_files: Mapping[str, str] | None = None,
+    work: str | None = None,
 ) -> TableSet:
     """Base tables and views over a raw folder; ``seeds`` holds one ``<table>.csv`` per seed.
 
+    ``work`` is the folder for tables that a view reads several times (see ``TableSet``).
     ``seed_files`` maps a seed (or ``coordinates``) to another file name. A source without files
     becomes an empty typed table; the others go on. ``load_rejects`` says what was left out.
     """
@@ -320,7 +322,7 @@ def raw_tables(
 
     builders = {name: safe(name, build) for name, build in loaders.items()}
     builders["population_ref"] = lambda t: reference_population(t["population_a"], t["population_b"])
-    return TableSet(spark, {**builders, **VIEWS})
+    return TableSet(spark, {**builders, **VIEWS}, work)
 
 
 def _paths(raw: str, layout: Mapping[str, str] | None) -> dict[str, str]:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +26,14 @@ def fold_header(name: str) -> str:
     return name.translate(table).encode("ascii", "ignore").decode().lower()
 
 
-def file_headers(spark: SparkSession, path: str) -> list[tuple[str, str | None, str | None]]:
+def file_headers(
+    spark: SparkSession, path: str | Sequence[str]
+) -> list[tuple[str, str | None, str | None]]:
     """(file, kind, header line) of every file; NULL for a name without kind or a file without header.
 
     The header is the line that names the period column. Only the first split of a file is searched.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
     names = X.fold_accents(F.lower("value"))
     found = (
         lines.filter(F.col("_metadata.file_block_start") == 0)
@@ -58,15 +62,17 @@ def _problem(kind: str | None, header: str | None) -> str | None:
     return f"column missing: {', '.join(missing)}" if missing else None
 
 
-def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """Microdata as typed movements; Spark splits the large text files itself.
+def read_movements(
+    spark: SparkSession, path: str | Sequence[str], known: Sequence[str] = ()
+) -> DataFrame:
+    """Microdata as typed movements, without the files ``known``; Spark splits large files itself.
 
     Files of one header are read together and by that header, so files may differ in their columns.
     Files that cannot be read are named by ``movement_rejects``.
     """
     layouts: dict[tuple[str, str], list[str]] = {}
     for file, kind, header in file_headers(spark, path):
-        if _problem(kind, header) is None:
+        if _problem(kind, header) is None and file not in known:
             layouts.setdefault((kind, header), []).append(file)
     parts = [_read_layout(spark, files, *layout) for layout, files in sorted(layouts.items())]
     empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in [*MOVEMENT_COLUMNS, "kind"]))
@@ -124,3 +130,40 @@ def finish_jobs(sums: DataFrame) -> DataFrame:
     """Mean hiring wage; NULL where no hire with a wage is left."""
     wage = M.ratio(F.col("wage_sum"), F.col("wage_count"), 1.0, 2)
     return sums.withColumn("mean_wage", wage).drop("wage_sum", "wage_count")
+
+
+SUM_KEYS = ["period", "place_id6", "division"]
+DONE = "file string, batch string"
+
+
+def update_jobs(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """Signed sums of all microdata files, reading only those that no earlier call has read.
+
+    Each call writes the additive sums of its new files as a batch and then lists the files; batches that
+    are not listed (a call that was cut off) are ignored. Files that cannot be read stay unlisted.
+    """
+    done = _listed(spark, folder)
+    files = {row["file"] for row in done}
+    new = [f for f, kind, header in file_headers(spark, path) if f not in files and not _problem(kind, header)]
+    if new:
+        batch = f"{folder}/batch-{uuid.uuid4().hex}"
+        signed_jobs(read_movements(spark, new), SUM_KEYS).write.parquet(batch)
+        rows = [(file, batch) for file in new]
+        spark.createDataFrame(rows, DONE).coalesce(1).write.mode("append").json(f"{folder}/files")
+        done += rows
+    batches = sorted({row[1] for row in done})
+    if not batches:
+        return signed_jobs(read_movements(spark, path), SUM_KEYS)
+    sums = spark.read.parquet(*batches)
+    added = [c for c in sums.columns if c not in SUM_KEYS]
+    return sums.groupBy(*SUM_KEYS).agg(*[F.sum(c).alias(c) for c in added])
+
+
+def _listed(spark: SparkSession, folder: str) -> list:
+    """(file, batch) of the files read so far: as many rows as there are files."""
+    try:
+        return spark.read.schema(DONE).json(f"{folder}/files").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regiostat.session import work_folder
-
 Builder = Callable[["TableSet"], DataFrame]
 
 
@@ -19,8 +18,13 @@ class TableSet:
     whether they are lazy plans, raw files or tables written by ``regiostat.sources.sinks``.
     """
 
-    def __init__(self, spark: SparkSession, builders: Mapping[str, Builder]):
+    def __init__(
+        self, spark: SparkSession, builders: Mapping[str, Builder], work: str | None = None
+    ):
+        """``work`` is a folder that every executor reaches, for tables read several times; without
+        it nothing is staged and planning a view starts no job."""
         self.spark = spark
+        self.work = work
         self._builders = dict(builders)
         self._planned: dict[str, DataFrame] = {}
         self._stored: set[str] = set()
@@ -37,7 +41,7 @@ class TableSet:
         return list(self._builders)
 
     def extended(self, builders: Mapping[str, Builder]) -> TableSet:
-        return TableSet(self.spark, {**self._builders, **builders})
+        return TableSet(self.spark, {**self._builders, **builders}, self.work)
 
     def repoint(self, name: str, df: DataFrame) -> None:
         """Make ``name`` stand for ``df``; views planned before are planned again on next use."""
@@ -46,14 +50,17 @@ class TableSet:
         self._stored.add(name)
 
     def stage(self, *names: str) -> None:
-        """Write tables that a query reads several times to the shared work folder, once.
+        """Write tables that a query reads several times to the work folder, once.
 
+        Without a work folder this does nothing: the views are one lazy plan.
         A name that already stands for a written table is left alone. The tables of one call are
         written side by side, so they must not build on each other. A written table cuts the
         lineage: a lost executor re-reads it instead of repeating the scan and join behind it.
         """
+        if self.work is None:
+            return
         todo = {
-            name: (self[name], work_folder(self.spark, name))
+            name: (self[name], f"{self.work}/{name}-{uuid.uuid4().hex}")
             for name in dict.fromkeys(names)
             if name not in self._stored
         }

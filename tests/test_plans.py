@@ -5,8 +5,9 @@ import re
 import pytest
 from conftest import SMALL
 
-from contract.adapter import DriverTables
+from contract.adapter import SOURCE_TABLES, DriverTables
 from contract.queries import QUERIES
+from regiostat.plans.catalogue import VIEWS
 
 HEAVY = ["V1_sector_credit", "V5_credit_detail", "V13_income_statement", "V22_place_credit", "V24_place_credit_per_capita",
          "V25_credit_penetration", "V26_sector_jobs", "V31_sector_crosswalk", "V32_state_scorecard", "V36_place_ranking",
@@ -23,7 +24,7 @@ def test_no_products_no_python_no_forced_broadcast(spark, key):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(QUERIES[key](DriverTables(spark, SMALL)))
+        text = plan(QUERIES[key](DriverTables(spark, SMALL, staging=False)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "InPandas", "ArrowEval", "BatchEval"):
@@ -54,3 +55,14 @@ def test_partial_aggregation_before_the_shuffle(spark):
 def test_top_per_group_is_limited_before_the_shuffle(spark):
     text = plan(QUERIES["T3_top_per_group"](DriverTables(spark, SMALL)))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_planning_a_view_starts_no_job(spark):
+    """Without a work folder nothing is staged; only the schemas of the source files are read."""
+    t = DriverTables(spark, SMALL, staging=False)
+    for name in SOURCE_TABLES:
+        t[name].columns  # noqa: B018
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    for name in VIEWS:
+        assert t[name].columns
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before

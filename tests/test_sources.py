@@ -326,3 +326,18 @@ def test_the_load_reports_what_it_leaves_out(spark, put, tmp_path):
     ]
     t = load.raw_tables(spark, f"{tmp_path}/raw", f"{tmp_path}/seeds", seed_files=names)
     assert rows(t["account"], "account") == [(160,)]
+
+
+def test_an_update_reads_new_files_only(spark, put, tmp_path):
+    path, folder = f"{tmp_path}/moves/*.txt", f"{tmp_path}/sums"
+    keys = ["period", "place_id6", "division"]
+    write_moves(put, ["MOV202401.txt"])
+    first = movements.update_jobs(spark, path, folder)
+    assert rows(first) == rows(movements.signed_jobs(movements.read_movements(spark, path), keys))
+    write_moves(put, ["FOR202402.txt", "EXC202403.txt"])
+    wanted = rows(movements.signed_jobs(movements.read_movements(spark, path), keys))
+    (tmp_path / "moves" / "MOV202401.txt").write_text("competênciamov;município;subclasse;saldomovimentação;salário\n")
+    assert rows(movements.update_jobs(spark, path, folder)) == wanted
+    assert len(list((tmp_path / "sums").glob("batch-*"))) == 2
+    assert rows(movements.update_jobs(spark, path, folder)) == wanted
+    assert len(list((tmp_path / "sums").glob("batch-*"))) == 2
