@@ -8,13 +8,16 @@ collections: at similarity 0.8 they miss with probability below 2 * (1 - 0.8**2)
 
 Half keys that only one class has are dropped before tables are formed; they cannot meet. Then
 
-1. every class is compared with the smallest class of its tables (the one met most often), which
-   links the usual group of copies without looking at pairs;
-2. classes that meet in a table but are not yet connected are compared in blocks, so that no link
-   between different components is lost; a pair must also agree in ``AGREE`` of its 24 half keys
-   (compared by 16 bits of each; a true pair fails that with probability 3e-6).
-
-Every link is confirmed on the full sets.
+1. every class is compared with the smallest class of its tables, the one met most often: its *pivot*.
+   That links the usual group of copies without looking at pairs;
+2. classes with one pivot that are not yet connected are compared with the others of that pivot, in
+   blocks that hold the full sets; classes of the largest component are not compared with each other;
+3. classes of different pivots that meet in a table but are not yet connected are found in blocks of
+   tables, each pair in the first table it shares, and then compared.
+
+So no link between different components is lost. In steps 2 and 3 a pair must also agree in a number of
+``MARKS`` further minhashes (one byte of each), made only for classes that meet others; at similarity 0.8
+a pair fails that with probability 2e-6. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -32,9 +35,14 @@ from regiostat.llm.word_arrays import constants, mix, word_hashes
 
 HALVES = 12
 ROWS = 2
-AGREE = 5
+#: Further minhashes of classes that meet others, and how many a similar pair shares at least: the mean
+#: less 4.8 standard deviations at the least similarity (``least_agreeing``).
+MARKS = 128
+DEVIATIONS = 4.8
 #: Classes in a block when those of one table are compared with each other.
 BLOCK = 512
+#: Shingles in a block that holds full sets, which bounds its memory for long texts.
+BLOCK_SHINGLES = 250_000
 #: Rows of such comparisons in one group of a task.
 GROUP_ROWS = 4000
 #: At most so many ids are broadcast to pick documents; beyond that Spark shuffles.
@@ -42,6 +50,8 @@ BROADCAST_IDS = 500_000
 
 _FACTORS = constants(21, 2 * HALVES * ROWS)
 _OFFSETS = constants(22, 2 * HALVES * ROWS)
+_MARK_FACTORS = constants(24, MARKS)
+_MARK_OFFSETS = constants(25, MARKS)
 
 SKETCH = T.StructType(
     [
@@ -51,11 +61,15 @@ SKETCH = T.StructType(
         T.StructField("print2", T.LongType()),
         T.StructField("us", T.ArrayType(T.LongType())),
         T.StructField("vs", T.ArrayType(T.LongType())),
-        T.StructField("marks", T.BinaryType()),
+        T.StructField("halves", T.BinaryType()),
     ]
 )
 SETS = T.StructType(
-    [T.StructField("node", T.LongType()), T.StructField("items", T.ArrayType(T.LongType()))]
+    [
+        T.StructField("node", T.LongType()),
+        T.StructField("items", T.ArrayType(T.LongType())),
+        T.StructField("marks", T.BinaryType()),
+    ]
 )
 
 
@@ -118,6 +132,21 @@ def half_keys(items: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def marks_of(items: np.ndarray) -> bytes:
+    """One byte of each of the ``MARKS`` further minhashes of a non-empty set."""
+    least = np.full(MARKS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(items), 4096):
+        part = items[a : a + 4096, None] * _MARK_FACTORS + _MARK_OFFSETS
+        least = np.minimum(least, (part >> np.uint64(32)).min(axis=0))
+    return least.astype(np.uint8).tobytes()
+
+
+def least_agreeing(percent: int) -> int:
+    """Marks that two sets of the least similarity share almost surely."""
+    mean = MARKS * percent / 100
+    return max(0, int(mean - DEVIATIONS * (mean * (1 - percent / 100)) ** 0.5))
+
+
 def sketches(documents: DataFrame, words: int) -> DataFrame:
     """Set size, fingerprint and half keys of every document."""
 
@@ -130,13 +159,13 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                 full = np.flatnonzero(sizes)
                 us: list = [None] * len(sets)
                 vs: list = [None] * len(sets)
-                marks: list = [None] * len(sets)
+                halves: list = [None] * len(sets)
                 if len(full):
                     cuts = np.cumsum([0, *sizes[full][:-1]])
                     keys = half_keys(np.concatenate([sets[k] for k in full]), cuts)
                     for k, row in zip(full, keys, strict=True):
                         us[k], vs[k] = row[:HALVES], row[HALVES:]
-                        marks[k] = row.astype(np.uint16).tobytes()
+                        halves[k] = row.astype(np.uint32).tobytes()
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[first : first + len(texts)],
@@ -145,7 +174,7 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                         "print2": [mix(~s).sum(dtype=np.uint64).view(np.int64) for s in sets],
                         "us": us,
                         "vs": vs,
-                        "marks": marks,
+                        "halves": halves,
                     }
                 )
 
@@ -161,7 +190,7 @@ def picked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def sets_of(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(node, items) of the documents named by ``ids``: whole sets, hashed again from the text."""
+    """(node, items, marks) of the documents named by ``ids``: whole sets, hashed again from the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,6 +201,7 @@ def sets_of(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                     {
                         "node": nodes[first : first + len(texts)],
                         "items": [s.view(np.int64) for s in sets],
+                        "marks": [marks_of(s) for s in sets],
                     }
                 )
 
@@ -185,12 +215,8 @@ def similar(a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
 
 
-def confirmed(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar."""
-    ids = staged(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-dup-ids"
-    )
-    sets = staged(sets_of(documents, ids, words), "near-dup-sets")
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
     return (
@@ -240,22 +266,117 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def candidates_in_blocks(
-    keyed: DataFrame, classes: DataFrame, labels: DataFrame, percent: int
+def links_around_pivots(
+    homes: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
+) -> DataFrame:
+    """Links between classes of one pivot (``homes``: node, home) that lie in different components.
+
+    A pivot's classes are dealt to blocks, those of its largest component apart from the others; blocks
+    are compared in pairs, except two of the largest component. A comparison returns only links that
+    connect what it has not connected yet, so never more than its rows.
+    """
+    rows = (
+        homes.join(labels, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(classes.select("node", "n_shingles"), "node")
+    )
+    sizes = rows.groupBy("home", "component").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    )
+    # What a component needs: its rows and its shingles in blocks.
+    need = F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)
+    open_homes = (
+        sizes.withColumn("need", need)
+        .groupBy("home")
+        .agg(
+            F.max_by("component", F.struct("n", -F.col("component"))).alias("largest"),
+            F.max_by("need", F.struct("n", -F.col("component"))).alias("inside"),
+            F.sum("need").alias("all"),
+            F.count("*").alias("components"),
+        )
+        .filter("components > 1")
+        .select(
+            "home",
+            "largest",
+            F.ceil("inside").cast("int").alias("large_blocks"),
+            F.greatest(F.ceil(F.col("all") - F.col("inside")), F.lit(1)).cast("int").alias("blocks"),
+        )
+    )
+    # Blocks 0 to blocks - 1 hold the other components, those from there on the largest one.
+    in_largest = F.col("component") == F.col("largest")
+    block = F.when(
+        in_largest, F.col("blocks") + F.pmod(F.xxhash64("node"), F.col("large_blocks"))
+    ).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks")))
+    last = F.when(in_largest, F.col("blocks")).otherwise(F.col("blocks") + F.col("large_blocks"))
+    dealt = (
+        rows.join(open_homes, "home")
+        .withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), (last - 1).cast("int"))))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .join(sets, "node")
+        .select("home", "low", "high", "block", "node", "component", "n_shingles", "marks", "items")
+    )
+
+    wanted = least_agreeing(percent)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node", kind="stable").drop_duplicates("node")
+        node, block, size = (group[c].to_numpy() for c in ("node", "block", "n_shingles"))
+        names, place = np.unique(group["component"].to_numpy(), return_inverse=True)
+        items = [np.asarray(x) for x in group["items"]]
+        marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
+        same = group["low"].iloc[0] == group["high"].iloc[0]
+        joined = place.copy()
+        found = []
+        for k in range(len(node) - 1):
+            ok = joined[k + 1 :] != joined[k]
+            if not same:
+                ok &= block[k + 1 :] != block[k]
+            ok &= 100 * np.minimum(size[k + 1 :], size[k]) >= percent * np.maximum(size[k + 1 :], size[k])
+            near = np.flatnonzero(ok) + k + 1
+            agree = (marks[near] == marks[k]).sum(axis=1)
+            for j in near[np.argsort(-agree, kind="stable")][: (agree >= wanted).sum()]:
+                if joined[j] == joined[k]:
+                    continue
+                shared = len(np.intersect1d(items[k], items[j], assume_unique=True))
+                if 100 * shared >= percent * (len(items[k]) + len(items[j]) - shared):
+                    found.append((node[k], node[j]))
+                    joined[joined == joined[j]] = joined[k]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("home", "low", "high").applyInPandas(run, "a long, b long")
+
+
+def candidates_in_tables(
+    keyed: DataFrame,
+    homes: DataFrame,
+    classes: DataFrame,
+    sets: DataFrame,
+    labels: DataFrame,
+    percent: int,
 ) -> DataFrame:
-    """Pairs of classes that meet in a table but lie in different components.
+    """Pairs of classes of different pivots and components that meet in a table, each pair once.
 
     The classes of a table are dealt to blocks of about ``BLOCK``, and every pair of blocks is compared
     by itself. Many such comparisons share a task's group, since most tables hold a few classes. A pair
     is returned if set sizes allow the similarity and enough half keys agree.
     """
-    rows = keyed.join(labels, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    rows = (
+        keyed.join(homes, "node")
+        .join(labels, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
     open_keys = (
         rows.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .filter("low < high")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.min("home").alias("first_home"),
+            F.max("home").alias("last_home"),
+            F.count("*").alias("n"),
+        )
+        .filter("low < high AND first_home < last_home")
         .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     open_keys = staged(open_keys, "near-dup-open")
@@ -269,18 +390,26 @@ def candidates_in_blocks(
         .withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .join(classes.select("node", "n_shingles", "marks"), "node")
+        .join(classes.select("node", "n_shingles", "halves"), "node")
+        .join(sets.select("node", "marks"), "node")
         .withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
-        .select("part", "key", "low", "high", "block", "node", "component", "n_shingles", "marks")
-    )
+        .select(
+            "part", "key", "place", "low", "high", "block", "node", "home", "component",
+            "n_shingles", "halves", "marks",
+        )
+    )
+    wanted = least_agreeing(percent)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["key", "low", "high", "node"], kind="stable")
-        key, low, high, block, node, component, size = (
+        key, table, low, high, block, node, home, component, size = (
             group[c].to_numpy()
-            for c in ("key", "low", "high", "block", "node", "component", "n_shingles")
-        )
-        marks = np.frombuffer(b"".join(group["marks"]), np.uint16).reshape(len(group), -1)
+            for c in (
+                "key", "place", "low", "high", "block", "node", "home", "component", "n_shingles"
+            )
+        )
+        halves = np.frombuffer(b"".join(group["halves"]), np.uint32).reshape(len(group), -1)
+        marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
         found = []
         # Rows of one comparison are neighbours: compare each row with the one ``step`` behind it.
         place = np.arange(len(group) - 1)
@@ -289,10 +418,15 @@ def candidates_in_blocks(
             i, j = place, place + step
             place = i[(key[i] == key[j]) & (low[i] == low[j]) & (high[i] == high[j])]
             i, j = place, place + step
-            ok = (component[i] != component[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+            ok = (component[i] != component[j]) & (home[i] != home[j])
+            ok &= (low[i] == high[i]) | (block[i] != block[j])
             ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
             i, j = i[ok], j[ok]
-            ok = (marks[i] == marks[j]).sum(axis=1) >= AGREE
+            ok = (marks[i] == marks[j]).sum(axis=1) >= wanted
+            i, j = i[ok], j[ok]
+            # The first half keys that agree name the pair's first table.
+            same = halves[i] == halves[j]
+            ok = table[i] == same[:, :HALVES].argmax(axis=1) * HALVES + same[:, HALVES:].argmax(axis=1)
             found.append(np.stack([node[i[ok]], node[j[ok]]], axis=1))
             step += 1
             place = place[place + step < len(group)]
@@ -319,26 +453,33 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
             F.min("doc_id").alias("node"),
             F.min_by("us", "doc_id").alias("us"),
             F.min_by("vs", "doc_id").alias("vs"),
-            F.min_by("marks", "doc_id").alias("marks"),
+            F.min_by("halves", "doc_id").alias("halves"),
         ),
         "near-dup-classes",
     )
-    halves = classes.select("node", F.lit(True).alias("u"), F.explode("us").alias("half")).union(
-        classes.select("node", F.lit(False).alias("u"), F.explode("vs").alias("half"))
+    halves = classes.select("node", F.posexplode("us").alias("at", "half")).union(
+        classes.select("node", F.posexplode("vs").alias("at", "half")).withColumn(
+            "at", F.col("at") + HALVES
+        )
     )
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
+    half = F.struct("at", "half")
     sides = (
         halves.join(shared, "half")
         .groupBy("node")
         .agg(
-            F.collect_set(F.when(F.col("u"), F.col("half"))).alias("us"),
-            F.collect_set(F.when(~F.col("u"), F.col("half"))).alias("vs"),
+            F.collect_list(F.when(F.col("at") < HALVES, half)).alias("us"),
+            F.collect_list(F.when(F.col("at") >= HALVES, half)).alias("vs"),
         )
     )
     tables = (
-        sides.select("node", F.explode("us").alias("half_u"), "vs")
-        .select("node", "half_u", F.explode("vs").alias("half_v"))
-        .select("node", F.xxhash64("half_u", "half_v").alias("key"))
+        sides.select("node", F.explode("us").alias("u"), "vs")
+        .select("node", "u", F.explode("vs").alias("v"))
+        .select(
+            "node",
+            (F.col("u.at") * HALVES + F.col("v.at") - HALVES).alias("place"),
+            F.xxhash64("u.half", "v.half").alias("key"),
+        )
     )
     tables = staged(tables, "near-dup-tables")
     pivots = (
@@ -349,14 +490,17 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     )
     keyed = staged(tables.join(pivots, "key"), "near-dup-keyed")
     nearest = (
-        keyed.filter("node <> pivot")
-        .groupBy("node", "pivot")
+        keyed.groupBy("node", "pivot")
         .agg(F.count("*").alias("met"))
-        .groupBy(F.col("node").alias("b"))
-        .agg(F.max_by("pivot", F.struct("met", -F.col("pivot"))).alias("a"))
+        .groupBy("node")
+        .agg(F.max_by("pivot", F.struct("met", -F.col("pivot"))).alias("home"))
     )
-    first = staged(nearest.select("a", "b"), "near-dup-pairs")
-    links = staged(confirmed(documents, first, words, percent), "near-dup-confirmed")
+    homes = staged(nearest, "near-dup-homes")
+    first = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
+    # All classes that meet another: their full sets are needed once, for every step.
+    ids = staged(keyed.select("node").distinct(), "near-dup-ids")
+    sets = staged(sets_of(documents, ids, words), "near-dup-sets")
+    links = staged(confirmed(first, sets, percent), "near-dup-confirmed")
     members = sketch.select("doc_id", *prints).join(
         classes.select(*prints, "node"), prints, "left"
     )
@@ -373,13 +517,30 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     )
     links = links.union(split)
     labels = components(links)
+    # A pivot may have a pivot itself: its classes are compared with that one's.
+    above = homes.select(F.col("node").alias("home"), F.col("home").alias("above"))
+    homes = staged(
+        homes.join(above, "home", "left").select(
+            "node", F.coalesce("above", "home").alias("home")
+        ),
+        "near-dup-homes",
+    )
+    around = staged(
+        links_around_pivots(homes, classes, sets, labels, percent), "near-dup-confirmed"
+    )
+    if not around.isEmpty():
+        links = links.union(around)
+        labels = components(links)
     rest = staged(
-        candidates_in_blocks(keyed.select("node", "key"), classes, labels, percent),
+        candidates_in_tables(
+            keyed.select("node", "place", "key"), homes, classes, sets, labels, percent
+        ),
         "near-dup-rest",
     )
     if not rest.isEmpty():
-        more = staged(confirmed(documents, rest, words, percent), "near-dup-confirmed")
-        labels = components(links.union(more))
+        more = confirmed(rest, sets, percent)
+        links = links.union(staged(more, "near-dup-confirmed"))
+        labels = components(links)
     found = (
         members.join(labels, "node", "left")
         .withColumn("component_id", F.coalesce("component", "node", "doc_id"))

@@ -68,6 +68,14 @@ def test_equals_all_pairs(documents, corpus, words):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_small_blocks_lose_no_link(documents, corpus, monkeypatch):
+    monkeypatch.setattr("regiostat.llm.near_dups.BLOCK", 4)
+    monkeypatch.setattr("regiostat.llm.near_dups.GROUP_ROWS", 30)
+    found = near_duplicates(documents(corpus), 4, 60).collect()
+    wanted = brute_force(corpus, 4, 60)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == wanted
+
+
 def test_awkward_rows(awkward):
     found = sorted(map(tuple, near_duplicates(awkward, 4, 80).collect()), key=str)
     by_id = {}
