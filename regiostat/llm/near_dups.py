@@ -39,8 +39,9 @@ ROWS = 2
 #: less 4.8 standard deviations at the least similarity (``least_agreeing``).
 MARKS = 128
 DEVIATIONS = 4.8
-#: Classes in a block when those of one table are compared with each other.
+#: Classes in a block when those of one pivot, with full sets, or of one table are compared.
 BLOCK = 512
+TABLE_BLOCK = 4096
 #: Shingles in a block that holds full sets, which bounds its memory for long texts.
 BLOCK_SHINGLES = 250_000
 #: Rows of such comparisons in one group of a task.
@@ -358,7 +359,7 @@ def candidates_in_tables(
 ) -> DataFrame:
     """Pairs of classes of different pivots and components that meet in a table, each pair once.
 
-    The classes of a table are dealt to blocks of about ``BLOCK``, and every pair of blocks is compared
+    The classes of a table are dealt to blocks of about ``TABLE_BLOCK``, and every pair of blocks is compared
     by itself. Many such comparisons share a task's group, since most tables hold a few classes. A pair
     is returned if set sizes allow the similarity and enough half keys agree.
     """
@@ -377,7 +378,7 @@ def candidates_in_tables(
             F.count("*").alias("n"),
         )
         .filter("low < high AND first_home < last_home")
-        .select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "n", F.ceil(F.col("n") / TABLE_BLOCK).cast("int").alias("blocks"))
     )
     open_keys = staged(open_keys, "near-dup-open")
     amount = open_keys.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]

@@ -70,6 +70,7 @@ def test_equals_all_pairs(documents, corpus, words):
 
 def test_small_blocks_lose_no_link(documents, corpus, monkeypatch):
     monkeypatch.setattr("regiostat.llm.near_dups.BLOCK", 4)
+    monkeypatch.setattr("regiostat.llm.near_dups.TABLE_BLOCK", 4)
     monkeypatch.setattr("regiostat.llm.near_dups.GROUP_ROWS", 30)
     found = near_duplicates(documents(corpus), 4, 60).collect()
     wanted = brute_force(corpus, 4, 60)
