@@ -3,8 +3,8 @@
 Texts and benchmark items are compared in lower case with single spaces. An item of m characters is
 found where at most e = ``RATE`` * m edits turn it into a stretch of the text. Such a stretch shares
 at least m - q + 1 - q * e of the item's q-grams, on diagonals (place in the text minus place in the
-item) that differ by at most e. Diagonals are dealt to bands that overlap by e, so one band holds them
-all. Bands with enough shared q-grams are verified by an alignment inside the band.
+item) that differ by at most e. Diagonals are dealt to bands that overlap by e and are at least e apart,
+wider for longer items, so one band holds them all. Bands with enough shared q-grams are verified by an alignment inside the band.
 
 The benchmark goes to the tasks in blocks of a fixed number of characters, one scan of the documents
 for each block; an ordinary benchmark is one block.
@@ -13,7 +13,7 @@ for each block; an ordinary benchmark is one block.
 from __future__ import annotations
 
 import uuid
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +30,7 @@ Q = 8
 RATE = 0.1
 #: Shorter items (normalised) are no passages and match nothing.
 LEAST_CHARS = 24
-#: Diagonals by which neighbouring bands are apart, as a power of two.
+#: Diagonals by which neighbouring bands are apart, as a power of two; more for items with more edits.
 BAND_BITS = 6
 #: Characters of text looked at together, and of the benchmark in a block.
 WINDOW = 1 << 17
@@ -81,6 +81,8 @@ class Index:
     ids: list[int | None]
     codes: list[np.ndarray]
     edits: np.ndarray
+    #: Power of two by which an item's bands are apart, at least its edits.
+    bits: np.ndarray
     needed: np.ndarray
     grams: np.ndarray
     first: np.ndarray
@@ -96,6 +98,7 @@ def build_index(rows: list[tuple[int | None, str]], rate: float = RATE) -> Index
     codes = [c for _, c in kept]
     lengths = np.array([len(c) for c in codes], dtype=np.int64)
     edits = np.minimum((lengths * rate).astype(np.int64), (lengths - Q) // Q)
+    bits = np.array([max(BAND_BITS, int(e - 1).bit_length()) for e in edits], dtype=np.int64)
     hashes = [_gram_hashes(c) for c in codes]
     flat = np.concatenate([*hashes, np.zeros(0, np.uint64)])
     items = np.repeat(np.arange(len(codes)), [len(h) for h in hashes])
@@ -105,7 +108,7 @@ def build_index(rows: list[tuple[int | None, str]], rate: float = RATE) -> Index
     table = np.zeros(1 << TABLE_BITS, bool)
     table[grams & np.uint64((1 << TABLE_BITS) - 1)] = True
     return Index(
-        [i for i, _ in kept], codes, edits, lengths - Q + 1 - Q * edits,
+        [i for i, _ in kept], codes, edits, bits, lengths - Q + 1 - Q * edits,
         grams, np.append(first, len(flat)), items[order], at[order], table,
         int(max(lengths, default=0) * 1.4) + (4 << BAND_BITS),
     )
@@ -128,8 +131,9 @@ def candidate_bands(index: Index, codes: np.ndarray) -> list[tuple[int, int, int
     posting = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + index.first[gram][which]
     item, at = index.items[posting].astype(np.int64), index.at[posting]
     diagonal = place[which] - at
-    band = diagonal >> BAND_BITS
-    overlap = (diagonal & ((1 << BAND_BITS) - 1)) < index.edits[item]
+    bits = index.bits[item]
+    band = diagonal >> bits
+    overlap = (diagonal & ((1 << bits) - 1)) < index.edits[item]
     base = (item << 32) + (1 << 31)
     key = np.concatenate([base + band, base[overlap] + band[overlap] - 1])
     source = np.concatenate([np.arange(len(item)), np.flatnonzero(overlap)])
@@ -154,13 +158,24 @@ def _dense_diagonals(
     if len(set(at.tolist())) < needed:
         return None
     order = np.argsort(diagonal, kind="stable")
-    diagonal, at = diagonal[order], at[order]
-    last = np.searchsorted(diagonal, diagonal + edits, side="right")
-    starts = np.flatnonzero(last - np.arange(len(diagonal)) >= needed)
-    starts = [k for k in starts if len(set(at[k : last[k]].tolist())) >= needed]
-    if not starts:
+    diagonal, at = diagonal[order], at[order].tolist()
+    # Of equal diagonals the first has the most places after it.
+    lows, first = np.unique(diagonal, return_index=True)
+    last = np.searchsorted(diagonal, lows + edits, side="right")
+    held: Counter[int] = Counter()
+    dense, a, b = [], 0, 0
+    for k, (start, end) in enumerate(zip(first.tolist(), last.tolist(), strict=True)):
+        held.update(at[b:end])
+        for place in at[a:start]:
+            held[place] -= 1
+            if not held[place]:
+                del held[place]
+        a, b = start, end
+        if len(held) >= needed:
+            dense.append(k)
+    if not dense:
         return None
-    return int(diagonal[starts[0]]), int(diagonal[last[starts[-1]] - 1])
+    return int(lows[dense[0]]), int(diagonal[last[dense[-1]] - 1])
 
 
 def align(item: np.ndarray, codes: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
@@ -288,9 +303,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
             known = index_of(shared)
             for batch in batches:
                 texts, ids = batch["text"].tolist(), batch["doc_id"].tolist()
-                out = []
+                out, last, at = [], -1, []
                 for k, item, start, end, distance in find(known, [normalised(t) for t in texts]):
-                    at = places(texts[k])
+                    if k != last:
+                        last, at = k, places(texts[k])
                     span = (at[start], at[end - 1] + 1) if end > start else (at[start], at[start])
                     out.append((ids[k], known.ids[item], *span, distance, len(known.codes[item])))
                 yield pd.DataFrame(out, columns=MATCH_COLUMNS).astype({"doc_id": "Int64", "item_id": "Int64"})

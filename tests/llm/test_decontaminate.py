@@ -63,6 +63,35 @@ def test_finds_what_brute_force_finds():
     assert got == wanted
 
 
+def least_edits_inside(item, text):
+    """``edit_distance_inside`` for long texts, a row at a time."""
+    text = np.array(list(text))
+    steps = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, int)
+    for i, char in enumerate(item, 1):
+        new = np.minimum(row + 1, np.append(i, row[:-1] + (text != char)))
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row.min())
+
+
+@pytest.mark.parametrize("length, edits", [(1000, 95), (3000, 280), (5000, 400)])
+@pytest.mark.parametrize("insert", [True, False])
+def test_long_items_with_edits_of_one_kind(length, edits, insert):
+    draw = random.Random(length + insert)
+    item = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length))
+    chars = list(item)
+    # Evenly spread: the q-grams that are left lie on all diagonals in between.
+    for k in range(edits, 0, -1):
+        at = k * length // (edits + 1)
+        chars[at:at] = ["+"] if insert else []
+        chars[at : at + 1] = chars[at : at + 1] if insert else []
+    text = f"{words(draw, 30)} {''.join(chars)} {words(draw, 30)}"
+    index = build_index([(1, item)])
+    least = least_edits_inside(item, text)
+    assert 0 < least <= index.edits[0]
+    assert [(k, i, distance) for k, i, _, _, distance in find(index, [text])] == [(0, 0, least)]
+
+
 def test_matches_across_windows(monkeypatch):
     monkeypatch.setattr("regiostat.llm.decontaminate.WINDOW", 64)
     draw = random.Random(2)
