@@ -66,3 +66,39 @@ def test_awkward_rows(awkward, documents, none):
     found = license_matches(awkward.union(more)).collect()
     assert sorted((str(r["doc_id"]), r["license"]) for r in found) == [("30", "MIT"), ("None", "CC-BY-NC-4.0")]
     assert license_matches(none).collect() == []
+
+
+def test_siblings_are_told_apart(documents):
+    gnu = (
+        "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published "
+        "by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    )
+    commons = "This work is licensed under a Creative Commons {} International License."
+    cases = [
+        (gnu.format("program", "Affero General Public License", "3"), ["AGPL-3.0-or-later"]),
+        (gnu.format("program", "Affero General Public License", "4"), []),
+        (gnu.format("library", "Lesser General Public License", "2.1"), ["LGPL-2.1-or-later"]),
+        (gnu.format("library", "Library General Public License", "2"), ["LGPL-2.0-or-later"]),
+        (gnu.format("program", "General Public License", "1"), ["GPL-1.0-or-later"]),
+        ("The work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This work is licensed under the GNU General Public License, version 3 or later.", ["GPL-3.0-or-later"]),
+        ("This work is licensed under the GNU General Public License, version 4.", []),
+        (commons.format("Attribution-ShareAlike 4.0"), ["CC-BY-SA-4.0"]),
+        (commons.format("Attribution-NoDerivatives 4.0"), ["CC-BY-ND-4.0"]),
+        (commons.format("Attribution-NonCommercial-ShareAlike 4.0"), ["CC-BY-NC-SA-4.0"]),
+        (commons.format("Attribution-ShareAlike 5.0"), []),
+        ("This file is licensed under a Creative Commons Attribution-NoDerivs 2.5 Generic License.", ["CC-BY-ND-2.5"]),
+    ]
+    rows = [(k, f"Some words before. {text}\nAnd more words after it.") for k, (text, _) in enumerate(cases)]
+    found = {k: [] for k in range(len(cases))}
+    for r in license_matches(documents(rows)).collect():
+        found[r["doc_id"]].append(r["license"])
+    assert found == {k: names for k, (_, names) in enumerate(cases)}
+
+
+def test_a_whole_text_is_one_match(documents):
+    texts = {name: text for name, text in TEMPLATES if len(text) > 1400}
+    assert {"GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-3-Clause", "CC0-1.0", "Apache-2.0"} <= set(texts)
+    rows = [(k, f"Title. {text.replace('copyright', 'copy right', 3)} End.") for k, text in enumerate(texts.values())]
+    found = license_matches(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in found) == list(enumerate(texts))
