@@ -28,8 +28,9 @@ from regiostat.llm.word_arrays import constants, mix
 
 Q = 8
 RATE = 0.1
-#: Shorter items (normalised) are no passages and match nothing.
-LEAST_CHARS = 24
+#: Items (normalised) of fewer UTF-8 bytes, or of fewer than ``Q`` characters, are no passages and match
+#: nothing. Bytes, since a few Chinese, Japanese or Korean characters are a whole question.
+LEAST_BYTES = 24
 #: Diagonals by which neighbouring bands are apart, as a power of two; more for items with more edits.
 BAND_BITS = 6
 #: Characters of text looked at together, and of the benchmark in a block.
@@ -66,6 +67,10 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
 
+def _is_passage(text: str) -> bool:
+    return len(text) >= Q and len(text.encode("utf-8", "replace")) >= LEAST_BYTES
+
+
 def _gram_hashes(codes: np.ndarray) -> np.ndarray:
     size = max(0, len(codes) - Q + 1)
     found = np.zeros(size, np.uint64)
@@ -94,7 +99,7 @@ class Index:
 
 
 def build_index(rows: list[tuple[int | None, str]], rate: float = RATE) -> Index:
-    kept = [(i, _codes(t)) for i, t in ((i, normalised(t)) for i, t in rows) if len(t) >= LEAST_CHARS]
+    kept = [(i, _codes(t)) for i, t in ((i, normalised(t)) for i, t in rows) if _is_passage(t)]
     codes = [c for _, c in kept]
     lengths = np.array([len(c) for c in codes], dtype=np.int64)
     edits = np.minimum((lengths * rate).astype(np.int64), (lengths - Q) // Q)
@@ -253,8 +258,9 @@ def find(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int, i
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
     """The items in blocks of about ``BLOCK_CHARS`` characters, one at a time."""
+    # Lower case can have up to three times the bytes of a text; the index looks at the normalised one.
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(
-        F.length("text") >= LEAST_CHARS
+        F.octet_length("text") * 3 >= LEAST_BYTES
     )
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_CHARS))
@@ -287,7 +293,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> Dat
     """(doc_id, item_id, start_char, end_char, distance, item_chars) of every leaked item.
 
     Places are in the original text. Documents without a leak have no row. NULL and empty texts, and
-    items that are NULL or shorter than ``LEAST_CHARS``, match nothing; NULL ids are returned as they
+    items that are NULL or shorter than ``LEAST_BYTES`` or ``Q``, match nothing; NULL ids are returned as they
     are; equal items and repeated rows are found one by one. Other columns are not read.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).filter(

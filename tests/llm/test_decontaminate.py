@@ -153,3 +153,12 @@ def test_empty_tables(none, awkward, benchmark):
     assert leaks(none, benchmark).collect() == []
     assert leaks(awkward, benchmark.limit(0)).collect() == []
     assert without_leaks(awkward, benchmark.limit(0)).count() == awkward.count()
+
+
+def test_short_items_of_other_scripts(documents, spark):
+    items = ["中国的首都是哪一座城市请回答", "日本の首都はどこですか", "대한민국의 수도는 어디인가", "a short item"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = documents([(k, f"before {item} after") for k, item in enumerate(items)])
+    found = leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(0, 0, 0), (1, 1, 0), (2, 2, 0)]
+    assert [r["doc_id"] for r in without_leaks(docs, benchmark).collect()] == [3]
