@@ -13,6 +13,7 @@ for each block; an ordinary benchmark is one block.
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -184,12 +185,20 @@ def _dense_diagonals(
 
 
 def align(item: np.ndarray, codes: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
-    """(distance, start, end) of the best place of ``item`` on diagonals ``low`` to ``high``.
+    """(distance, start, end) of the best place of ``item``; see ``alignments``."""
+    return next(iter(alignments(item, codes, low, high, edits)), None)
+
+
+def alignments(
+    item: np.ndarray, codes: np.ndarray, low: int, high: int, edits: int
+) -> list[tuple[int, int, int]]:
+    """(distance, start, end) of the places of ``item`` on diagonals ``low`` to ``high``, best first;
+    of overlapping ones the best.
 
     Cell k of a row stands for diagonal low - edits + k. Cost and start are one number, cost first, so
     that the smallest is the cheapest and then the earliest. Places outside the text hold a character
-    that equals none; to align with one costs as much as to drop the item's character. None if more
-    than ``edits`` edits are needed.
+    that equals none; to align with one costs as much as to drop the item's character. No place takes
+    more than ``edits`` edits.
     """
     first = low - edits
     width = high - first + edits + 1
@@ -206,13 +215,31 @@ def align(item: np.ndarray, codes: np.ndarray, low: int, high: int, edits: int)
         swapped -= steps
         row = np.minimum.accumulate(swapped) + steps
         if not r & 31 and row.min() >= (edits + 1) * unit:
-            return None
-    best = int(np.argmin(row))
-    cost, start = divmod(int(row[best]), unit)
-    if cost > edits:
-        return None
-    end = min(first + best + len(item), len(codes))
-    return cost, min(max(0, start - shift), end), end
+            return []
+    near = np.flatnonzero(row < (edits + 1) * unit)
+    found = []
+    for cell in near[np.argsort(row[near], kind="stable")].tolist():
+        cost, start = divmod(int(row[cell]), unit)
+        end = min(first + cell + len(item), len(codes))
+        found.append((cost, min(max(0, start - shift), end), end))
+    return _apart(found)
+
+
+def _apart(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The matches (distance, start, end) that overlap no earlier one."""
+    kept: list[tuple[int, int, int]] = []
+    # Kept ones in the order of their starts, which is that of their ends.
+    starts: list[int] = []
+    ends: list[int] = []
+    for match in matches:
+        k = bisect_left(starts, match[2])
+        if k and ends[k - 1] > match[1]:
+            continue
+        kept.append(match)
+        k = bisect_left(starts, match[1])
+        starts.insert(k, match[1])
+        ends.insert(k, match[2])
+    return kept
 
 
 def find(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
@@ -242,17 +269,12 @@ def find(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int, i
             for n in range(max(1, from_), min(len(taken), to) + 1):
                 k, offset, piece = taken[n - 1]
                 start = int(begins[n - 1])
-                found = align(
+                for distance, a, b in alignments(
                     index.codes[item], codes[start : start + len(piece)], low - start, high - start, edits
-                )
-                if found:
-                    best.setdefault((k, item), []).append((found[0], found[1] + offset, found[2] + offset))
+                ):
+                    best.setdefault((k, item), []).append((distance, a + offset, b + offset))
     for (k, item), matches in sorted(best.items()):
-        kept: list[tuple[int, int, int]] = []
-        for match in sorted(matches):
-            if all(match[2] <= m[1] or match[1] >= m[2] for m in kept):
-                kept.append(match)
-        for distance, start, end in sorted(kept, key=lambda m: m[1]):
+        for distance, start, end in sorted(_apart(sorted(matches)), key=lambda m: m[1]):
             yield k, item, start, end, distance
 
 

@@ -162,3 +162,11 @@ def test_short_items_of_other_scripts(documents, spark):
     found = leaks(docs, benchmark).collect()
     assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(0, 0, 0), (1, 1, 0), (2, 2, 0)]
     assert [r["doc_id"] for r in without_leaks(docs, benchmark).collect()] == [3]
+
+
+def test_copies_in_close_succession():
+    item = "one two three four five six se"
+    text = f"{item} {item.replace('three', 'thxee')}, {item} and then some other words"
+    found = list(find(build_index([(1, item)]), [text]))
+    assert [(start, distance) for _, _, start, _, distance in found] == [(0, 0), (31, 1), (63, 0)]
+    assert [text[start:end] for _, _, start, end, _ in found][::2] == [item, item]
