@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from regiostat.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -33,9 +31,3 @@ def put(tmp_path):
         return str(path)
 
     return write
-
-
-def rows(df, *columns):
-    """Sorted tuples of a DataFrame."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple(str(v) for v in r))

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry_module
 from contract.compare import connect, difference

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import SMALL, rows
+from support import SMALL, rows
 from pyspark.sql import functions as F
 
 from contract.adapter import DriverTables

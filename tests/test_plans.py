@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 from contract.adapter import SOURCE_TABLES, DriverTables
 from contract.queries import QUERIES

@@ -2,7 +2,7 @@ import io
 import zipfile
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from regiostat.sources import banks, files, institutions, load, movements, rates
