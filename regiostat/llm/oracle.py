@@ -34,3 +34,71 @@ SELECT r.doc_id, any_value(s.n)::BIGINT AS n_shingles, min(r.other) AS component
 FROM reach r JOIN sizes s ON s.doc_id = r.doc_id
 GROUP BY r.doc_id
 """
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text; the table follows from the reflected polynomial."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    values = ", ".join(map(str, table))
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = f"xor(c >> 8, ([{values}]::BIGINT[])[1 + (xor(c, x) & 255)])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: {step}), 4294967295)"
+
+
+def merkle_sql(source_levels: int = 6, root_levels: int = 5) -> str:
+    """Hash trees with runs of 16, for up to 16 ** ``source_levels`` rows a source and so many sources.
+
+    Every level is a table of runs; a node that is alone in its row stays as it is.
+    """
+    names = ("doc_id", "source", "lang", "n_chars")
+
+    def field(x: str) -> str:
+        return f"coalesce(octet_length(encode({x}::VARCHAR)) || ':' || {x}::VARCHAR, '-')"
+
+    head = " || ".join(field(c) for c in names)
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        f"hashed AS (SELECT doc_id, source, sha256({head} || {field('text')}) AS leaf, "
+        f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0 "
+        f"THEN sha256({head} || {field(lower)}) END AS tampered FROM documents)",
+        "p0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 "
+        "AS place, count(*) OVER (PARTITION BY source) AS n, "
+        "dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree, '' AS proof, "
+        "leaf AS node, coalesce(tampered, leaf) AS other FROM hashed)",
+    ]
+
+    def level(k: int, tree: str, last: str) -> None:
+        """Runs of a row, and every leaf one step further."""
+        ctes.append(
+            f"r{k} AS (SELECT {tree} AS tree, place // 16 AS run, string_agg(node, '' ORDER BY place) AS h "
+            f"FROM (SELECT DISTINCT {tree}, place, node FROM {last} WHERE n > 1) GROUP BY 1, 2)"
+        )
+        left = "substr(h, 1, 64 * (place % 16))"
+        right = "substr(h, 64 * (place % 16) + 65)"
+        ctes.append(
+            f"p{k} AS (SELECT l.* REPLACE (CASE WHEN h IS NULL THEN place ELSE place // 16 END AS place, "
+            f"CASE WHEN h IS NULL THEN n ELSE (n + 15) // 16 END AS n, "
+            f"CASE WHEN h IS NULL THEN proof ELSE proof || {left} || {right} END AS proof, "
+            f"CASE WHEN h IS NULL THEN node ELSE sha256(h) END AS node, "
+            f"CASE WHEN h IS NULL THEN other ELSE sha256({left} || other || {right}) END AS other) "
+            f"FROM {last} l LEFT JOIN r{k} r ON l.n > 1 AND r.tree = l.{tree} AND r.run = l.place // 16)"
+        )
+
+    for k in range(1, source_levels + 1):
+        level(k, "tree", f"p{k - 1}")
+    ctes.append(
+        f"tops AS (SELECT * REPLACE (tree AS place, (SELECT max(tree) + 1 FROM p0) AS n), "
+        f"node AS subroot, 0 AS top FROM p{source_levels})"
+    )
+    last = "tops"
+    for k in range(source_levels + 1, source_levels + root_levels + 1):
+        level(k, "top", last)
+        last = f"p{k}"
+    return (
+        f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, "
+        f"other AS folded_root, other = node AS verified FROM {last}"
+    )

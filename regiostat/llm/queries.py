@@ -12,10 +12,11 @@ from regiostat.llm.common import table
 from regiostat.llm.decontaminate import leaks
 from regiostat.llm.language_id import predicted_languages
 from regiostat.llm.licenses import license_matches
+from regiostat.llm.merkle import checked_manifest
 from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
 from regiostat.llm.neighbours import neighbours
-from regiostat.llm.oracle import NEAR_DUPS
+from regiostat.llm.oracle import NEAR_DUPS, merkle_sql
 from regiostat.llm.quality import quality_scores
 from regiostat.llm.sharding import OLD_SHARDS, resharded, text_hash
 from regiostat.llm.token_counts import token_counts
@@ -76,6 +77,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document up to one root, a fifth of them tampered with; see ``checked_manifest``."""
+    return checked_manifest(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
@@ -89,9 +95,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dups": op8_near_dups,
         "op9_sharding": op9_sharding,
         "op10_language_id": op10_language_id,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
     """The queries that SQL can express."""
-    return {"op8_near_dups": NEAR_DUPS}
+    return {"op8_near_dups": NEAR_DUPS, "op11_merkle_manifest": merkle_sql()}
