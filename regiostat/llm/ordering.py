@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -47,3 +48,61 @@ def group_offsets(placed: DataFrame, groups: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
         F.sum("rows").over(every).alias("n"),
     )
+
+
+#: Rows of a block and the most blocks of ``with_previous``; beyond, blocks grow with the table.
+BLOCK_ROWS = 256
+MOST_BLOCKS = 1 << 14
+#: Ends of blocks are looked up in groups of so many.
+ENDS = 128
+
+
+def block_ends(keys: DataFrame, order: Sequence[str]) -> tuple[str, str]:
+    """(JSON array, its schema) of the highest key of every block, ascending.
+
+    Keys are narrow. ``MOST_BLOCKS`` ends and one for each range of the shuffle reach the driver at most.
+    """
+    placed = in_order(staged(keys, "keys"), *order)
+    rows = placed.count()
+    every = max(BLOCK_ROWS, -(-rows // MOST_BLOCKS))
+    key = F.struct(*order)
+    last = placed.agg(F.max(key).alias("end")).filter("end IS NOT NULL")
+    ends = placed.filter((F.col("at") + 1) % every == 0).select(key.alias("end")).union(last)
+    listed = ends.agg(F.sort_array(F.collect_set("end")).alias("ends"))
+    text = listed.select(F.to_json("ends").alias("text")).first()["text"]
+    return text, listed.schema["ends"].dataType.simpleString()
+
+
+def with_previous(
+    df: DataFrame, order: Sequence[str], carried: Sequence[str], prefix: str
+) -> DataFrame:
+    """Every row with the ``carried`` columns of the row before it in ascending order of ``order``.
+
+    NULL comes first; the row before the first is the last. Rows equal in all of ``order`` must be equal in
+    ``carried``; they stand in any order.
+
+    The table is cut into blocks of near equal row counts whose ends are known from the keys alone, and
+    the last row of a block is copied to the next one. So wide rows are shuffled once, and no task holds more than its
+    blocks.
+    """
+    # Constants of the plan, parsed once.
+    text, schema = block_ends(df.select(*order), order)
+    ends = F.from_json(F.lit(text), schema)
+    coarse = F.from_json(F.lit(json.dumps(json.loads(text)[ENDS - 1 :: ENDS])), schema)
+    key = F.struct(*order)
+    # Ends below a key: first whole groups of ends, then those of its group.
+    group = F.size(F.filter(coarse, lambda end: end < F.col("_key"))) * ENDS
+    inside = F.filter(F.slice(ends, F.col("_group") + 1, ENDS), lambda end: end < F.col("_key"))
+    own = F.struct(F.col("_block").alias("block"), F.lit(False).alias("copy"))
+    ahead = F.struct(F.pmod(F.col("_block") + 1, F.size(ends)).alias("block"), F.lit(True).alias("copy"))
+    is_end = F.get(ends, F.col("_block")).eqNullSafe(F.col("_key"))
+    blocks = (
+        df.withColumn("_key", key)
+        .withColumn("_group", group)
+        .withColumn("_block", F.col("_group") + F.size(inside))
+        .select(*df.columns, F.explode(F.when(is_end, F.array(own, ahead)).otherwise(F.array(own))).alias("_at"))
+        .select(*df.columns, "_at.*")
+    )
+    near = Window.partitionBy("block").orderBy(F.desc("copy"), *order)
+    before = [F.lag(c).over(near).alias(f"{prefix}{c}") for c in carried]
+    return blocks.select(*df.columns, "copy", *before).filter(~F.col("copy")).drop("copy")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from regiostat.llm.common import table
 from regiostat.llm.decontaminate import leaks
+from regiostat.llm.fingerprints import fingerprints
 from regiostat.llm.language_id import predicted_languages
 from regiostat.llm.licenses import license_matches
 from regiostat.llm.merkle import checked_manifest
@@ -82,6 +83,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of an edited one; see ``fingerprints``."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
@@ -96,6 +102,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": op9_sharding,
         "op10_language_id": op10_language_id,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_fingerprints": op12_fingerprints,
     }
 
 
