@@ -62,7 +62,8 @@ def leaves(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         "source", "doc_id", leaf_hash(F.col("text")).alias("hash"),
         F.when(fold("doc_id", TAMPERED) == 0, lowered).alias("tampered"),
     )
-    placed = in_order(hashed, "source", "doc_id", "hash")
+    # Staged, as a range shuffle runs what stands below it twice: texts are read and hashed once.
+    placed = in_order(staged(hashed, "merkle-leaves"), "source", "doc_id", "hash")
     offsets = group_offsets(placed, ["source"])
     # Sources get their number in the same way: there may be many.
     sources = in_order(offsets.select("source").distinct(), "source")
