@@ -102,3 +102,37 @@ def merkle_sql(source_levels: int = 6, root_levels: int = 5) -> str:
         f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, "
         f"other AS folded_root, other = node AS verified FROM {last}"
     )
+
+
+def clusters_sql(clusters: int = 40, rounds: int = 5, seed: int = 2, dimensions: int = 64) -> str:
+    """Rounds of assignment and floored means over integer vectors, one table each."""
+    ctes = [
+        "kept AS MATERIALIZED (SELECT row_number() OVER () AS k, vec_id, "
+        "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        f"WHERE len(embedding) = {dimensions} "
+        f"AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, v) - 1 "
+        f"AS j, v FROM kept QUALIFY j < {clusters})",
+    ]
+    square = "list_sum(list_transform(list_zip(a.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for r in range(rounds + 1):
+        ctes.append(
+            f"a{r} AS MATERIALIZED (SELECT k, min(struct_pack(d := d, j := j)) AS best FROM "
+            f"(SELECT a.k, c.j, {square} AS d FROM kept a CROSS JOIN c{r} c) GROUP BY k)"
+        )
+        if r < rounds:
+            ctes.append(
+                f"s{r} AS (SELECT best.j AS j, i, sum(x)::BIGINT AS s, count(*) AS n FROM "
+                f"(SELECT best, unnest(v) AS x, unnest(range({dimensions})) AS i FROM kept JOIN a{r} USING (k)) "
+                f"GROUP BY 1, 2)"
+            )
+            ctes.append(
+                f"c{r + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN "
+                f"(SELECT j, list((s - (s % n + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY j) m USING (j))"
+            )
+    return (
+        f"WITH {', '.join(ctes)} SELECT vec_id, best.j::INTEGER AS cluster, best.d AS distance, "
+        f"(sum(best.d) OVER (PARTITION BY best.j))::BIGINT AS cluster_inertia, "
+        f"(sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256 "
+        f"FROM kept JOIN a{rounds} USING (k) JOIN c{rounds} c ON c.j = best.j"
+    )

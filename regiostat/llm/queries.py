@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiostat.llm.centroids import clustered
 from regiostat.llm.common import table
 from regiostat.llm.decontaminate import leaks
 from regiostat.llm.fingerprints import fingerprints
@@ -17,7 +18,7 @@ from regiostat.llm.merkle import checked_manifest
 from regiostat.llm.mixing import mixture
 from regiostat.llm.near_dups import near_duplicates
 from regiostat.llm.neighbours import neighbours
-from regiostat.llm.oracle import NEAR_DUPS, merkle_sql
+from regiostat.llm.oracle import NEAR_DUPS, clusters_sql, merkle_sql
 from regiostat.llm.quality import quality_scores
 from regiostat.llm.sharding import OLD_SHARDS, resharded, text_hash
 from regiostat.llm.token_counts import token_counts
@@ -88,6 +89,11 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of the vectors after five rounds; see ``clustered``."""
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator."""
     return {
@@ -103,9 +109,14 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language_id": op10_language_id,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_fingerprints": op12_fingerprints,
+        "op13_centroids": op13_centroids,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
     """The queries that SQL can express."""
-    return {"op8_near_dups": NEAR_DUPS, "op11_merkle_manifest": merkle_sql()}
+    return {
+        "op8_near_dups": NEAR_DUPS,
+        "op11_merkle_manifest": merkle_sql(),
+        "op13_centroids": clusters_sql(),
+    }
