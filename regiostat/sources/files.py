@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiostat.functions import clean as X
 from regiostat.schemas import TABLE_SCHEMAS
 
 
@@ -117,7 +118,7 @@ def read_header_row_json(
         .filter(F.col("_pos") > 0)
         .select(
             *[F.try_element_at("row", F.col(f"_{n}")).alias(n) for n in wanted],
-            F.try_element_at("row", F.lit("V")).try_cast("double").alias("value"),
+            X.lenient_number(F.try_element_at("row", F.lit("V"))).alias("value"),
             F.struct("stem", "_pos").alias("_order"),
         )
     )

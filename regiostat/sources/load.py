@@ -16,6 +16,7 @@ from regiostat.operators.crosswalk import extend_code
 from regiostat.operators.pivot import pivot_first
 from regiostat.operators.population import reference_population
 from regiostat.plans.catalogue import VIEWS
+from regiostat.session import work_folder
 from regiostat.sources import banks, institutions, movements, rates
 from regiostat.sources.files import (
     file_stem,
@@ -28,6 +29,7 @@ from regiostat.sources.files import (
     read_seed,
     rejects,
 )
+from regiostat.sources.ledger import Ledger
 from regiostat.tables import TableSet
 
 # Label fragments of the statistics tables.
@@ -256,10 +258,13 @@ def raw_tables(
     layout: Mapping[str, str] | None = None,
     seed_files: Mapping[str, str] | None = None,
     work: str | None = None,
+    state: str | None = None,
 ) -> TableSet:
     """Base tables and views over a raw folder; ``seeds`` holds one ``<table>.csv`` per seed.
 
-    ``work`` is the folder for tables that a view reads several times (see ``TableSet``).
+    ``work`` is the folder for tables that a view reads several times (see ``TableSet``). ``state`` is the folder of the
+    ledgers of archives and microdata: with it, only files that are new or have changed are read, each once, when a
+    table that needs them is planned first. Without it they are read whole each time.
     ``seed_files`` maps a seed (or ``coordinates``) to another file name. A source without files
     becomes an empty typed table; the others go on. ``load_rejects`` says what was left out.
     """
@@ -274,20 +279,32 @@ def raw_tables(
     def balance_cells() -> DataFrame:
         return banks.balance_cells(banks.read_zipped_lines(spark, at["balances"]))
 
+    def archives() -> Ledger:
+        return banks.update_balances(spark, at["balances"], f"{state}/balances", changed=True)
+
     def balances(t: TableSet) -> DataFrame:
-        amounts = banks.place_amounts(balance_cells())
+        if state:
+            amounts = banks.ledger_amounts(archives())
+        else:
+            amounts = banks.place_amounts(balance_cells())
         kept = amounts.join(t["place"].select("place_id"), "place_id", "left_semi")
         return kept.join(t["account"].select("account"), "account", "left_semi").select(
             "period", "place_id", "account", "amount"
         )
 
     def presence(t: TableSet) -> DataFrame:
-        rows = banks.place_presence(balance_cells())
+        if state:
+            rows = banks.ledger_presence(archives())
+        else:
+            rows = banks.place_presence(balance_cells())
         return rows.join(t["place"].select("place_id"), "place_id", "left_semi")
 
     def jobs(t: TableSet) -> DataFrame:
-        raw_rows = movements.read_movements(spark, at["movements"])
-        sums = movements.signed_jobs(raw_rows, ["period", "place_id6", "division"])
+        if state:
+            sums = movements.update_jobs(spark, at["movements"], f"{state}/movements", changed=True)
+        else:
+            raw_rows = movements.read_movements(spark, at["movements"])
+            sums = movements.signed_jobs(raw_rows, movements.SUM_KEYS)
         return extend_code(movements.finish_jobs(sums), t["place"])[0]
 
     loaders = {name: (lambda t, n=name: seed(n)) for name in SEED_SCHEMAS}
@@ -351,58 +368,43 @@ def load_rejects(
     seeds: str,
     layout: Mapping[str, str] | None = None,
     seed_files: Mapping[str, str] | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """(source, file, reason, rows) of everything that the load leaves out.
 
     Files that are no JSON or lack a label, archives that cannot be read, lines that do not fit their
-    header, microdata files without a needed column, and rows whose place or account is unknown.
+    header, microdata files without a needed column, and rows whose place or account is unknown. Archives and
+    microdata come from the ledgers in ``state``, which good and bad lines enter in one scan; without it, from a
+    ledger of this call alone.
     """
     at = _paths(raw, layout)
     t = raw_tables(spark, raw, seeds, layout, seed_files)
+    state = state or work_folder(spark, "load-state")
+    archives = banks.update_balances(spark, at["balances"], f"{state}/balances", changed=True)
+    movements.update_jobs(spark, at["movements"], f"{state}/movements", changed=True)
+    microdata = movements.jobs_ledger(spark, f"{state}/movements")
 
     def labels(name: str) -> DataFrame:
         wanted = {f"l{k}": label for k, label in enumerate(HEADER_LABELS[name])}
         found = read_header_row_json(spark, at[name], wanted)[1]
-        return found.filter("reason <> 'corrupt'").select(F.col("stem").alias("file"), "reason")
-
-    def lines() -> DataFrame:
-        return banks.read_zipped_lines(spark, at["balances"])
+        found = found.filter("reason <> 'corrupt'").select(F.col("stem").alias("file"), "reason")
+        return found.withColumn("rows", F.lit(1).cast("long"))
 
-    def unknown_places() -> DataFrame:
-        cells = banks.balance_cells(lines())
-        return cells.join(t["place"].select("place_id"), "place_id", "left_anti").select(
-            F.lit(None).cast("string").alias("file"), F.lit("unknown place").alias("reason")
-        )
-
-    def unknown_accounts() -> DataFrame:
-        amounts = banks.place_amounts(banks.balance_cells(lines()))
-        return amounts.join(t["account"].select("account"), "account", "left_anti").select(
-            F.lit(None).cast("string").alias("file"), F.lit("unknown account").alias("reason")
-        )
-
-    def unknown_job_places() -> DataFrame:
-        raw_rows = movements.read_movements(spark, at["movements"])
-        left_out = extend_code(raw_rows.dropna(subset=["period", "place_id6", "division"]), t["place"])[1]
-        return left_out.select(
-            F.lit(None).cast("string").alias("file"), F.lit("unknown place").alias("reason")
-        )
-
-    def incomplete_jobs() -> DataFrame:
-        raw_rows = movements.read_movements(spark, at["movements"])
-        key = F.col("period").isNull() | F.col("place_id6").isNull() | F.col("division").isNull()
-        return raw_rows.filter(key).select(
-            F.lit(None).cast("string").alias("file"), F.lit("period, place or activity missing").alias("reason")
-        )
+    def unknown(rows: DataFrame, known: DataFrame, key: str, reason: str) -> DataFrame:
+        left_out = rows.join(known.select(key), key, "left_anti")
+        return left_out.groupBy("file", F.lit(reason).alias("reason")).agg(F.sum("rows").alias("rows"))
 
-    steps = {("json", "raw"): lambda: raw_rejects(spark, raw, layout)}
+    present = archives.part("presence").filter("problem IS NULL")
+    sums = archives.part("amounts").withColumn("rows", F.lit(1).cast("long"))
+    jobs = microdata.part("cells").filter("problem IS NULL")
+    steps = {("json", "raw"): lambda: raw_rejects(spark, raw, layout).withColumn("rows", F.lit(1).cast("long"))}
     steps |= {(name, "labels"): (lambda n=name: labels(n)) for name in HEADER_LABELS}
     steps |= {
-        ("balances", "lines"): lambda: banks.balance_rejects(lines()),
-        ("balances", "places"): unknown_places,
-        ("balances", "accounts"): unknown_accounts,
-        ("movements", "files"): lambda: movements.movement_rejects(spark, at["movements"]),
-        ("movements", "keys"): incomplete_jobs,
-        ("movements", "places"): unknown_job_places,
+        ("balances", "lines"): lambda: banks.ledger_rejects(archives),
+        ("balances", "places"): lambda: unknown(present, t["place"], "place_id", "unknown place"),
+        ("balances", "accounts"): lambda: unknown(sums, t["account"], "account", "unknown account"),
+        ("movements", "lines"): lambda: movements.ledger_rejects(microdata),
+        ("movements", "places"): lambda: unknown(jobs, t["place"], "place_id6", "unknown place"),
     }
     found = spark.createDataFrame([], REJECTS)
     for (source, _), step in steps.items():
@@ -412,8 +414,6 @@ def load_rejects(
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        if "rows" not in part.columns:
-            part = part.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("rows"))
         found = found.union(part.select(F.lit(source).alias("source"), "file", "reason", "rows"))
     return found
 

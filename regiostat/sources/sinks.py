@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from regiostat.operators.quality import duplicate_keys
 from regiostat.plans.catalogue import MATERIALISED
 from regiostat.schemas import TABLE_KEYS
+from regiostat.sources.versions import commit, latest, remove_old
 from regiostat.tables import TableSet
 
 # Facts are split by period on disk, so a latest-position filter reads one folder.
@@ -37,35 +37,35 @@ def replace_periods(df: DataFrame, path: str, partition: str = "period") -> None
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-VERSIONS = "_versions"
-
-
 def write_version(
-    df: DataFrame, folder: str, name: str, keys: Sequence[str] = (), partition: str | None = None
-) -> DataFrame:
+    df: DataFrame, folder: str, name: str, keys: Sequence[str] = (), partition: str | None = None,
+    after: int | None = None,
+) -> DataFrame:
     """Write a table beside its earlier versions, check it, then make it the current one.
 
     Readers follow ``current_version``; a failed write or check leaves the former table as it was,
-    and a table may be computed from its own current version.
+    and a table may be computed from its own current version. ``after`` is the number of the version that ``df``
+    was computed from (now, if not given): if another writer has committed since, this one fails with
+    ``VersionConflict``. The data of old versions are removed, but of the last few.
     """
-    spark = df.sparkSession
-    path = f"{folder}/{name}/v-{uuid.uuid4().hex}"
+    spark, home = df.sparkSession, f"{folder}/{name}"
+    base = latest(spark, home)[0] if after is None else after
+    path = f"{home}/v-{uuid.uuid4().hex}"
     write_table(df, path, partition)
     stored = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     if keys and not duplicate_keys(stored, keys).isEmpty():
         raise ValueError(f"duplicate keys in {name}: {', '.join(keys)}")
-    entry = spark.createDataFrame([(path, time.time())], VERSION_SCHEMA)
-    entry.coalesce(1).write.mode("append").json(f"{folder}/{name}/{VERSIONS}")
+    commit(spark, home, {"paths": [path]}, base)
+    remove_old(spark, home)
     return stored
 
 
-VERSION_SCHEMA = "path string, written double"
-
-
 def current_version(spark: SparkSession, folder: str, name: str) -> str:
-    """Folder of the version that was made current last."""
-    entries = spark.read.schema(VERSION_SCHEMA).json(f"{folder}/{name}/{VERSIONS}")
-    return entries.orderBy(F.desc("written")).first()["path"]
+    """Folder of the version that was committed last."""
+    entry = latest(spark, f"{folder}/{name}")[1]
+    if entry is None:
+        raise FileNotFoundError(f"{folder}/{name} has no version")
+    return entry["paths"][0]
 
 
 def write_base_tables(t: TableSet, folder: str) -> None:

@@ -7,13 +7,21 @@ it changes nothing. For large states use the RocksDB state store of the session.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.functions.periods import month_of
-from regiostat.sources.movements import signed_jobs
+from regiostat.sources.movements import (
+    jobs_ledger,
+    ledger_jobs,
+    movement_cells,
+    read_movements,
+    signed_jobs,
+)
+from regiostat.sources.versions import commit, latest, names_in, remove, remove_old
 
 
 def file_stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -22,6 +30,13 @@ def file_stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def raw_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Stream of the names of new raw files (``file``), of any format: their content is not read here."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern)
+    return reader.load(folder).select(F.col("path").alias("file"))
+
+
 def _drain(stream: DataFrame, write: Callable, checkpoint: str, mode: str) -> None:
     query = (
         stream.writeStream.outputMode(mode)
@@ -33,19 +48,99 @@ def _drain(stream: DataFrame, write: Callable, checkpoint: str, mode: str) -> No
     query.awaitTermination()
 
 
-def _batch_writer(out: str, reduce: Callable[[DataFrame], DataFrame]):
-    def write(batch: DataFrame, number: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+#: Batches that lie side by side before they are put together.
+MOST_BATCHES = 16
+
 
-    return write
+class Batches:
+    """Results of batches below ``out``, one folder each, put together when there are many.
+
+    A batch that is repeated after a restart replaces its folder. What has been put together is named by a version
+    (see ``versions``) with the number of its last batch; folders up to that number do not count any more and go.
+    """
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.spark, self.out = spark, out
+
+    def _pending(self, upto: int) -> list[str]:
+        names = [n for n in names_in(self.spark, self.out) if n.startswith("batch-")]
+        return [n for n in names if int(n.removeprefix("batch-")) > upto]
+
+    def _state(self) -> tuple[int, dict]:
+        number, entry = latest(self.spark, self.out)
+        return number, entry or {"paths": [], "upto": -1}
+
+    def write(self, rows: DataFrame, number: int) -> None:
+        rows = rows.withColumn("batch", F.lit(number).cast("long"))
+        rows.write.mode("overwrite").parquet(f"{self.out}/batch-{number:012d}")
+        if len(self._pending(self._state()[1]["upto"])) > MOST_BATCHES:
+            self.compact()
+
+    def read(self) -> DataFrame:
+        """All rows, each with the number of its ``batch``."""
+        entry = self._state()[1]
+        paths = [*entry["paths"], *[f"{self.out}/{n}" for n in self._pending(entry["upto"])]]
+        return self.spark.read.parquet(*paths)
+
+    def compact(self) -> None:
+        """One folder for all batches so far; the rows stay as they are."""
+        number, entry = self._state()
+        pending = self._pending(entry["upto"])
+        if not pending:
+            return
+        path = f"{self.out}/merged-{uuid.uuid4().hex}"
+        self.read().hint("rebalance").write.parquet(path)
+        upto = int(pending[-1].removeprefix("batch-"))
+        commit(self.spark, self.out, {"paths": [path], "upto": upto}, number)
+        remove_old(self.spark, self.out)
+        # Readers that looked before the former compaction may still use its batches, not older ones.
+        for name in names_in(self.spark, self.out):
+            if name.startswith("batch-") and int(name.removeprefix("batch-")) <= entry["upto"]:
+                remove(self.spark, f"{self.out}/{name}")
 
 
 def aggregate_new_files(
     stream: DataFrame, reduce: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
 ) -> DataFrame:
     """Reduce only unseen files; keep one additive partial per batch. Returns all partials."""
-    _drain(stream, _batch_writer(out, reduce), checkpoint, "append")
-    return stream.sparkSession.read.parquet(out)
+    batches = Batches(stream.sparkSession, out)
+    _drain(stream, lambda batch, number: batches.write(reduce(batch), number), checkpoint, "append")
+    return batches.read()
+
+
+def aggregate_new_text(
+    spark: SparkSession, folder: str, pattern: str, reduce: Callable[[DataFrame], DataFrame], out: str,
+    checkpoint: str,
+) -> DataFrame:
+    """``aggregate_new_files`` over microdata text: each file is read by its own header inside its batch."""
+    batches = Batches(spark, out)
+
+    def write(files: DataFrame, number: int) -> None:
+        # As many rows as the batch has files.
+        names = sorted(r["file"] for r in files.collect())
+        batches.write(reduce(read_movements(spark, names)), number)
+
+    _drain(raw_files(spark, folder, pattern), write, checkpoint, "append")
+    return batches.read()
+
+
+def stream_raw_jobs(
+    spark: SparkSession, folder: str, pattern: str, state: str, checkpoint: str
+) -> DataFrame:
+    """Signed sums of microdata text by event month, late and retracted records included.
+
+    The stream finds the new files and the ledger in ``state`` reads them, so a batch that is repeated
+    adds nothing, and a file that is sent again replaces its former content.
+    """
+    ledger = jobs_ledger(spark, state)
+
+    def add(files: DataFrame, number: int) -> None:
+        names = sorted(r["file"] for r in files.collect())
+        if names:
+            ledger.add(names, lambda new: movement_cells(spark, new))
+
+    _drain(raw_files(spark, folder, pattern), add, checkpoint, "append")
+    return ledger_jobs(ledger)
 
 
 def add_up(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,9 +165,9 @@ def stream_signed_totals(
     whenever it arrives. Each batch writes the keys it changed; the newest row per key is final.
     """
     totals = signed_jobs(movements, keys)
-    _drain(totals, _batch_writer(out, lambda b: b), checkpoint, "update")
-    written = movements.sparkSession.read.parquet(out)
-    return newest_release(written, list(keys), "batch").drop("batch")
+    batches = Batches(movements.sparkSession, out)
+    _drain(totals, batches.write, checkpoint, "update")
+    return newest_release(batches.read(), list(keys), "batch").drop("batch")
 
 
 def monthly_counts(df: DataFrame, time: str, label: str) -> DataFrame:

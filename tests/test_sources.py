@@ -275,7 +275,7 @@ def test_microdata_files_are_read_by_their_own_header(spark, put, tmp_path):
     put("m/CAGEDFOR202404.txt", "no header\n")
     got = rows(movements.read_movements(spark, f"{tmp_path}/m/*.txt"))
     assert got == [(202401, "123456", "01", 1, 1000.5, "MOV"), (202402, "123456", "01", -1, 7.25, "MOV")]
-    bad = {f.rsplit("/", 1)[1]: r for f, r in rows(movements.movement_rejects(spark, f"{tmp_path}/m/*.txt"))}
+    bad = {f.rsplit("/", 1)[1]: r for f, r, _ in rows(movements.movement_rejects(spark, f"{tmp_path}/m/*.txt"))}
     assert set(bad) == {"CAGEDEXC202403.txt", "notes.txt", "CAGEDFOR202404.txt"}
     assert bad["notes.txt"] == "unknown kind of file"
 
