@@ -79,9 +79,13 @@ def _members(content: bytes) -> Iterator[tuple[str, list[str]]]:
 
 def read_zipped_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(path, header, line, problem): Spark has no zip codec, so one small Python step unpacks."""
-    ship_package(spark)
     files = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-    files = files.select(F.col("_metadata.file_path").alias("path"), "content")
+    return unzipped(files.select(F.col("_metadata.file_path").alias("path"), "content"))
+
+
+def unzipped(files: DataFrame) -> DataFrame:
+    """Lines of archives given as (path, content)."""
+    ship_package(files.sparkSession)
     return files.mapInPandas(_lines_of_zips, LINES)
 
 

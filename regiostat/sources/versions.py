@@ -36,6 +36,15 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Gives a file another name, in a folder that is made if need be."""
+    fs, path = _at(spark, old)
+    target = _at(spark, new)[1]
+    fs.mkdirs(target.getParent())
+    if not fs.rename(path, target):
+        raise OSError(f"{old} cannot be renamed to {new}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder that this library has written and no version names any more."""
     fs, where = _at(spark, path)
