@@ -23,28 +23,39 @@ def align(
 
     ``also`` adds named aggregates of the same group.
 
-    Each key collects one map of its periods and the axis is looked up in it: one shuffle, no
-    key x axis product. Of several rows for one (key, period) the first by ``first_by`` counts, then
-    the one with the smallest values.
+    Each key collects its cells, mixes them with one marker for each axis position and sorts them once; the
+    cell right behind a marker is the one of that position. One shuffle, no key x axis product, and the work of a
+    key is that of a sort. Of several rows for one (key, period) the first by ``first_by`` counts, then
+    the one with the smallest values. An axis holds each period once; a NULL period is no position of it.
     """
     cells = F.struct(*[F.col(c).alias(out) for c, out in values.items()]).alias("_values")
-    entry = F.struct(F.col(period).alias("_at"), *first_by, cells)
-    entries = F.sort_array(F.collect_list(entry)).alias("_entries")
-    # A NULL period is no position of the axis.
-    grouped = df.groupBy(*keys).agg(entries, *also)
-    first = F.filter(
-        "_entries",
-        lambda e, i: e["_at"].isNotNull()
-        & ((i == 0) | ~e["_at"].eqNullSafe(F.get("_entries", i - 1)["_at"])),
+    none = F.lit(None)
+    entry = F.struct(
+        F.col(period).alias("_at"), F.lit(1).alias("_kind"), none.cast("int").alias("_pos"), *first_by, cells
     )
-    lookup = F.map_from_entries(F.transform(first, lambda e: F.struct(e["_at"], e["_values"])))
+    grouped = df.groupBy(*keys).agg(F.collect_list(entry).alias("_entries"), *also)
     extra = [c for c in grouped.columns if c not in (*keys, "_entries")]
-    per_key = grouped.withColumn("_cells", lookup).drop("_entries").withColumn("_axis", axis)
+    fields = grouped.schema["_entries"].dataType.elementType.fields
+
+    def marker(p: Column, i: Column) -> Column:
+        given = {"_at": p, "_kind": F.lit(0), "_pos": i}
+        return F.struct(*[given.get(f.name, none).cast(f.dataType).alias(f.name) for f in fields])
+
+    mixed = F.sort_array(F.concat(F.transform("_axis", marker), "_entries"))
+
+    def cell(e: Column, i: Column) -> Column:
+        follows = F.get("_mixed", i + 1)
+        hit = (follows["_kind"] == 1) & (follows["_at"] == e["_at"])
+        return F.struct(e["_pos"].alias("pos"), F.when(hit, follows["_values"]).alias("values"))
+
+    per_key = grouped.withColumn("_axis", axis).withColumn("_mixed", mixed).drop("_entries", "_axis")
+    placed = F.sort_array(F.filter(F.transform("_mixed", cell), lambda c: c["pos"].isNotNull()))
+    per_key = per_key.withColumn("_cells", placed).drop("_mixed")
 
     def series(out: str) -> Column:
-        return F.transform("_axis", lambda p: F.try_element_at("_cells", p)[out])
+        return F.transform("_cells", lambda c: c["values"][out]).alias(out)
 
-    return per_key.select(*keys, *extra, *[series(out).alias(out) for out in values.values()])
+    return per_key.select(*keys, *extra, *[series(out) for out in values.values()])
 
 
 def long_series(df: DataFrame, keys: Sequence[str], arrays: Sequence[str], axis: Column):
