@@ -3,17 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiostat.functions import metrics as M
 
+#: Cut points are looked up in runs of so many.
+RUN = 32
+SALTS = 64
+
+
+def _bucketed(df: DataFrame, metric: str, cuts: Column, buckets: int) -> DataFrame:
+    """Adds ``_bucket`` (the higher the metric, the lower; NULL last) and ``_tie``: all its rows are equal."""
+    value = F.col(metric)
+    # Cut points up to the value: first whole runs of them, then those of its run.
+    runs = F.size(F.filter("_cuts.last", lambda cut: cut <= value))
+    inside = F.filter(F.slice("_cuts.all", F.col("_runs") * RUN + 1, F.lit(RUN)), lambda cut: cut <= value)
+    on_cut = F.get("_cuts.all", F.col("_upto") - 1) == value
+    tie = value.isNull() | F.coalesce(on_cut, F.lit(False))
+    last = 2 * buckets
+    # A cut is a bucket of its own, behind the values above it.
+    cut = F.when(F.coalesce(on_cut, F.lit(False)), 1).otherwise(0)
+    bucket = F.when(value.isNull(), last + 2).otherwise(last - 2 * F.col("_upto") + cut)
+    return (
+        df.withColumn("_cuts", cuts)
+        .withColumn("_runs", runs)
+        .withColumn("_upto", F.col("_runs") * RUN + F.size(inside))
+        .withColumn("_bucket", bucket)
+        .withColumn("_tie", tie)
+        .drop("_cuts", "_runs", "_upto")
+    )
+
 
 def with_ranks(
-    df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]], buckets: int = 32
+    df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]], buckets: int = RUN * RUN
 ) -> DataFrame:
     """``rank()`` by ``metric`` descending (NULL last) inside each group of ``ranks``.
 
@@ -23,63 +47,52 @@ def with_ranks(
     1. approximate cut points of the metric, as one small array;
     2. each value between two cut points goes to one bucket, each cut point is a bucket of its
        own: equal values always share a bucket, so any cut points give the same ranks;
-    3. rows per group and bucket give the number of better rows outside the bucket;
-    4. the rank inside a bucket is a window over one bucket of one group.
+    3. running sums of the rows per group and bucket give the number of better rows outside a bucket; one
+       row with that number joins its bucket;
+    4. the rank inside a bucket is a window over one bucket of one group, in the same shuffle.
 
     A value held by many rows is a cut point, and all rows of such a bucket (and all NULLs) tie:
-    their rank needs no window, so they are spread by a salt. ``df`` is read three times, twice
-    for a few columns only; stage it first if it is expensive.
+    their rank needs no window, so they are spread by a salt. Other buckets hold about one of ``buckets`` parts of
+    all rows at most, whether those are of one group or of many. ``df`` is read three times, twice for a few columns only; stage it first
+    if it is expensive.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(metric, steps).alias("c")).scalar()
+    every_last = F.filter("c", lambda _, i: i % RUN == RUN - 1)
+    cuts = (
+        df.agg(F.percentile_approx(metric, steps).alias("c"))
+        .select(F.struct(F.col("c").alias("all"), every_last.alias("last")).alias("cuts"))
+        .scalar()
+    )
     value = F.col(metric)
-
-    def bucketed(rows: DataFrame) -> DataFrame:
-        better = F.size(F.filter("_cuts", lambda cut: cut > value))
-        single = value.isNull() | F.array_contains("_cuts", value)
-        return (
-            rows.withColumn("_cuts", cuts)
-            .withColumn("_tie", F.coalesce(single, F.lit(False)))
-            .withColumn(
-                "_bucket",
-                F.when(value.isNull(), 2 * buckets).otherwise(2 * better + F.col("_tie").cast("int")),
-            )
-            .drop("_cuts")
-        )
-
     every = list(dict.fromkeys(c for group in ranks.values() for c in group))
-    sizes = bucketed(df.select(*every, metric)).groupBy(*every, "_bucket").agg(
+    sizes = _bucketed(df.select(*every, metric), metric, cuts, buckets).groupBy(*every, "_bucket", "_tie").agg(
         F.count(F.lit(1)).alias("n")
     )
-    rows = bucketed(df).withColumn(
-        "_salt", F.when(F.col("_tie"), F.xxhash64(*df.columns) % 64).otherwise(0)
-    )
+    salt = F.when(F.col("_tie"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))).otherwise(0).cast("int")
+    rows = _bucketed(df, metric, cuts, buckets).withColumn("_salt", salt)
+    salts = F.when(F.col("_tie"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     for out, group in ranks.items():
-        per_group = sizes.groupBy(*group, "_bucket").agg(F.sum("n").alias("n"))
-        sizes_map = F.map_from_entries(F.collect_list(F.struct("_bucket", "n"))).alias("_sizes")
-        if group:
-            # NULL is a group like any other.
-            named = per_group.groupBy(*[F.col(c).alias(f"_group_{c}") for c in group]).agg(sizes_map)
-            same = reduce(and_, [rows[c].eqNullSafe(named[f"_group_{c}"]) for c in group])
-            rows = rows.join(named, same).drop(*[f"_group_{c}" for c in group])
-        else:
-            rows = rows.withColumn("_sizes", per_group.agg(sizes_map).scalar())
-        outside = F.aggregate(
-            F.map_values(F.map_filter("_sizes", lambda k, _: k < F.col("_bucket"))),
-            F.lit(0).cast("long"),
-            lambda total, n: total + n,
+        per_group = sizes.groupBy(*group, "_bucket", "_tie").agg(F.sum("n").alias("n"))
+        better = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_group.withColumn("_outside", F.coalesce(F.sum("n").over(better), F.lit(0)))
+        offsets = offsets.select(*group, "_bucket", "_outside", F.explode(salts).alias("_salt"))
+        mixed = rows.withColumn("_offset", F.lit(False)).unionByName(
+            offsets.withColumn("_offset", F.lit(True)), allowMissingColumns=True
         )
-        inside = Window.partitionBy(*group, "_bucket", "_salt").orderBy(value.desc_nulls_last())
+        place = Window.partitionBy(*group, "_bucket", "_salt")
+        inside = F.rank().over(place.orderBy("_offset", value.desc_nulls_last()))
+        outside = F.max("_outside").over(place)
         rows = (
-            rows.withColumn("_inside", F.rank().over(inside))
+            mixed.withColumn("_inside", inside)
             .withColumn(out, outside + F.when(F.col("_tie"), 1).otherwise(F.col("_inside")))
-            .drop("_sizes", "_inside")
+            .filter(~F.col("_offset"))
+            .drop("_offset", "_inside", "_outside")
         )
     return rows.select(*df.columns, *ranks)
 
 
 def with_rank(
-    df: DataFrame, metric: str, out: str, group: Sequence[str] = (), buckets: int = 32
+    df: DataFrame, metric: str, out: str, group: Sequence[str] = (), buckets: int = RUN * RUN
 ) -> DataFrame:
     """``with_ranks`` for one column."""
     return with_ranks(df, metric, {out: list(group)}, buckets)

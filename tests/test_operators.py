@@ -42,6 +42,19 @@ def test_rank_property(spark, values):
     assert rows(ranking.with_rank(df, "v", "r", buckets=4), "i", "r") == rows(plain_rank(df, "v", []), "i", "r")
 
 
+def test_no_bucket_of_a_dominant_group_is_large(spark):
+    """All rows in one group: the rows of a window are about a part of all, however many share a value."""
+    df = spark.range(60_000).selectExpr("id AS i", "'a' AS g", "CAST(IF(id % 3 = 0, 7, id * 7919 % 50021) AS DOUBLE) AS v")
+    cuts = df.agg(F.percentile_approx("v", [k / 1024 for k in range(1, 1024)]).alias("c"))
+    last = F.filter("c", lambda _, i: i % ranking.RUN == ranking.RUN - 1)
+    cuts = cuts.select(F.struct(F.col("c").alias("all"), last.alias("last")).alias("cuts")).scalar()
+    sizes = ranking._bucketed(df, "v", cuts, 1024).groupBy("_bucket", "_tie").count()
+    assert sizes.filter("NOT _tie").agg(F.max("count")).first()[0] < 2 * 60_000 / 1024
+    assert sizes.filter("_tie").agg(F.max("count")).first()[0] >= 20_000
+    got = ranking.with_rank(df, "v", "r", ["g"])
+    assert got.exceptAll(plain_rank(df, "v", ["g"]).select(got.columns)).isEmpty()
+
+
 def test_top_per_group_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, 4.0), ("b", 4, None)], "g string, k int, v double")
     got = ranking.top_per_group(df, 2, ["g"], col("v").desc_nulls_last(), col("k"))
