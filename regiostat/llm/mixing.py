@@ -231,19 +231,20 @@ BROADCAST_ROWS = 500_000
 def mixed(documents: DataFrame, **settings) -> DataFrame:
     """The rows of ``documents`` as often as the mix takes them, with all their columns.
 
-    Rows that agree in doc_id and text all get the rounded mean of their draws.
+    Rows that agree in doc_id and text all get the rounded mean of their draws. Columns may have any name. NULL ids,
+    texts and sources are drawn as ``mixture`` says; an empty table stays empty.
     """
     drawn = mixture(documents, **settings)
     copies = staged(
-        drawn.groupBy(F.col("tie").alias("mix_tie"))
-        .agg(F.round(F.avg("copies")).cast("int").alias("mix_copies"))
-        .filter("mix_copies > 0"),
+        drawn.groupBy("tie").agg(F.round(F.avg("copies")).cast("int").alias("copies")).filter("copies > 0"),
         "mix-copies",
     )
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)
-    tie = F.xxhash64(F.col("doc_id").cast("long"), "text")
-    repeated = documents.join(copies, tie == copies["mix_tie"]).withColumn(
-        "mix_copy", F.explode(F.array_repeat(F.lit(True), F.col("mix_copies")))
+    # The columns of the table stay together under one name, whatever they are called.
+    own = documents.columns
+    rows = documents.select(
+        F.struct(*[documents[c] for c in own]).alias("row"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("tie")
     )
-    return repeated.select(*[documents[c] for c in documents.columns])
+    repeated = rows.join(copies, "tie").withColumn("copy", F.explode(F.array_repeat(F.lit(True), F.col("copies"))))
+    return repeated.select(*[F.col("row")[c].alias(c) for c in own])

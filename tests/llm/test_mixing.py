@@ -110,3 +110,14 @@ def test_awkward_rows(awkward):
 
 def test_empty_table(none):
     assert mixture(none).collect() == [] and mixed(none).collect() == []
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    names = ["mix_copies", "mix_tie", "mix_copy", "copies", "tie", "row", "copy", "size"]
+    rows = [(k, "w " * (k % 9), f"s{k % 4}", *[f"{n}{k}" for n in names]) for k in range(60)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names)
+    table = spark.createDataFrame(rows, schema)
+    got = mixed(table)
+    assert got.columns == table.columns
+    assert set(map(tuple, got.collect())) <= set(map(tuple, table.collect()))
+    assert mixed(table.limit(0)).collect() == []
