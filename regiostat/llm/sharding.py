@@ -1,14 +1,16 @@
 """Resharding by minimum-cost flow: from old shard sizes to new capacities with the fewest bytes moved.
 
 The flow between old and new shards is solved from the shard totals; a byte that stays costs 0, a byte
-that moves costs 1. Inside an old shard equal texts lie side by side, in the order of their hash, and
-the flow cuts that order into stretches, one for each new shard. Equal texts move as one unit unless
-they hold more than a small part of a shard; then they are dealt to several units.
+that moves costs 1. Equal texts are one unit, wherever they lie, unless they hold more than a new shard may; only then
+they are dealt to several units. Units of more than a small part of a shard are placed first, one by one,
+in their own shard where it has room. The others lie side by side in each old shard, in the order
+of their hash, and the flow cuts that order into stretches, one for each new shard.
 """
 
 from __future__ import annotations
 
-from collections import deque
+import heapq
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,8 +19,10 @@ from regiostat.llm.common import byte_size, staged
 
 SHARDS = 16
 OLD_SHARDS = 12
-#: A unit holds at most this part of a shard's bytes, unless it is a single document.
+#: A unit above this part of a shard's bytes is placed by itself; with many shards the part is larger, so that
+#: no more than ``MOST_LARGE`` units are.
 UNITS_PER_SHARD = 256
+MOST_LARGE = 1 << 16
 #: Units in a block of the running sums.
 BLOCK_UNITS = 1000
 #: Old and new shards whose totals may pass through the driver.
@@ -26,45 +30,64 @@ MOST_SHARDS = 4096
 
 
 def minimum_cost_flow(supply: dict[int, int], capacity: dict[int, int]) -> dict[tuple[int, int], int]:
-    """Bytes to bring from each old to each new shard, by shortest augmenting paths.
+    """Bytes to bring from each old to each new shard; supplies and capacities have the same sum.
 
-    Keeping a byte in the shard of the same number is free, any other move costs 1 a byte. Supplies
-    and capacities must have the same sum.
+    Keeping a byte in the shard of the same number is free, any other move costs 1 a byte. With these costs a flow is
+    of least cost if every shard keeps what it has or what it may hold, whichever is less: no flow keeps
+    more. What is left over and the room that is left are matched in the order of their numbers, so the
+    whole takes one pass over the shards.
     """
-    flow = {(i, j): 0 for i in supply for j in capacity}
-    left, room = dict(supply), dict(capacity)
-    while any(left.values()):
-        # Cheapest way from an old shard with bytes left to a new one with room, over flow that may
-        # be taken back.
-        cost: dict[tuple[str, int], int] = {("old", i): 0 for i, v in left.items() if v}
-        came: dict[tuple[str, int], tuple[str, int]] = {}
-        queue = deque(cost)
-        while queue:
-            side, k = node = queue.popleft()
-            if side == "old":
-                steps = [(("new", j), int(k != j)) for j in capacity]
-            else:
-                steps = [(("old", i), -int(i != k)) for i in supply if flow[i, k]]
-            for to, price in steps:
-                if cost[node] + price < cost.get(to, 1 << 60):
-                    cost[to], came[to] = cost[node] + price, node
-                    if to not in queue:
-                        queue.append(to)
-        goal = min((("new", j) for j, v in room.items() if v), key=lambda n: (cost[n], n[1]))
-        path = [goal]
-        while path[-1] in came:
-            path.append(came[path[-1]])
-        path.reverse()
-        back = [flow[b[1], a[1]] for a, b in zip(path, path[1:], strict=False) if a[0] == "new"]
-        amount = min([left[path[0][1]], room[goal[1]], *back])
-        for a, b in zip(path, path[1:], strict=False):
-            if a[0] == "old":
-                flow[a[1], b[1]] += amount
-            else:
-                flow[b[1], a[1]] -= amount
-        left[path[0][1]] -= amount
-        room[goal[1]] -= amount
-    return {pair: v for pair, v in flow.items() if v}
+    kept = {i: min(v, capacity.get(i, 0)) for i, v in supply.items()}
+    flow = {(i, i): v for i, v in kept.items() if v}
+    room = iter([(j, v - kept.get(j, 0)) for j, v in sorted(capacity.items()) if v > kept.get(j, 0)])
+    j, free = next(room, (None, 0))
+    for i in sorted(supply):
+        left = supply[i] - kept[i]
+        while left:
+            amount = min(left, free)
+            flow[i, j] = flow.get((i, j), 0) + amount
+            left, free = left - amount, free - amount
+            if not free:
+                j, free = next(room, (None, 0))
+    return flow
+
+
+def place_large(
+    units: Iterable[tuple[int, int, int]], capacity: dict[int, int]
+) -> tuple[list[int], dict[int, int]]:
+    """Shards of (bytes, old shard, ...) units, largest first, and the capacities left for the rest.
+
+    Units stay in their shard as long as it has room; then the others, in the same order, go where most room is. A
+    shard that is overfull then has no capacity left, and the others share what it holds too much.
+    """
+    units, room = list(units), dict(capacity)
+    shards: list[int | None] = [None] * len(units)
+    for k, (size, old, *_) in enumerate(units):
+        if room.get(old, 0) >= size:
+            room[old] -= size
+            shards[k] = old
+    heap = [(-v, j) for j, v in room.items()]
+    heapq.heapify(heap)
+    for k, (size, *_) in enumerate(units):
+        if shards[k] is None:
+            free, j = heap[0]
+            heapq.heapreplace(heap, (free + size, j))
+            room[j] -= size
+            shards[k] = j
+    over = -sum(v for v in room.values() if v < 0)
+    left = {j: max(v, 0) for j, v in room.items()}
+    # The level that the other shards are filled to falls by the same amount for all of them.
+    open_ = sorted(v for v in left.values() if v)
+    cut, below = 0, 0
+    for k, v in enumerate(open_):
+        cut = -(-(over - below) // (len(open_) - k))
+        if cut <= v:
+            break
+        below += v
+    for j in sorted(left):
+        taken = min(left[j], cut, over)
+        left[j], over = left[j] - taken, over - taken
+    return shards, left
 
 
 def capacities(total: int, shards: int) -> dict[int, int]:
@@ -81,8 +104,8 @@ def resharded(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard) of every row.
 
     ``old_shard`` gives the shard (a number) that a row lies in now; NULL counts as shard 0. The law
-    is ``bytes``: new shards have near equal bytes. A size is the text's UTF-8 bytes plus 1; NULL
-    texts have size 1 and checksum 0. Slots number the rows of a shard without gaps. Repeated rows are
+    is ``bytes``: new shards have near equal bytes. Equal texts go to one shard, unless they hold more than it may. A
+    size is the text's UTF-8 bytes plus 1; NULL texts have size 1 and checksum 0. Slots number the rows of a shard without gaps. Repeated rows are
     rows of their own. An empty table gives an empty result.
     """
     spark = documents.sparkSession
@@ -98,34 +121,64 @@ def resharded(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
     if max(len(sizes), shards) > MOST_SHARDS:
         raise ValueError(f"more than {MOST_SHARDS} shards")
     total = sum(sizes.values())
-    unit_bytes = max(1, total // (shards * UNITS_PER_SHARD))
-
-    # Fewer than shards * UNITS_PER_SHARD groups can be larger than a unit.
-    group = ["old_shard", "h", "text_crc32"]
-    large = rows.groupBy(*group).agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > unit_bytes)
-    parts = F.coalesce(F.ceil(F.col("bytes") / unit_bytes), F.lit(1))
-    rows = rows.join(F.broadcast(large), group, "left").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id"), parts)
+    room = capacities(total, shards)
+    small = max(1, total // (shards * min(UNITS_PER_SHARD, max(1, MOST_LARGE // shards))))
+
+    # Equal texts of all old shards belong together; most of their bytes name their home.
+    group = ["h", "text_crc32"]
+    here = rows.groupBy("old_shard", *group).agg(F.sum("size").alias("bytes"))
+    groups = here.groupBy(*group).agg(
+        F.max_by("old_shard", F.struct("bytes", -F.col("old_shard"))).alias("home"), F.sum("bytes").alias("bytes")
+    )
+    # Fewer than ``shards`` groups are larger than a shard.
+    huge = groups.filter(F.col("bytes") > max(room.values(), default=0)).select(
+        *group, F.ceil(F.col("bytes") / small).alias("parts")
+    )
+    # Those are split anyway, so what lies in one old shard is kept apart from what lies in others.
+    whole = F.col("parts").isNull()
+    rows = rows.join(F.broadcast(huge), group, "left").withColumns(
+        {
+            "part": F.when(whole, 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts"))),
+            "lot": F.when(whole, -1).otherwise(F.col("old_shard")),
+        }
     )
-    unit = [*group, "part"]
-    rows = staged(rows.drop("bytes"), "shard-rows")
-    units = staged(rows.groupBy(*unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-units")
+    unit = [*group, "part", "lot"]
+    rows = staged(rows.drop("parts"), "shard-rows")
+    here = rows.groupBy("old_shard", *unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    units = here.groupBy(*unit).agg(
+        F.max_by("old_shard", F.struct("bytes", -F.col("old_shard"))).alias("old_shard"),
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+    )
+    units = staged(units, "shard-units")
+    # Fewer than ``MOST_LARGE`` units, or ``shards``, are larger than a small one.
+    large = units.filter(F.col("bytes") > small).orderBy(F.desc("bytes"), *unit)
+    large = [(r["bytes"], r["old_shard"], *(r[c] for c in unit)) for r in large.collect()]
+    chosen, room = place_large(large, room)
+    fixed = spark.createDataFrame(
+        [(*row[2:], shard) for row, shard in zip(large, chosen, strict=True)],
+        "h long, text_crc32 long, part long, lot int, shard int",
+    )
+    rest = units.filter(F.col("bytes") <= small)
+    sizes = {r[0]: r[1] for r in rest.groupBy("old_shard").agg(F.sum("bytes")).collect()}
     blocks = max(1, units.count() // (max(1, len(sizes)) * BLOCK_UNITS))
-    units = units.withColumn("block", F.pmod(F.shiftrightunsigned("h", 16), F.lit(blocks)))
+    block = F.pmod(F.shiftrightunsigned("h", 16), F.lit(blocks))
 
-    flow = minimum_cost_flow(sizes, capacities(total, shards))
+    flow = minimum_cost_flow(sizes, room)
     stretches, at = [], dict.fromkeys(sizes, 0)
     for (i, j), amount in sorted(flow.items(), key=lambda x: (x[0][0], x[0][0] != x[0][1], x[0][1])):
         stretches.append((i, j, at[i], at[i] + amount))
         at[i] += amount
+    # At most one row for each old and each new shard.
     plan = spark.createDataFrame(stretches, "old_shard int, shard int, low long, high long")
 
-    placed = running(units, ["old_shard"], ["block"], "bytes", "start")
+    placed = running(rest.withColumn("block", block), ["old_shard"], ["block"], "bytes", "start")
     middle = F.col("start") + F.floor(F.col("bytes") / 2)
     placed = placed.join(F.broadcast(plan), "old_shard").filter(
         (middle >= F.col("low")) & (middle < F.col("high"))
     )
-    placed = staged(placed.select(*unit, "n", "block", "shard"), "shard-units")
+    columns = [*unit, "n", "old_shard", "block", "shard"]
+    alone = units.withColumn("block", block).join(F.broadcast(fixed), unit)
+    placed = staged(placed.select(*columns).unionByName(alone.select(*columns)), "shard-units")
     placed = running(placed, ["shard"], ["old_shard", "block"], "n", "first_slot")
     within = Window.partitionBy(*unit).orderBy("doc_id", "size")
     return rows.join(placed.select(*unit, "shard", "first_slot"), unit).select(
@@ -167,29 +220,31 @@ def rewrite_shards(spark: SparkSession, old: str, new: str, shards: int = SHARDS
     """Brings a folder of ``shard=<n>`` Parquet folders to ``shards`` shards and returns the manifest.
 
     Only shards that lose or gain rows are written, to ``new``; the manifest (shard, path, rewritten)
-    names the old folder of every other shard. Old files are never touched.
+    names the old folder of every other shard. Old files are never touched. All columns are kept as they are, under
+    any name but ``shard``. NULL texts and ids, empty texts and repeated rows go with their row; a table
+    without rows gives a manifest of empty shards.
     """
-    documents = spark.read.parquet(old).withColumnRenamed("shard", "old_shard")
-    moves = staged(resharded(documents, F.col("old_shard"), shards), "shard-moves")
+    documents = spark.read.parquet(old)
+    own = [c for c in documents.columns if c != "shard"]
+    moves = staged(resharded(documents, F.col("shard"), shards), "shard-moves")
     moved = moves.filter("old_shard <> shard").select("old_shard", "shard").distinct().collect()
     there = {r[0] for r in moves.select("old_shard").distinct().collect()}
     affected = {k for row in moved for k in row if k < shards} | {k for k in range(shards) if k not in there}
-    key = ["doc_id", "size", "text_crc32"]
-    targets = moves.filter(F.col("shard").isin(sorted(affected))).groupBy(*key, "old_shard").agg(
+    key = ["doc_id", "size", "text_crc32", "old_shard"]
+    targets = moves.filter(F.col("shard").isin(sorted(affected))).groupBy(*key).agg(
         F.sort_array(F.collect_list("shard")).alias("shards")
     )
-    same_row = Window.partitionBy(*key, "old_shard").orderBy("h")
-    rows = documents.withColumns(
-        {
-            "size": byte_size("text") + 1,
-            "text_crc32": F.coalesce(F.crc32("text"), F.lit(0)).cast("long"),
-            "h": text_hash(),
-        }
-    ).withColumn("copy", F.row_number().over(same_row))
-    on = [rows[k].eqNullSafe(targets[k]) for k in [*key, "old_shard"]]
+    # The columns of the table stay together under one name, whatever they are called.
+    rows = documents.select(
+        F.struct(*[documents[c] for c in own]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"), (byte_size("text") + 1).alias("size"),
+        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
+        F.coalesce(F.col("shard").cast("int"), F.lit(0)).alias("old_shard"), text_hash().alias("h"),
+    )
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy("h")))
+    on = [rows[k].eqNullSafe(targets[k]) for k in key]
     rows.join(targets, on).select(
-        *[rows[c] for c in documents.columns if c != "old_shard"],
-        F.element_at("shards", F.col("copy")).alias("shard"),
+        *[F.col("row")[c].alias(c) for c in own], F.element_at("shards", F.col("copy")).alias("shard")
     ).write.partitionBy("shard").parquet(new)
     manifest = [
         (k, f"{new if k in affected else old}/shard={k}", k in affected) for k in range(shards)

@@ -1,8 +1,54 @@
 import random
+import time
+from collections import deque
 
+import pytest
 from pyspark.sql import functions as F
 
-from regiostat.llm.sharding import capacities, minimum_cost_flow, resharded, rewrite_shards, text_hash
+from support import SMALL
+
+from regiostat.llm.queries import op9_sharding
+from regiostat.llm.sharding import (
+    capacities,
+    minimum_cost_flow,
+    place_large,
+    resharded,
+    rewrite_shards,
+    text_hash,
+)
+
+
+def augmenting_flow(supply, capacity):
+    """The same by shortest augmenting paths: what a flow of least cost moves, found the long way."""
+    flow = {(i, j): 0 for i in supply for j in capacity}
+    left, room = dict(supply), dict(capacity)
+    while any(left.values()):
+        cost = {("old", i): 0 for i, v in left.items() if v}
+        came, queue = {}, deque(cost)
+        while queue:
+            side, k = node = queue.popleft()
+            if side == "old":
+                steps = [(("new", j), int(k != j)) for j in capacity]
+            else:
+                steps = [(("old", i), -int(i != k)) for i in supply if flow[i, k]]
+            for to, price in steps:
+                if cost[node] + price < cost.get(to, 1 << 60):
+                    cost[to], came[to] = cost[node] + price, node
+                    queue.append(to)
+        path = [min((("new", j) for j, v in room.items() if v), key=lambda n: (cost[n], n[1]))]
+        while path[-1] in came:
+            path.append(came[path[-1]])
+        path.reverse()
+        back = [flow[b[1], a[1]] for a, b in zip(path, path[1:], strict=False) if a[0] == "new"]
+        amount = min([left[path[0][1]], room[path[-1][1]], *back])
+        for a, b in zip(path, path[1:], strict=False):
+            if a[0] == "old":
+                flow[a[1], b[1]] += amount
+            else:
+                flow[b[1], a[1]] -= amount
+        left[path[0][1]] -= amount
+        room[path[-1][1]] -= amount
+    return flow
 
 
 def test_flow_moves_the_fewest_bytes():
@@ -16,10 +62,33 @@ def test_flow_moves_the_fewest_bytes():
         for j, v in room.items():
             assert sum(f for (_, b), f in flow.items() if b == j) == v
         moved = sum(f for (a, b), f in flow.items() if a != b)
+        assert moved == sum(f for (a, b), f in augmenting_flow(supply, room).items() if a != b)
         # No plan can keep more than the smaller of what a shard has and what it may hold.
         assert moved == sum(supply.values()) - sum(min(v, room.get(i, 0)) for i, v in supply.items())
 
 
+def test_thousands_of_shards_take_one_pass():
+    draw = random.Random(4)
+    supply = {i: draw.randint(0, 10**9) for i in range(3000)}
+    room = capacities(sum(supply.values()), 4096)
+    start = time.time()
+    flow = minimum_cost_flow(supply, room)
+    assert time.time() - start < 2 and len(flow) <= 3000 + 4096 + 3000
+    assert sum(flow.values()) == sum(supply.values())
+
+
+def test_large_units_leave_room_for_the_rest():
+    draw = random.Random(5)
+    for _ in range(300):
+        sizes = sorted((draw.randint(1, 60) for _ in range(draw.randint(0, 12))), reverse=True)
+        rest = draw.randint(0, 50)
+        room = capacities(sum(sizes) + rest, draw.randint(1, 6))
+        chosen, left = place_large([(v, draw.randint(0, 7)) for v in sizes], room)
+        assert sum(left.values()) == rest and min(left.values()) >= 0
+        held = {j: sum(v for v, s in zip(sizes, chosen, strict=True) if s == j) for j in room}
+        assert all(held[j] + left[j] <= max(held[j], room[j]) for j in room)
+
+
 def test_shards_are_near_equal_and_copies_stay_together(documents):
     draw = random.Random(6)
     texts = ["w" * draw.randint(0, 300) + str(k) for k in range(3000)] + ["the same"] * 30
@@ -72,3 +141,38 @@ def test_only_affected_shards_are_rewritten(spark, documents, tmp_path):
     assert counts == {0: 100, 1: 100, 2: 100, 3: 100}
     ids = [r[0] for k in manifest for r in spark.read.parquet(manifest[k]["path"]).select("doc_id").collect()]
     assert sorted(ids) == list(range(400))
+
+
+def test_equal_texts_of_different_old_shards_meet_in_one(documents):
+    texts = [f"text {k} " * (k % 9 + 1) for k in range(400)] + ["a copy of some length"] * 40 + [None] * 20
+    rows = documents(list(enumerate(texts)))
+    found = {r["doc_id"]: r["shard"] for r in resharded(rows, F.col("doc_id") % 5, 6).collect()}
+    for text in set(texts):
+        assert len({found[k] for k, x in enumerate(texts) if x == text}) == 1
+
+
+def test_groups_of_the_given_table_are_whole_and_shards_near_equal(spark):
+    texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    found = op9_sharding(spark, SMALL).join(texts, "doc_id")
+    assert found.groupBy("text").agg(F.count_distinct("shard").alias("n")).filter("n > 1").isEmpty()
+    sizes = [r[0] for r in found.groupBy("shard").agg(F.sum("size")).select("sum(size)").collect()]
+    largest = found.groupBy("text").agg(F.sum("size").alias("s")).agg(F.max("s")).first()[0]
+    mean = sum(sizes) / 16
+    assert len(sizes) == 16 and max(sizes) <= max(1.02 * mean, largest) and min(sizes) >= 0.9 * mean
+
+
+@pytest.mark.parametrize("clash", [("size", "h"), ("copy", "old_shard"), ("row", "text_crc32"), ("shards", "part")])
+def test_columns_of_any_name_stay_as_they_are(spark, tmp_path, clash):
+    a, b = clash
+    rows = spark.createDataFrame(
+        [(k if k % 7 else None, "x" * (k % 5) if k % 11 else None, f"a{k}", k) for k in range(120)] * 2,
+        f"doc_id long, text string, {a} string, {b} long",
+    )
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    rows.withColumn("shard", F.abs(F.xxhash64(a)) % 3).write.partitionBy("shard").parquet(old)
+    manifest = rewrite_shards(spark, old, new, 5).collect()
+    back = None
+    for r in manifest:
+        part = spark.read.schema(rows.schema).parquet(r["path"])
+        back = part if back is None else back.union(part)
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
