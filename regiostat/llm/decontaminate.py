@@ -360,7 +360,11 @@ def _leaky(shared: Broadcast) -> Column:
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of ``documents`` that hold no item, with all their columns."""
+    """The rows of ``documents`` that hold no item, with all their columns, whatever their names.
+
+    NULL and empty texts hold no item and stay. Ids play no part, and repeated rows stay or go together. An empty table
+    stays empty; with an empty benchmark nothing goes.
+    """
     for block in _blocks(benchmark):
         documents = documents.filter(~_leaky(_shared(documents, block, rate)))
     return documents

@@ -558,7 +558,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
 
 def one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``documents`` that stay when one document of each group does, all columns kept."""
+    """The rows of ``documents`` that stay when one document of each group does, all columns kept.
+
+    Columns may have any name. Rows without id and texts without words stay. Rows of one doc_id are one document and stay
+    or go together. An empty table stays empty.
+    """
     found = near_duplicates(documents, words, percent)
     gone = staged(found.filter("NOT kept").select("doc_id").distinct(), "near-dup-gone")
     if gone.count() <= BROADCAST_IDS:

@@ -245,6 +245,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame, label: str = "qualit
 
 
 def good_documents(documents: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """The rows of ``documents`` that are predicted good, with all their columns."""
+    """The rows of ``documents`` that are predicted good, with all their columns, whatever their names.
+
+    NULL and empty texts are judged by the score of a text without n-grams. Repeated rows stay or go together, and so
+    do rows without id by their text. An empty table stays empty.
+    """
     model = fit(documents, labels, label, fold("doc_id", 5) != 0)
     return documents.filter(score_column(documents, model) >= THRESHOLD)

@@ -23,6 +23,8 @@ OLD_SHARDS = 12
 #: no more than ``MOST_LARGE`` units are.
 UNITS_PER_SHARD = 256
 MOST_LARGE = 1 << 16
+#: A group with more than this part of a shard's rows is numbered in pieces.
+PIECES_PER_SHARD = 64
 #: Units in a block of the running sums.
 BLOCK_UNITS = 1000
 #: Old and new shards whose totals may pass through the driver.
@@ -117,38 +119,41 @@ def resharded(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
         F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old_shard"),
     )
     rows = staged(rows, "shard-rows")
-    sizes = {r[0]: r[1] for r in rows.groupBy("old_shard").agg(F.sum("size")).limit(MOST_SHARDS + 1).collect()}
-    if max(len(sizes), shards) > MOST_SHARDS:
+    found = rows.groupBy("old_shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    found = found.limit(MOST_SHARDS + 1).collect()
+    if max(len(found), shards) > MOST_SHARDS:
         raise ValueError(f"more than {MOST_SHARDS} shards")
-    total = sum(sizes.values())
+    total = sum(r["bytes"] for r in found)
+    many = max(1, sum(r["n"] for r in found) // (shards * PIECES_PER_SHARD))
     room = capacities(total, shards)
     small = max(1, total // (shards * min(UNITS_PER_SHARD, max(1, MOST_LARGE // shards))))
 
     # Equal texts of all old shards belong together; most of their bytes name their home.
     group = ["h", "text_crc32"]
-    here = rows.groupBy("old_shard", *group).agg(F.sum("size").alias("bytes"))
-    groups = here.groupBy(*group).agg(
-        F.max_by("old_shard", F.struct("bytes", -F.col("old_shard"))).alias("home"), F.sum("bytes").alias("bytes")
-    )
-    # Fewer than ``shards`` groups are larger than a shard.
-    huge = groups.filter(F.col("bytes") > max(room.values(), default=0)).select(
-        *group, F.ceil(F.col("bytes") / small).alias("parts")
-    )
-    # Those are split anyway, so what lies in one old shard is kept apart from what lies in others.
+    groups = rows.groupBy(*group).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    is_huge, is_many = F.col("bytes") > max(room.values(), default=0), F.col("n") > many
+    # Fewer than ``shards`` groups are larger than a shard, fewer than ``shards * PIECES_PER_SHARD`` have many rows.
+    special = groups.filter(is_huge | is_many).select(
+        *group, F.when(is_huge, F.ceil(F.col("bytes") / small)).alias("parts"),
+        F.when(is_many, F.ceil(F.col("n") / many)).alias("pieces"),
+    )
+    # Huge groups are split anyway, so what lies in one old shard is kept apart from what lies in others. The
+    # rows of a large group go to one shard, but are numbered in pieces.
     whole = F.col("parts").isNull()
-    rows = rows.join(F.broadcast(huge), group, "left").withColumns(
+    rows = rows.join(F.broadcast(special), group, "left").withColumns(
         {
             "part": F.when(whole, 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts"))),
             "lot": F.when(whole, -1).otherwise(F.col("old_shard")),
+            "piece": F.pmod(F.xxhash64("doc_id", F.lit(1)), F.coalesce("pieces", F.lit(1).cast("long"))),
         }
     )
     unit = [*group, "part", "lot"]
-    rows = staged(rows.drop("parts"), "shard-rows")
-    here = rows.groupBy("old_shard", *unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    rows = staged(rows.drop("parts", "pieces"), "shard-rows")
+    here = rows.groupBy("old_shard", *unit).agg(F.sum("size").alias("bytes"))
     units = here.groupBy(*unit).agg(
         F.max_by("old_shard", F.struct("bytes", -F.col("old_shard"))).alias("old_shard"),
-        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
-    )
+        F.sum("bytes").alias("bytes"),
+    )
     units = staged(units, "shard-units")
     # Fewer than ``MOST_LARGE`` units, or ``shards``, are larger than a small one.
     large = units.filter(F.col("bytes") > small).orderBy(F.desc("bytes"), *unit)
@@ -176,12 +181,14 @@ def resharded(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
     placed = placed.join(F.broadcast(plan), "old_shard").filter(
         (middle >= F.col("low")) & (middle < F.col("high"))
     )
-    columns = [*unit, "n", "old_shard", "block", "shard"]
+    columns = [*unit, "old_shard", "block", "shard"]
     alone = units.withColumn("block", block).join(F.broadcast(fixed), unit)
-    placed = staged(placed.select(*columns).unionByName(alone.select(*columns)), "shard-units")
-    placed = running(placed, ["shard"], ["old_shard", "block"], "n", "first_slot")
+    placed = placed.select(*columns).unionByName(alone.select(*columns))
+    pieces = rows.groupBy(*unit, "piece").agg(F.count("*").alias("n")).join(placed, unit)
+    pieces = running(staged(pieces, "shard-pieces"), ["shard"], ["old_shard", "block"], "n", "first_slot", "piece")
+    unit = [*unit, "piece"]
     within = Window.partitionBy(*unit).orderBy("doc_id", "size")
-    return rows.join(placed.select(*unit, "shard", "first_slot"), unit).select(
+    return rows.join(pieces.select(*unit, "shard", "first_slot"), unit).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -193,7 +200,9 @@ def resharded(documents: DataFrame, old_shard: Column, shards: int = SHARDS) ->
     )
 
 
-def running(units: DataFrame, keys: list[str], order: list[str], amount: str, name: str) -> DataFrame:
+def running(
+    units: DataFrame, keys: list[str], order: list[str], amount: str, name: str, *last: str
+) -> DataFrame:
     """Sum of ``amount`` over the units before each one, by block totals and then inside blocks."""
     every = [*keys, *order]
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -205,7 +214,7 @@ def running(units: DataFrame, keys: list[str], order: list[str], amount: str, na
     )
     inside = (
         Window.partitionBy(*every)
-        .orderBy("h", "text_crc32", "part")
+        .orderBy("h", "text_crc32", "part", *last)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from regiostat.llm.common import staged, table
 from regiostat.llm.decontaminate import leaks
@@ -47,3 +49,41 @@ def test_stages():
         "quality", "near_dups", "decontamination", "mixing", "sharding",
     ]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+NAMES = [
+    "size", "h", "copy", "old_shard", "shard_", "mix_copies", "tie", "copies", "node", "gone_id", "component_id", "kept",
+    "score", "label", "row", "part", "piece",
+]
+
+
+def through(spark, docs):
+    """Tables after each stage."""
+    found = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SMALL), f"test-{name}")
+        found.append(docs)
+    return found
+
+
+def test_awkward_rows_and_clashing_names_pass_all_stages(spark, awkward):
+    docs = awkward.select("doc_id", "text", "lang", "source").toDF("doc_id", "text", "lang", "source")
+    more = spark.read.parquet(f"{SMALL}/documents.parquet").select(docs.columns)
+    docs = docs.union(more)
+    for name in NAMES:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")))
+    *stages, last = through(spark, docs)
+    before = docs
+    for after in stages:
+        assert after.columns == docs.columns
+        kept = set(map(str, after.collect()))
+        assert kept <= set(map(str, before.collect()))
+        before = after
+    assert last.count() == before.count()
+    slots = last.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m"), F.count_distinct("slot").alias("d"))
+    assert slots.filter("n <> d OR m <> n - 1").isEmpty()
+
+
+def test_an_empty_table_passes_all_stages(spark, none):
+    for after in through(spark, none):
+        assert after.count() == 0
