@@ -36,6 +36,21 @@ def _bucketed(df: DataFrame, metric: str, cuts: Column, buckets: int) -> DataFra
     )
 
 
+def _better_rows(sizes: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Adds ``_outside``: rows in the buckets before, per group. The whole table is one array of its buckets."""
+    if group:
+        better = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return sizes.withColumn("_outside", F.coalesce(F.sum("n").over(better), F.lit(0)))
+    every = F.sort_array(F.collect_list(F.struct("_bucket", "_tie", "n"))).alias("_every")
+
+    def bucket(b: Column, i: Column) -> Column:
+        before = F.slice("_every", F.lit(1), i)
+        rows = F.aggregate(before, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+        return F.struct(b["_bucket"].alias("_bucket"), b["_tie"].alias("_tie"), rows.alias("_outside"))
+
+    return sizes.agg(every).select(F.explode(F.transform("_every", bucket)).alias("_b")).select("_b.*")
+
+
 def with_ranks(
     df: DataFrame, metric: str, ranks: Mapping[str, Sequence[str]], buckets: int = RUN * RUN
 ) -> DataFrame:
@@ -73,8 +88,7 @@ def with_ranks(
     salts = F.when(F.col("_tie"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     for out, group in ranks.items():
         per_group = sizes.groupBy(*group, "_bucket", "_tie").agg(F.sum("n").alias("n"))
-        better = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_group.withColumn("_outside", F.coalesce(F.sum("n").over(better), F.lit(0)))
+        offsets = _better_rows(per_group, group)
         offsets = offsets.select(*group, "_bucket", "_outside", F.explode(salts).alias("_salt"))
         mixed = rows.withColumn("_offset", F.lit(False)).unionByName(
             offsets.withColumn("_offset", F.lit(True)), allowMissingColumns=True

@@ -66,3 +66,28 @@ def test_planning_a_view_starts_no_job(spark):
     for name in VIEWS:
         assert t[name].columns
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+
+@pytest.mark.parametrize("view", ["state_scorecard", "section_scorecard"])
+def test_latest_positions_prune_the_periods_of_written_tables(spark, tmp_path, view):
+    """On written tables the latest position is a filter on the folders, and nothing is staged."""
+    from regiostat.sources.sinks import period_column, write_table
+
+    t = DriverTables(spark, SMALL, staging=False)
+    facts = ["place_gdp", "place_company", "place_jobs", "place_balance", "series_value"]
+    wanted = rows_of(t, view)
+    for name in facts:
+        write_table(t[name], str(tmp_path / name), period_column(t[name]))
+    for name in facts:
+        t.repoint(name, spark.read.parquet(str(tmp_path / name)))
+    t.work = str(tmp_path / "work")
+    scans = [line for line in plan(t[view]).splitlines() if "FileScan" in line]
+    scans = [line for line in scans if re.search(r"ReadSchema: struct<[^>]*\b(companies|net):", line)]
+    assert len(scans) >= 2
+    assert all(re.search(r"PartitionFilters: \[[^]]*(year|period)[^]]*Subquery", line) for line in scans)
+    assert not [p.name for p in (tmp_path / "work").glob("*") if p.name.rsplit("-", 1)[0] in facts]
+    assert rows_of(t, view) == wanted
+
+
+def rows_of(t, name):
+    return sorted(map(str, t[name].collect()))
