@@ -247,16 +247,23 @@ def _gradients(model: Model, words: Words, error: np.ndarray) -> list[np.ndarray
 def fit(documents: DataFrame, learnable: Column, text: str = "text", lang: str = "lang") -> Model | None:
     """Learns from windows of the ``FIT_DOCS`` documents of each language with the smallest hash.
 
-    At most ``MOST_FIT_DOCS`` documents are used, the first of every language before the second.
+    At most ``MOST_FIT_DOCS`` documents are used, the first of every language before the second. Repeated rows count once.
     """
     tie = F.xxhash64("doc_id", text)
-    by_hash = Window.partitionBy(lang).orderBy("tie", "doc_id")
+    usable = documents.filter(learnable & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    usable = staged(usable.select("doc_id", F.col(lang).alias("lang"), tie.alias("tie")).distinct(), "language-ids")
+    # A common language is cut to its smallest hashes before its rows meet: with four times as many as are
+    # wanted on average, fewer than are wanted never remain.
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    part = 4.0 * FIT_DOCS / F.col("n")
+    bound = F.when(part < 1, (part * 2.0**64 - 2.0**63).cast("long"))
+    by_hash = Window.partitionBy("lang").orderBy("tie", "doc_id")
     sample = (
-        documents.filter(learnable & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-        .select("doc_id", lang, tie.alias("tie"))
+        usable.join(sizes.select("lang", bound.alias("bound")), "lang")
+        .filter("bound IS NULL OR tie <= bound")
         .withColumn("place", F.row_number().over(by_hash))
         .filter(F.col("place") <= FIT_DOCS)
-        .orderBy("place", lang)
+        .orderBy("place", "lang")
         .limit(MOST_FIT_DOCS)
     )
     sample = staged(sample.select("doc_id", "tie"), "language-sample")
