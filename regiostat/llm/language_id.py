@@ -254,7 +254,8 @@ def fit(documents: DataFrame, learnable: Column, text: str = "text", lang: str =
     usable = staged(usable.select("doc_id", F.col(lang).alias("lang"), tie.alias("tie")).distinct(), "language-ids")
     # A common language is cut to its smallest hashes before its rows meet: with four times as many as are
     # wanted on average, fewer than are wanted never remain.
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    # Written, so that Spark knows how small it is and does not deal the documents by language to join it.
+    sizes = staged(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
     part = 4.0 * FIT_DOCS / F.col("n")
     bound = F.when(part < 1, (part * 2.0**64 - 2.0**63).cast("long"))
     by_hash = Window.partitionBy("lang").orderBy("tie", "doc_id")
