@@ -1,19 +1,19 @@
 """Near-duplicate documents by MinHash with tensored banding.
 
 A document's set holds its distinct word shingles. Equal sets are one *class* from the start. The
-classes are sketched with two small collections of ``HALVES`` half keys, each made of ``ROWS``
-minhashes; a table key is one half key of each collection, so ``HALVES`` squared tables cost only
-``2 * HALVES * ROWS`` minhashes. Two classes meet in a table if they share a half key in both
-collections: at similarity 0.8 they miss with probability below 2 * (1 - 0.8**2)**12 = 1e-5.
+classes are sketched with two small collections of half keys, each made of ``ROWS`` minhashes; a table
+key is one half key of each collection, so h squared tables cost only 2 * h * ``ROWS`` minhashes. Two
+classes meet in a table if they share a half key in both collections. ``half_keys_for`` takes h from the
+least similarity: 12 for 0.8, where a pair misses with probability below 2 * (1 - 0.8**2)**12 = 1e-5.
 
 Half keys that only one class has are dropped before tables are formed; they cannot meet. Then
 
-1. every class is compared with the smallest class of its tables, the one met most often: its *pivot*.
-   That links the usual group of copies without looking at pairs;
+1. every class is compared with the smallest class of its tables, the one met most often and itself only if
+   it meets no smaller one: its *pivot*. That links the usual group of copies without looking at pairs;
 2. classes with one pivot that are not yet connected are compared with the others of that pivot, in
    blocks that hold the full sets; classes of the largest component are not compared with each other;
 3. classes of different pivots that meet in a table but are not yet connected are found in blocks of
-   tables, each pair in the first table it shares, and then compared.
+   tables, tables with the same strangers (``open_tables``) put together, and then compared.
 
 So no link between different components is lost. In steps 2 and 3 a pair must also agree in a number of
 ``MARKS`` further minhashes (one byte of each), made only for classes that meet others; at similarity 0.8
@@ -23,6 +23,7 @@ a pair fails that with probability 2e-6. Every link is confirmed on the full set
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,11 @@ from pyspark.sql import types as T
 from regiostat.llm.common import slices, staged
 from regiostat.llm.word_arrays import constants, mix, word_hashes
 
-HALVES = 12
 ROWS = 2
+#: A pair of exactly the least similarity meets in no table with at most this probability.
+MOST_MISSED = 1e-5
+#: Table keys of a document grow with the square of its half keys: 43 a side at this similarity.
+LEAST_PERCENT = 50
 #: Further minhashes of classes that meet others, and how many a similar pair shares at least: the mean
 #: less 4.8 standard deviations at the least similarity (``least_agreeing``).
 MARKS = 128
@@ -49,8 +53,6 @@ GROUP_ROWS = 4000
 #: At most so many ids are broadcast to pick documents; beyond that Spark shuffles.
 BROADCAST_IDS = 500_000
 
-_FACTORS = constants(21, 2 * HALVES * ROWS)
-_OFFSETS = constants(22, 2 * HALVES * ROWS)
 _MARK_FACTORS = constants(24, MARKS)
 _MARK_OFFSETS = constants(25, MARKS)
 
@@ -62,7 +64,6 @@ SKETCH = T.StructType(
         T.StructField("print2", T.LongType()),
         T.StructField("us", T.ArrayType(T.LongType())),
         T.StructField("vs", T.ArrayType(T.LongType())),
-        T.StructField("halves", T.BinaryType()),
     ]
 )
 SETS = T.StructType(
@@ -118,14 +119,23 @@ def distinct_sets(run: list[bytes], words: int) -> list[np.ndarray]:
     return [np.unique(part) for part in np.split(items, cuts)]
 
 
-def half_keys(items: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def half_keys_for(percent: int) -> int:
+    """Half keys of each collection that keep the probability of a miss below ``MOST_MISSED``."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be {LEAST_PERCENT} to 100")
+    differs = 1 - (percent / 100) ** ROWS
+    return next(h for h in count(1) if 2 * differs**h <= MOST_MISSED)
+
+
+def half_keys(items: np.ndarray, cuts: np.ndarray, halves: int) -> np.ndarray:
     """Two collections of half keys of each non-empty set; ``cuts`` has the sets' starts."""
+    numbers = 2 * halves * ROWS
     least = [
         np.minimum.reduceat((items * f + o) >> np.uint64(32), cuts)
-        for f, o in zip(_FACTORS, _OFFSETS, strict=True)
+        for f, o in zip(constants(21, numbers), constants(22, numbers), strict=True)
     ]
-    keys = np.empty((len(cuts), 2 * HALVES), np.uint64)
-    for h in range(2 * HALVES):
+    keys = np.empty((len(cuts), 2 * halves), np.uint64)
+    for h in range(2 * halves):
         key = np.full(len(cuts), h + 1, np.uint64)
         for r in range(ROWS):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[h * ROWS + r])
@@ -148,7 +158,7 @@ def least_agreeing(percent: int) -> int:
     return max(0, int(mean - DEVIATIONS * (mean * (1 - percent / 100)) ** 0.5))
 
 
-def sketches(documents: DataFrame, words: int) -> DataFrame:
+def sketches(documents: DataFrame, words: int, halves: int) -> DataFrame:
     """Set size, fingerprint and half keys of every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,13 +170,11 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                 full = np.flatnonzero(sizes)
                 us: list = [None] * len(sets)
                 vs: list = [None] * len(sets)
-                halves: list = [None] * len(sets)
                 if len(full):
                     cuts = np.cumsum([0, *sizes[full][:-1]])
-                    keys = half_keys(np.concatenate([sets[k] for k in full]), cuts)
+                    keys = half_keys(np.concatenate([sets[k] for k in full]), cuts, halves)
                     for k, row in zip(full, keys, strict=True):
-                        us[k], vs[k] = row[:HALVES], row[HALVES:]
-                        halves[k] = row.astype(np.uint32).tobytes()
+                        us[k], vs[k] = row[:halves], row[halves:]
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[first : first + len(texts)],
@@ -175,7 +183,6 @@ def sketches(documents: DataFrame, words: int) -> DataFrame:
                         "print2": [mix(~s).sum(dtype=np.uint64).view(np.int64) for s in sets],
                         "us": us,
                         "vs": vs,
-                        "halves": halves,
                     }
                 )
 
@@ -303,6 +310,9 @@ def links_around_pivots(
             F.greatest(F.ceil(F.col("all") - F.col("inside")), F.lit(1)).cast("int").alias("blocks"),
         )
     )
+    open_homes = staged(open_homes, "near-dup-open-homes")
+    if open_homes.count() <= BROADCAST_IDS:
+        open_homes = F.broadcast(open_homes)
     # Blocks 0 to blocks - 1 hold the other components, those from there on the largest one.
     in_largest = F.col("component") == F.col("largest")
     block = F.when(
@@ -349,6 +359,47 @@ def links_around_pivots(
     return dealt.groupBy("home", "low", "high").applyInPandas(run, "a long, b long")
 
 
+def open_tables(keyed: DataFrame, homes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(crowd, node, home, component): the classes of the tables that are still to be compared.
+
+    A table is open if classes of different pivots and components meet in it. The classes outside its
+    largest pivot are its strangers; those of one pivot are compared by ``links_around_pivots``. Tables with
+    the same largest pivot and the same strangers make one *crowd*, so a class has one row for all tables
+    in which it meets the same strangers. Every pair of a crowd with a stranger in it meets in one of
+    its tables.
+    """
+    rows = (
+        keyed.join(homes, "node")
+        .join(labels, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    by_home = rows.groupBy("key", "home").agg(
+        F.count("*").alias("n"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("print1"),
+        F.bit_xor(F.xxhash64("node", F.lit(2))).alias("print2"),
+    )
+    # Prints of all members; without those of the largest pivot they are the strangers' ones.
+    by_key = by_home.groupBy("key").agg(
+        F.max_by(F.struct("home", "print1", "print2"), F.struct("n", -F.col("home"))).alias("largest"),
+        F.bit_xor("print1").alias("print1"),
+        F.bit_xor("print2").alias("print2"),
+        F.count("*").alias("homes"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    crowds = by_key.filter("homes > 1 AND low < high").select(
+        "key",
+        F.xxhash64(
+            "largest.home",
+            F.col("print1").bitwiseXOR(F.col("largest.print1")),
+            F.col("print2").bitwiseXOR(F.col("largest.print2")),
+        ).alias("crowd"),
+    )
+    return rows.join(crowds, "key").select("crowd", "node", "home", "component").distinct()
+
+
 def candidates_in_tables(
     keyed: DataFrame,
     homes: DataFrame,
@@ -359,57 +410,41 @@ def candidates_in_tables(
 ) -> DataFrame:
     """Pairs of classes of different pivots and components that meet in a table, each pair once.
 
-    The classes of a table are dealt to blocks of about ``TABLE_BLOCK``, and every pair of blocks is compared
-    by itself. Many such comparisons share a task's group, since most tables hold a few classes. A pair
-    is returned if set sizes allow the similarity and enough half keys agree.
+    The classes of a crowd of tables are dealt to blocks of about ``TABLE_BLOCK``, and every pair of blocks is
+    compared by itself. Many such comparisons share a task's group, since most crowds hold a few classes.
+    A pair is returned if set sizes allow the similarity and enough marks agree.
     """
-    rows = (
-        keyed.join(homes, "node")
-        .join(labels, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+    rows = staged(open_tables(keyed, homes, labels), "near-dup-open")
+    crowds = rows.groupBy("crowd").agg(F.count("*").alias("n"))
+    crowds = staged(
+        crowds.select("crowd", "n", F.ceil(F.col("n") / TABLE_BLOCK).cast("int").alias("blocks")),
+        "near-dup-crowds",
     )
-    open_keys = (
-        rows.groupBy("key")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min("home").alias("first_home"),
-            F.max("home").alias("last_home"),
-            F.count("*").alias("n"),
-        )
-        .filter("low < high AND first_home < last_home")
-        .select("key", "n", F.ceil(F.col("n") / TABLE_BLOCK).cast("int").alias("blocks"))
-    )
-    open_keys = staged(open_keys, "near-dup-open")
-    amount = open_keys.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]
+    amount = crowds.agg(F.coalesce(F.sum(F.col("n") * F.col("blocks")), F.lit(0))).first()[0]
     groups = amount // GROUP_ROWS + 1
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
-        rows.join(open_keys, "key")
+        rows.join(crowds, "crowd")
         .withColumn("block", block)
         .withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .join(classes.select("node", "n_shingles", "halves"), "node")
+        .join(classes.select("node", "n_shingles"), "node")
         .join(sets.select("node", "marks"), "node")
-        .withColumn("part", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
+        .withColumn("part", F.pmod(F.xxhash64("crowd", "low", "high"), F.lit(groups)))
         .select(
-            "part", "key", "place", "low", "high", "block", "node", "home", "component",
-            "n_shingles", "halves", "marks",
+            "part", "crowd", "low", "high", "block", "node", "home", "component", "n_shingles", "marks"
         )
-    )
+    )
     wanted = least_agreeing(percent)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["key", "low", "high", "node"], kind="stable")
-        key, table, low, high, block, node, home, component, size = (
+        group = group.sort_values(["crowd", "low", "high", "node"], kind="stable")
+        crowd, low, high, block, node, home, component, size = (
             group[c].to_numpy()
-            for c in (
-                "key", "place", "low", "high", "block", "node", "home", "component", "n_shingles"
-            )
-        )
-        halves = np.frombuffer(b"".join(group["halves"]), np.uint32).reshape(len(group), -1)
+            for c in ("crowd", "low", "high", "block", "node", "home", "component", "n_shingles")
+        )
         marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
         found = []
         # Rows of one comparison are neighbours: compare each row with the one ``step`` behind it.
@@ -417,17 +452,13 @@ def candidates_in_tables(
         step = 1
         while len(place):
             i, j = place, place + step
-            place = i[(key[i] == key[j]) & (low[i] == low[j]) & (high[i] == high[j])]
+            place = i[(crowd[i] == crowd[j]) & (low[i] == low[j]) & (high[i] == high[j])]
             i, j = place, place + step
             ok = (component[i] != component[j]) & (home[i] != home[j])
             ok &= (low[i] == high[i]) | (block[i] != block[j])
             ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
             i, j = i[ok], j[ok]
             ok = (marks[i] == marks[j]).sum(axis=1) >= wanted
-            i, j = i[ok], j[ok]
-            # The first half keys that agree name the pair's first table.
-            same = halves[i] == halves[j]
-            ok = table[i] == same[:, :HALVES].argmax(axis=1) * HALVES + same[:, HALVES:].argmax(axis=1)
             found.append(np.stack([node[i[ok]], node[j[ok]]], axis=1))
             step += 1
             place = place[place + step < len(group)]
@@ -441,11 +472,13 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     """(doc_id, n_shingles, component_id, kept) for every row of ``documents``.
 
     Documents are linked at 100 * intersection >= percent * union of their shingle sets. NULL and
-    empty texts have no shingles and no links. Rows that share a doc_id are one document: a link of
+    empty texts have no shingles and no links. ``percent`` is 50 to 100 and sets the number of tables, so that
+    a pair is missed with probability 1e-5 at most. Rows that share a doc_id are one document: a link of
     one holds for all (an empty one among them has none). Rows without doc_id are returned with their set size unknown (NULL), no
     component and kept. Other columns are not read. An empty table gives an empty result.
     """
-    sketch = staged(sketches(documents, words), "near-dup-sketch")
+    per_side = half_keys_for(percent)
+    sketch = staged(sketches(documents, words, per_side), "near-dup-sketch")
     prints = ["n_shingles", "print1", "print2"]
     classes = staged(
         sketch.filter("n_shingles > 0")
@@ -454,13 +487,12 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
             F.min("doc_id").alias("node"),
             F.min_by("us", "doc_id").alias("us"),
             F.min_by("vs", "doc_id").alias("vs"),
-            F.min_by("halves", "doc_id").alias("halves"),
         ),
         "near-dup-classes",
     )
     halves = classes.select("node", F.posexplode("us").alias("at", "half")).union(
         classes.select("node", F.posexplode("vs").alias("at", "half")).withColumn(
-            "at", F.col("at") + HALVES
+            "at", F.col("at") + per_side
         )
     )
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
@@ -469,18 +501,14 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         halves.join(shared, "half")
         .groupBy("node")
         .agg(
-            F.collect_list(F.when(F.col("at") < HALVES, half)).alias("us"),
-            F.collect_list(F.when(F.col("at") >= HALVES, half)).alias("vs"),
+            F.collect_list(F.when(F.col("at") < per_side, half)).alias("us"),
+            F.collect_list(F.when(F.col("at") >= per_side, half)).alias("vs"),
         )
     )
     tables = (
         sides.select("node", F.explode("us").alias("u"), "vs")
         .select("node", "u", F.explode("vs").alias("v"))
-        .select(
-            "node",
-            (F.col("u.at") * HALVES + F.col("v.at") - HALVES).alias("place"),
-            F.xxhash64("u.half", "v.half").alias("key"),
-        )
+        .select("node", F.xxhash64("u.half", "v.half").alias("key"))
     )
     tables = staged(tables, "near-dup-tables")
     pivots = (
@@ -494,7 +522,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         keyed.groupBy("node", "pivot")
         .agg(F.count("*").alias("met"))
         .groupBy("node")
-        .agg(F.max_by("pivot", F.struct("met", -F.col("pivot"))).alias("home"))
+        .agg(
+            F.max_by("pivot", F.struct(F.col("pivot") != F.col("node"), "met", -F.col("pivot"))).alias("home")
+        )
     )
     homes = staged(nearest, "near-dup-homes")
     first = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
@@ -534,7 +564,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         labels = components(links)
     rest = staged(
         candidates_in_tables(
-            keyed.select("node", "place", "key"), homes, classes, sets, labels, percent
+            keyed.select("node", "key"), homes, classes, sets, labels, percent
         ),
         "near-dup-rest",
     )

@@ -3,7 +3,13 @@ import re
 
 import pytest
 
-from regiostat.llm.near_dups import components, near_duplicates, one_of_each
+from regiostat.llm.near_dups import (
+    components,
+    half_keys_for,
+    near_duplicates,
+    one_of_each,
+    open_tables,
+)
 
 
 def shingles(text, words):
@@ -117,3 +123,40 @@ def test_components_of_long_chains(spark):
         150: 100,
         200: 100,
     }
+
+
+def test_half_keys_follow_the_least_similarity(documents):
+    assert (half_keys_for(80), half_keys_for(60), half_keys_for(50)) == (12, 28, 43)
+    assert half_keys_for(100) == 1
+    with pytest.raises(ValueError, match="50 to 100"):
+        near_duplicates(documents([]), percent=49)
+
+
+def test_links_at_half_are_found(documents):
+    draw = random.Random(8)
+    rows = []
+    for k in range(0, 400, 2):
+        words = [f"w{draw.randrange(10**9)}" for _ in range(43)]
+        # 40 shingles, the last 13 or fewer of them in one text only: similarity 27 / 53 and above.
+        kept = draw.randint(30, 32)
+        rows.append((k, " ".join(words)))
+        rows.append((k + 1, " ".join(words[:kept] + [f"v{draw.randrange(10**9)}" for _ in range(43 - kept)])))
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(rows), 4, 50).collect()}
+    assert found == {i: c for i, (_, c) in brute_force(rows, 4, 50).items()}
+    assert len(set(found.values())) == 200
+
+
+def test_tables_with_the_same_strangers_are_put_together(spark):
+    """Classes 1 to 20 have pivot 1, 50 and 51 their own; 50 meets them in ten tables, 51 in one more."""
+    keyed = [(n, key) for key in range(10) for n in (*range(1, 21), 50)]
+    keyed += [(n, 10) for n in (1, 2, 51)] + [(n, 11) for n in range(1, 21)]
+    homes = [(n, 1) for n in range(1, 21)] + [(50, 50), (51, 51)]
+    found = open_tables(
+        spark.createDataFrame(keyed, "node long, key long"),
+        spark.createDataFrame(homes, "node long, home long"),
+        spark.createDataFrame([(n, 1) for n in range(1, 11)], "node long, component long"),
+    ).collect()
+    crowds = {}
+    for r in found:
+        crowds.setdefault(r["crowd"], []).append(r["node"])
+    assert sorted(map(sorted, crowds.values())) == [[1, 2, *range(3, 21), 50], [1, 2, 51]]
