@@ -4,7 +4,9 @@ Every word of a text gets a label. Its features are its beginnings and ends (aff
 3-grams and, if it is in the lexicon of frequent training words, itself; the labels of neighbouring
 words are tied by learned transitions. Training sequences are windows of sampled documents, half of
 them spliced from two languages, so that the transitions see switches. Forward-backward gives each
-word's label probabilities; a document's language has the largest sum.
+word's label probabilities; a document's language has the largest sum. Long texts are cut into stretches
+whose label paths are summed up in one small matrix each, so that all stretches are worked on side by side
+with the probabilities of the whole text, and only a part of the text's words is held at a time.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,8 @@ TABLE = 1 << 16
 EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.2, 1e-5
 #: Bytes of text whose words are labelled together.
 GROUP_BYTES = 1 << 22
+#: Longer texts go by stretches of so many words, and so many bytes are held at a time.
+LONG_BYTES, STRETCH, PART_BYTES = 1 << 16, 512, 1 << 19
 UNKNOWN = "und"
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -119,11 +124,18 @@ def _gram_ends(words: Words) -> np.ndarray:
     return np.maximum(words.starts, words.ends - 1)
 
 
-def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+def marginals(
+    scores: np.ndarray,
+    lengths: np.ndarray,
+    transitions: np.ndarray,
+    enter: np.ndarray | None = None,
+    leave: np.ndarray | None = None,
+) -> np.ndarray:
     """Label probabilities of every word by forward-backward over many sequences at once.
 
     Sequences stand one after another in ``scores``. Step t works on the t-th words of all sequences
-    that are long enough, the longest first.
+    that are long enough, the longest first. ``enter`` and ``leave`` weigh the labels of the first and the
+    last word of each sequence by what stands before and after it.
     """
     full = np.flatnonzero(lengths)
     order = full[np.argsort(-lengths[full], kind="stable")]
@@ -139,12 +151,15 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray)
     local = np.empty_like(scores)
     local[packed] = np.exp(scores - scores.max(axis=1, keepdims=True))
     step = np.exp(transitions - transitions.max())
+    begun = np.ones((len(order), scores.shape[1])) if enter is None else enter[order]
     forward = np.empty_like(local)
     for t in range(steps):
         a, b = offset[t], offset[t + 1]
-        here = local[a:b] if t == 0 else (forward[offset[t - 1] : offset[t - 1] + b - a] @ step) * local[a:b]
+        here = begun * local[a:b] if t == 0 else (forward[offset[t - 1] : offset[t - 1] + b - a] @ step) * local[a:b]
         forward[a:b] = here / here.sum(axis=1, keepdims=True)
     backward = np.ones_like(local)
+    if leave is not None and len(order):
+        backward[offset[sizes - 1] + np.arange(len(order))] = leave[order]
     for t in range(steps - 2, -1, -1):
         a, n = offset[t], active[t + 1]
         later = slice(offset[t + 1], offset[t + 2])
@@ -155,6 +170,34 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray)
     return both[packed]
 
 
+def transfers(scores: np.ndarray, length: int, transitions: np.ndarray) -> np.ndarray:
+    """Weights of all label paths of stretches of ``length`` words, from each first to each last label.
+
+    One matrix for each stretch, right up to a factor.
+    """
+    n = scores.shape[1]
+    local = np.exp(scores - scores.max(axis=1, keepdims=True)).reshape(-1, length, n)
+    step = np.exp(transitions - transitions.max())
+    paths = local[:, 0, :, None] * np.eye(n)
+    for t in range(1, length):
+        paths = (paths.reshape(-1, n) @ step).reshape(-1, n, n) * local[:, t, None, :]
+        paths /= paths.sum(axis=(1, 2), keepdims=True)
+    return paths
+
+
+def surroundings(paths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What stands before and after each of the stretches of one text, as ``marginals`` takes it."""
+    step = np.exp(transitions - transitions.max())
+    enter, leave = np.ones(paths.shape[:2]), np.ones(paths.shape[:2])
+    for k in range(1, len(paths)):
+        row = enter[k - 1] @ paths[k - 1] @ step
+        enter[k] = row / row.sum()
+    for k in range(len(paths) - 2, -1, -1):
+        column = step @ (paths[k + 1] @ leave[k + 1])
+        leave[k] = column / column.sum()
+    return enter, leave
+
+
 def pair_totals(
     scores: np.ndarray, length: int, transitions: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -275,11 +318,12 @@ def fit(documents: DataFrame, learnable: Column, text: str = "text", lang: str =
         for batch in batches:
             out = []
             for whole, language, key in zip(batch["text"], batch["lang"], batch["tie"], strict=True):
-                words = WORD.findall(whole.lower())
+                lower = whole.lower()
+                words = sum(1 for _ in WORD.finditer(lower))
                 for k in range(WINDOWS if words else 0):
-                    room = max(1, len(words) - WINDOW_WORDS + 1)
+                    room = max(1, words - WINDOW_WORDS + 1)
                     start = (int(key) * (2 * k + 1) >> 7) % room
-                    window = words[start : start + WINDOW_WORDS]
+                    window = [m[0] for m in islice(WORD.finditer(lower), start, start + WINDOW_WORDS)]
                     window = (window * WINDOW_WORDS)[:WINDOW_WORDS]
                     out.append((language, " ".join(window), key, k))
             yield pd.DataFrame(out, columns=["lang", "text", "tie", "k"]).astype(
@@ -313,23 +357,66 @@ def _word_scores(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(scores), counts
 
 
+def words_in_parts(model: Model, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(starts, ends, label probabilities) of the words of one text, a part of it at a time.
+
+    The first pass over the parts makes the matrices of their stretches, the second the probabilities, which
+    are those of forward-backward over the whole text. Memory follows a part, and a matrix a stretch.
+    """
+    data = np.frombuffer(text + b"\n", np.uint8)
+    parts = pieces(data, NO_LETTER, PART_BYTES)
+    paths = []
+    for a, b in parts:
+        scores = model.emissions(features(data[a : b + 1], model.lexicon))
+        whole = len(scores) // STRETCH * STRETCH
+        paths.append(transfers(scores[:whole], STRETCH, model.transitions))
+        if whole < len(scores):
+            paths.append(transfers(scores[whole:], len(scores) - whole, model.transitions))
+    enter, leave = surroundings(np.concatenate(paths), model.transitions)
+    first = 0
+    for a, b in parts:
+        words = features(data[a : b + 1], model.lexicon)
+        count = len(words.starts)
+        lengths = np.diff(np.append(np.arange(0, count, STRETCH), count))
+        these = slice(first, first + len(lengths))
+        found = marginals(model.emissions(words), lengths, model.transitions, enter[these], leave[these])
+        yield words.starts + a, words.ends + a, found
+        first += len(lengths)
+
+
+def _label_totals(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the label probabilities of the words of each text, and its number of words."""
+    scores, counts = _word_scores(model, texts)
+    found = marginals(scores, counts, model.transitions)
+    sums = np.zeros((len(found) + 1, found.shape[1]))
+    np.cumsum(found, axis=0, out=sums[1:])
+    ends = np.cumsum(counts)
+    return sums[ends] - sums[ends - counts], counts
+
+
+def _long_totals(model: Model, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """``_label_totals`` of one long text."""
+    totals, count = np.zeros((1, len(model.labels))), 0
+    for starts, _, found in words_in_parts(model, text):
+        totals += found.sum(axis=0)
+        count += len(starts)
+    return totals, np.array([count])
+
+
 def label_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score of each text; the score is the language's share of the word labels."""
     languages, shares = [], []
     data = [encoded(t) for t in texts]
     first = 0
     while first < len(data):
-        last, size = first, 0
-        while last < len(data) and size < GROUP_BYTES:
-            size += len(data[last])
-            last += 1
-        scores, counts = _word_scores(model, data[first:last])
-        if len(scores):
-            found = marginals(scores, counts, model.transitions)
-            sums = np.zeros((len(found) + 1, found.shape[1]))
-            np.cumsum(found, axis=0, out=sums[1:])
-            ends = np.cumsum(counts)
-            totals = sums[ends] - sums[ends - counts]
+        last, size = first + 1, len(data[first])
+        if size > LONG_BYTES:
+            totals, counts = _long_totals(model, data[first])
+        else:
+            while last < len(data) and len(data[last]) <= LONG_BYTES and size < GROUP_BYTES:
+                size += len(data[last])
+                last += 1
+            totals, counts = _label_totals(model, data[first:last])
         for k, n in enumerate(counts):
             if n:
                 best = int(totals[k].argmax())
@@ -345,14 +432,10 @@ def label_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[
 def word_labels(model: Model, text: str) -> list[tuple[str, str]]:
     """(word, language) of every word of one text, for code-switched text."""
     data = encoded(text)
-    scores, counts = _word_scores(model, [data])
-    if not len(scores):
-        return []
-    found = marginals(scores, counts, model.transitions).argmax(axis=1)
-    starts, ends = spans(np.frombuffer(data, np.uint8), NO_LETTER)
     return [
         (data[a:b].decode("utf-8", "replace"), model.labels[k])
-        for a, b, k in zip(starts, ends, found, strict=True)
+        for starts, ends, found in words_in_parts(model, data)
+        for a, b, k in zip(starts, ends, found.argmax(axis=1), strict=True)
     ]
 
 

@@ -81,17 +81,19 @@ class Prefix:
 PIECE = 1 << 22
 
 
-def pieces(data: np.ndarray, separators: np.ndarray = SPACES) -> list[tuple[int, int]]:
-    """Ranges of about ``PIECE`` bytes that end at separators."""
+def pieces(
+    data: np.ndarray, separators: np.ndarray = SPACES, size: int = PIECE
+) -> list[tuple[int, int]]:
+    """Ranges of about ``size`` bytes that end at separators."""
     found, a = [], 0
     while a < len(data):
-        b = min(a + PIECE, len(data))
+        b = min(a + size, len(data))
         while b < len(data):
-            near = np.flatnonzero(separators[data[b : b + PIECE]])
+            near = np.flatnonzero(separators[data[b : b + size]])
             if len(near):
                 b += int(near[0])
                 break
-            b = min(b + PIECE, len(data))
+            b = min(b + size, len(data))
         found.append((a, b))
         a = b
     return found

@@ -12,8 +12,11 @@ from regiostat.llm.language_id import (
     marginals,
     pair_totals,
     predicted_languages,
+    surroundings,
     train,
+    transfers,
     word_labels,
+    words_in_parts,
 )
 
 ENGLISH = "the house and tree with river that stone from cloud have been".split()
@@ -78,6 +81,46 @@ def test_texts_in_groups_equal_texts_alone(monkeypatch):
     assert together[0] == alone[0] and np.allclose(together[1], alone[1])
 
 
+def test_stretches_have_the_probabilities_of_the_whole():
+    draw = np.random.default_rng(8)
+    transitions, scores = draw.normal(size=(4, 4)) * 2, draw.normal(size=(50, 4)) * 3
+    paths = np.concatenate([transfers(scores[:48], 8, transitions), transfers(scores[48:], 2, transitions)])
+    enter, leave = surroundings(paths, transitions)
+    found = marginals(scores, np.array([8] * 6 + [2]), transitions, enter, leave)
+    assert np.allclose(found, marginals(scores, np.array([50]), transitions), atol=1e-12)
+
+
+def test_long_texts_equal_short_ones(monkeypatch):
+    model = train(windows(np.random.default_rng(6)))
+    draw = np.random.default_rng(4)
+    long = " ".join(" ".join(draw.choice(GERMAN if draw.random() < 0.6 else ENGLISH, 9)) for _ in range(2000))
+    texts = ["the house", long + " 12", None, "", "das haus 3", "x" * 3000, "."]
+    module = "regiostat.llm.language_id."
+    monkeypatch.setattr(module + "LONG_BYTES", 1 << 30)
+    whole = label_texts(model, texts)
+    monkeypatch.setattr(module + "LONG_BYTES", 100)
+    for part, stretch in ((1 << 19, 512), (1000, 7), (50, 512), (997, 1)):
+        monkeypatch.setattr(module + "PART_BYTES", part)
+        monkeypatch.setattr(module + "STRETCH", stretch)
+        found = label_texts(model, texts)
+        assert found[0] == whole[0] and np.allclose(found[1], whole[1], rtol=1e-9)
+        places = [(a, b) for starts, ends, _ in words_in_parts(model, encoded(long)) for a, b in zip(starts, ends, strict=True)]
+        assert [long[a:b] for a, b in places] == long.split()
+
+
+def test_one_long_text_takes_steps_of_a_stretch(monkeypatch):
+    model = train(windows(np.random.default_rng(6)))
+    seen = []
+    monkeypatch.setattr(
+        "regiostat.llm.language_id.marginals",
+        lambda scores, lengths, *rest: seen.append((len(scores), lengths.max())) or marginals(scores, lengths, *rest),
+    )
+    words = 300_000
+    assert label_texts(model, ["the haus " * (words // 2)])[0][0] in ("de", "en")
+    assert sum(n for n, _ in seen) == words
+    assert max(n for n, _ in seen) < 150_000 and max(steps for _, steps in seen) == 512
+
+
 def test_letters():
     assert encoded("12 !\x00") == b"" and encoded(None) == b"" and encoded("…") == b""
     assert encoded("É") == "é".encode() and encoded("日") != b""
