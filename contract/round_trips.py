@@ -7,11 +7,13 @@ returns what the reader or sink makes of it. Files hold about ``FILE_ROWS`` entr
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,30 @@ def _folder(t: DriverTables, name: str) -> str:
     return work_folder(t.spark, name)
 
 
+def _put_texts(named: DataFrame, folder: str) -> str:
+    """One file for each row (name, text), put below the folder by the task that has the row.
+
+    Spark's writer makes a folder, a checksum file and calls of ``chmod`` for every file, which many small
+    files do not bear. A file gets its name when it is whole, so a repeated task changes nothing.
+    """
+
+    def put(rows):
+        system, base = FileSystem.from_uri(folder)
+        made = set()
+        for row in rows:
+            parent, _, name = f"{base}/{row['name']}".rpartition("/")
+            if parent not in made:
+                system.create_dir(parent)
+                made.add(parent)
+            part = f"{parent}/.{name}-{uuid.uuid4().hex}"
+            with system.open_output_stream(part) as out:
+                out.write(f"{row['text']}\n".encode())
+            system.move(part, f"{parent}/{name}")
+
+    named.foreachPartition(put)
+    return folder
+
+
 def _write_texts(rows: DataFrame, number: str, entry: Column, text: Column, folder: str) -> str:
     """One text file for each ``FILE_ROWS`` numbers; ``text`` builds it from the array ``entries``."""
     files_ = (
@@ -47,8 +73,8 @@ def _write_texts(rows: DataFrame, number: str, entry: Column, text: Column, fold
         .agg(F.collect_list(entry).alias("entries"))
         .withColumn("text", text)
     )
-    files_.select("file", "text").write.partitionBy("file").text(folder)
-    return f"{folder}/*/*"
+    name = F.concat(F.coalesce(col("file").cast("string"), F.lit("none")), F.lit(".txt")).alias("name")
+    return _put_texts(files_.select(name, "text"), folder)
 
 
 @round_trip
