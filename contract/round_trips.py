@@ -30,6 +30,8 @@ from regiostat.tables import TableSet
 
 col = F.col
 FILE_ROWS = 200
+#: A table is cut into more parts where it has more rows, so that no file grows with it: rows of all blocks to a part.
+PART_ROWS = 100_000
 ROUND_TRIPS = {}
 
 
@@ -445,10 +447,12 @@ def S18_files_by_state_and_years(t):
     row = F.struct(col("o_custkey").cast("string").alias("D1C"), F.year("o_orderdate").cast("string").alias("D2C"), col("o_totalprice").cast("string").alias("V"))
     header = F.struct(F.lit(load.PLACE_LABEL).alias("D1C"), F.lit(load.YEAR_LABEL).alias("D2C"), F.lit("Valor").alias("V"))
     block = F.floor(F.year("o_orderdate") / 7).alias("years")
-    folder = _folder(t, "blocks")
-    one = t["orders"].groupBy(col("o_orderstatus").alias("state"), block, (col("o_custkey") % 4).alias("part")).agg(F.collect_list(row).alias("entries"))
-    text = F.to_json(F.concat(F.array(header), "entries")).alias("value")
-    one.select("state", "years", "part", text).write.partitionBy("state", "years", "part").text(folder)
+    parts = max(4, t["orders"].count() // PART_ROWS)
+    part = F.pmod(F.xxhash64("o_orderkey", "o_custkey", "o_totalprice"), F.lit(parts)).alias("part")
+    one = t["orders"].groupBy(col("o_orderstatus").alias("state"), block, part).agg(F.collect_list(row).alias("entries"))
+    text = F.to_json(F.concat(F.array(header), "entries")).alias("text")
+    levels = [F.concat(F.lit(f"{c}="), F.coalesce(col(c).cast("string"), F.lit("none"))) for c in ("state", "years", "part")]
+    folder = _put_texts(one.select(F.concat_ws("/", *levels, F.lit("values.json")).alias("name"), text), _folder(t, "blocks"))
     return load.read_population(t.spark, f"{folder}/*/*/*/*").groupBy("place_id", "year").agg(
         M.exact_sum(col("population")).alias("population")
     )

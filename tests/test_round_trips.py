@@ -1,5 +1,6 @@
 """The raw layouts that the contract writes: files and pieces stay small while the tables grow."""
 
+import datetime
 import os
 
 import duckdb
@@ -42,3 +43,19 @@ def test_one_outline_a_file(spark, tmp_path):
     supplier = spark.range(300).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).cast("int").alias("s_nationkey"))
     t = save(spark, tmp_path, supplier=supplier)
     assert agrees("S12_first_outlines", t)
+
+
+def test_blocks_get_more_files_with_more_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "PART_ROWS", 100)
+    key = F.col("id")
+    orders = spark.range(2000).select(
+        key.alias("o_orderkey"), (key % 40 * 4).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        (key / 4).alias("o_totalprice"), F.lit(datetime.date(1995, 2, 3)).alias("o_orderdate"),
+    )
+    t = save(spark, tmp_path, orders=orders)
+    put, seen = R._put_texts, []
+    monkeypatch.setattr(R, "_put_texts", lambda named, folder: seen.append(folder) or put(named, folder))
+    assert agrees("S18_files_by_state_and_years", t)
+    # All customers are divisible by four: one file of all rows before.
+    sizes = [os.path.getsize(f) for f in below(seen[0])[1]]
+    assert len(sizes) == 20 and max(sizes) < sum(sizes) / 10
