@@ -30,8 +30,9 @@ from regiostat.tables import TableSet
 
 col = F.col
 FILE_ROWS = 200
-#: A table is cut into more parts where it has more rows, so that no file grows with it: rows of all blocks to a part.
-PART_ROWS = 100_000
+#: A source cuts a table, a month of microdata or an archive into more parts where it has more rows, so that no part
+#: grows with the table: rows a part of all blocks, lines a piece of all microdata.
+PART_ROWS, PIECE_LINES = 100_000, 6_000_000
 ROUND_TRIPS = {}
 
 
@@ -360,11 +361,23 @@ def S9_rejects(t):
     return banks.balance_rejects(_archive_lines(t))
 
 
+def _piece(t, pieces: int) -> Column:
+    """Ending of the piece that a line falls into, empty where there is one piece only."""
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return F.concat(F.lit("p"), F.pmod(F.xxhash64(*keys), F.lit(pieces))) if pieces > 1 else F.lit("")
+
+
+def _whole(name: Column) -> Column:
+    """Name without the piece."""
+    return F.regexp_replace(name, r"p\d+(\.txt)?$|\.txt$", "")
+
+
 def _microdata(t) -> str:
-    """Text files by kind and number, with two layouts; some lines have a cell too many or no month."""
+    """Text files by kind, number and piece, with two layouts; some lines have a cell too many or no month."""
     number, part = col("l_linenumber"), col("l_partkey")
     kind = F.when(number <= 4, "MOV").when(number <= 6, "FOR").otherwise("EXC")
     stem = F.concat_ws("_", kind, (col("l_orderkey") % 6).cast("string"))
+    piece = _piece(t, t["lineitem"].count() // PIECE_LINES + 1)
     month = F.when(col("l_orderkey") % 17 > 0, P.month_of(col("l_shipdate")).cast("string")).otherwise("")
     activity = F.concat(F.lpad((part % 99 + 1).cast("string"), 2, "0"), F.lit("11301"))
     wage = F.when(part % 11 != 0, F.replace(col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(",")))
@@ -375,7 +388,7 @@ def _microdata(t) -> str:
     extra = F.when(col("l_orderkey") % 13 == 0, ";x").otherwise("")
     odd = col("l_orderkey") % 2 == 1
     line = F.when(odd, F.concat_ws(";", *cells)).otherwise(F.concat_ws(";", *[cells[k] for k in second]))
-    rows = t["lineitem"].select(stem.alias("stem"), F.lit(1).alias("place"), F.concat(line, extra).alias("value"), odd.alias("odd"))
+    rows = t["lineitem"].select(F.concat(stem, piece).alias("stem"), F.lit(1).alias("place"), F.concat(line, extra).alias("value"), odd.alias("odd"))
     header = F.when(col("odd"), ";".join(first)).otherwise(";".join(first[k] for k in second))
     heads = rows.select("stem", "odd").distinct().select("stem", F.lit(0).alias("place"), header.alias("value"))
     return _write_named(heads.union(rows.drop("odd")), _folder(t, "microdata"), "txt")
@@ -393,7 +406,8 @@ def S10_microdata_lines(t):
 @round_trip
 def S10_rejects(t):
     bad = movements.movement_rejects(t.spark, f"{_microdata(t)}/*.txt")
-    return bad.select(F.regexp_extract("file", r"([A-Z]+_\d)\.txt$", 1).alias("file"), "reason", "rows")
+    whole = bad.groupBy(_whole(col("file")).alias("file"), "reason").agg(F.sum("rows").alias("rows"))
+    return whole.select(F.regexp_extract("file", r"([A-Z]+_\d)$", 1).alias("file"), "reason", "rows")
 
 
 @round_trip
@@ -518,7 +532,7 @@ def K5_ledger_of_files(t):
         movements.update_jobs(t.spark, f"{landing}/*.txt", f"{work}/state")
     ledger = movements.jobs_ledger(t.spark, f"{work}/state")
     return ledger.part("cells").groupBy("problem").agg(
-        F.sum("rows").alias("rows"), F.count_distinct("file").alias("files"),
+        F.sum("rows").alias("rows"), F.count_distinct(_whole(col("file"))).alias("files"),
         ledger.files().agg(F.count_distinct("batch")).scalar().alias("loads"),
     )
 

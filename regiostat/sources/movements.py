@@ -126,7 +126,8 @@ def _read_layout(spark: SparkSession, files: list[str], kind: str, header: str)
     lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
     lines = lines.filter((F.trim("value") != "") & (F.col("value") != F.lit(header)))
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
-    cells = lines.withColumn("cells", split_cells(F.col("value")))
+    # A row of its own for the cells: a line is split once, however many columns and filters read them.
+    cells = lines.select("*", F.explode(F.array(split_cells(F.col("value")))).alias("cells"))
     fits = (F.size("cells") == len(names)) & (quotes % 2 == 0)
     cell = lambda c: F.nullif(F.get("cells", F.lit(names.index(c))), F.lit(""))
     return cells.select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from contract import round_trips as R
 from contract.adapter import DriverTables
 from contract.compare import difference
+from regiostat.sources import movements
 
 
 def below(folder):
@@ -59,3 +60,35 @@ def test_blocks_get_more_files_with_more_rows(spark, tmp_path, monkeypatch):
     # All customers are divisible by four: one file of all rows before.
     sizes = [os.path.getsize(f) for f in below(seen[0])[1]]
     assert len(sizes) == 20 and max(sizes) < sum(sizes) / 10
+
+
+def lineitem(spark, n):
+    key = F.col("id")
+    return spark.range(n).select(
+        (key / 4).cast("long").alias("l_orderkey"), (key % 37).alias("l_partkey"), (key % 11).alias("l_suppkey"),
+        (key % 7 + 1).cast("int").alias("l_linenumber"), (key % 50).cast("double").alias("l_quantity"),
+        (key % 90 + F.lit(0.25)).alias("l_extendedprice"), (key % 9 / 100).alias("l_tax"),
+        F.lit(datetime.date(1995, 2, 3)).alias("l_shipdate"),
+    )
+
+
+def test_microdata_come_in_more_pieces_with_more_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "PIECE_LINES", 1000)
+    t = save(spark, tmp_path / "tables", lineitem=lineitem(spark, 5000))
+    sizes = [os.path.getsize(f) for f in below(R._microdata(t))[1]]
+    assert len([s for s in sizes if s > 100]) > 2 * 18 and max(sizes) < sum(sizes) / 18
+    assert agrees("S10_rejects", t) and agrees("K5_ledger_of_files", t)
+
+
+def test_streamed_pieces_of_microdata_add_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "PIECE_LINES", 1000)
+    t = save(spark, tmp_path, lineitem=lineitem(spark, 3000))
+    assert agrees("ST1_text_files", t)
+
+
+def test_lines_are_split_once(spark, put):
+    put("CAGEDMOV.txt", 'competênciamov;município;subclasse;saldomovimentação;salário\n200001;1;0111301;1;"1,5"\n')
+    rows = movements.read_movements(spark, os.path.dirname(put("CAGEDFOR.txt", "")))
+    assert rows.count() == 1
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 2  # with and without quotes
