@@ -31,8 +31,8 @@ from regiostat.tables import TableSet
 col = F.col
 FILE_ROWS = 200
 #: A source cuts a table, a month of microdata or an archive into more parts where it has more rows, so that no part
-#: grows with the table: rows a part of all blocks, lines a piece of all microdata.
-PART_ROWS, PIECE_LINES = 100_000, 6_000_000
+#: grows with the table: rows a part of all blocks, lines a piece of all microdata, lines an archive.
+PART_ROWS, PIECE_LINES, ARCHIVE_LINES = 100_000, 6_000_000, 100_000
 ROUND_TRIPS = {}
 
 
@@ -310,39 +310,37 @@ BALANCE_HEADER = "#DATA_BASE;CODMUN_IBGE;CNPJ;AGEN_PROCESSADAS;VERBETE_160_A;VER
 
 
 def _zipper():
-    """Step that makes one archive a row; those to be damaged have a changed byte."""
-
-    def zipped(batches):
-        for files_ in batches:
-            made = []
-            for text, damaged in zip(files_["text"], files_["damaged"], strict=True):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("a.csv", text.encode("latin-1"))
-                content = bytearray(buffer.getvalue())
-                if damaged:
-                    content[len(content) // 2] ^= 0xFF
-                made.append(bytes(content))
-            yield pd.DataFrame({"path": files_["path"], "content": made})
+    """Step that makes an archive of the lines of one group; those to be damaged have a changed byte."""
+
+    def zipped(key, rows):
+        path, damaged = key
+        text = "\n".join([f"x\nx\n{BALANCE_HEADER}", *rows["line"].dropna()])
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("a.csv", text.encode("latin-1"))
+        content = bytearray(buffer.getvalue())
+        if damaged:
+            content[len(content) // 2] ^= 0xFF
+        return pd.DataFrame({"path": [path], "content": [bytes(content)]})
 
     return zipped
 
 
 def _archive_lines(t) -> DataFrame:
-    """Sixteen archives, one of them damaged; every thirteenth line lacks its last cell."""
-    number = col("l_orderkey") % 16
+    """Archives of sixteen numbers, one number damaged; every thirteenth line lacks its last cell."""
+    number = (col("l_orderkey") % 16).cast("string")
+    pieces = t["lineitem"].count() // (16 * ARCHIVE_LINES) + 1
+    path = F.concat(F.coalesce(number, F.lit("")), _piece(t, pieces)) if pieces > 1 else number
     cells = F.concat_ws(
         ";", P.month_of(col("l_shipdate")).cast("string"), F.lpad(col("l_suppkey").cast("string"), 7, "0"),
         (col("l_partkey") % 50).cast("string"), F.when(col("l_linenumber") > 1, col("l_linenumber").cast("string")).otherwise(""),
         col("l_quantity").cast("string"),
     )
     line = F.when(col("l_orderkey") % 13 > 0, F.concat(cells, F.lit(";"), col("l_tax").cast("string"))).otherwise(cells)
-    lines = t["lineitem"].groupBy(number.cast("string").alias("path")).agg(F.array_join(F.collect_list(line), "\n").alias("body"))
-    whole = lines.select(
-        "path", F.concat(F.lit(f"x\nx\n{BALANCE_HEADER}\n"), "body").alias("text"), (col("path") == "5").alias("damaged")
-    )
+    damaged = F.coalesce(number == "5", F.lit(False)).alias("damaged")
+    lines = t["lineitem"].select(path.alias("path"), damaged, line.alias("line"))
     zips = _folder(t, "zips")
-    whole.mapInPandas(_zipper(), "path string, content binary").write.parquet(zips)
+    lines.groupBy("path", "damaged").applyInPandas(_zipper(), "path string, content binary").write.parquet(zips)
     return banks.unzipped(t.spark.read.parquet(zips))
 
 
@@ -358,7 +356,10 @@ def S9_zipped_presence(t):
 
 @round_trip
 def S9_rejects(t):
-    return banks.balance_rejects(_archive_lines(t))
+    """A number that cannot be read counts once, whatever its pieces."""
+    bad = banks.balance_rejects(_archive_lines(t))
+    rows = F.when(col("reason") == banks.BAD_ARCHIVE, F.lit(1).cast("long")).otherwise(F.sum("rows"))
+    return bad.groupBy(F.nullif(_whole(col("file")), F.lit("")).alias("file"), "reason").agg(rows.alias("rows"))
 
 
 def _piece(t, pieces: int) -> Column:

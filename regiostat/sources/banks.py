@@ -11,7 +11,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,21 +38,26 @@ DAMAGE = (
 )
 
 
-def _lines_of_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _lines_of_zips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unzip each file inside the task and hand its lines on in bounded batches.
 
-    An archive is tested whole, checksums included, before its first line goes on: one that cannot be read costs
+    Beside the batch that Spark sends, one archive is held at a time. An archive is tested whole, checksums included, before its first line goes on: one that cannot be read costs
     only itself and gives one row with the problem and no other.
     """
     for files in batches:
-        for path, content in zip(files["path"], files["content"], strict=True):
+        for path, cell in zip(files.column("path").to_pylist(), files.column("content"), strict=True):
+            content = cell.as_py()
             if not _sound(content):
-                yield pd.DataFrame(
-                    {"path": [path], "header": None, "line": None, "problem": BAD_ARCHIVE}
-                )
+                yield _batch(path, None, [None], BAD_ARCHIVE)
                 continue
             for header, lines in _members(content):
-                yield pd.DataFrame({"path": path, "header": header, "line": lines, "problem": None})
+                yield _batch(path, header, lines, None)
+
+
+def _batch(path: str | None, header: str | None, lines: list[str | None], problem: str | None) -> pa.RecordBatch:
+    n = len(lines)
+    columns = [[path] * n, [header] * n, lines, [problem] * n]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "header", "line", "problem"])
 
 
 def _sound(content: bytes) -> bool:
@@ -86,7 +91,7 @@ def read_zipped_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 def unzipped(files: DataFrame) -> DataFrame:
     """Lines of archives given as (path, content)."""
     ship_package(files.sparkSession)
-    return files.mapInPandas(_lines_of_zips, LINES)
+    return files.select("path", "content").mapInArrow(_lines_of_zips, LINES)
 
 
 def split_cells(c: Column) -> Column:

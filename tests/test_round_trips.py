@@ -4,12 +4,13 @@ import datetime
 import os
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from contract import round_trips as R
 from contract.adapter import DriverTables
 from contract.compare import difference
-from regiostat.sources import movements
+from regiostat.sources import banks, movements
 
 
 def below(folder):
@@ -92,3 +93,35 @@ def test_lines_are_split_once(spark, put):
     assert rows.count() == 1
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(value") == 2  # with and without quotes
+
+
+def test_archives_are_more_with_more_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "ARCHIVE_LINES", 100)
+    t = save(spark, tmp_path, lineitem=lineitem(spark, 5000))
+    given, seen = banks.unzipped, []
+    monkeypatch.setattr(banks, "unzipped", lambda files: seen.append(files) or given(files))
+    assert agrees("S9_zipped_amounts", t) and agrees("S9_rejects", t)
+    sizes = [r["n"] for r in seen[0].select(F.length("content").alias("n")).collect()]
+    assert len(sizes) == 4 * 16 and max(sizes) < sum(sizes) / 16
+
+
+def test_presence_of_archives_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "ARCHIVE_LINES", 50)
+    assert agrees("S9_zipped_presence", save(spark, tmp_path, lineitem=lineitem(spark, 2000)))
+
+
+def orders(spark, n):
+    key = F.col("id")
+    return spark.range(n).select(
+        key.alias("o_orderkey"), (key % 40).alias("o_custkey"), (key / 4).alias("o_totalprice"),
+        F.lit(datetime.date(1995, 2, 3)).alias("o_orderdate"),
+    )
+
+
+@pytest.mark.parametrize("key", ["S5_names_beside_codes", "S17_corrupt_files"])
+def test_files_of_orders_lie_in_one_folder(spark, tmp_path, monkeypatch, key):
+    given, seen = R._folder, []
+    monkeypatch.setattr(R, "_folder", lambda t, name: seen.append(given(t, name)) or seen[-1])
+    assert agrees(key, save(spark, tmp_path, orders=orders(spark, 5000)))
+    folders, files = below(seen[0])
+    assert len(folders) == 1 and len(files) == 25
