@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from regiostat.functions import clean as X
 from regiostat.schemas import TABLE_SCHEMAS
 
+#: Fixed value: stands in no file, so a file is not cut into records.
+NO_SEPARATOR = "\0regiostat: no end of a record\0"
+
 
 def file_stem() -> Column:
     """File name without its extension."""
@@ -52,9 +55,14 @@ def read_coordinates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Whole JSON files (an array gives one row per element) with ``stem`` and ``corrupt``."""
+    """Whole JSON files (an array gives one row per element) with ``stem`` and ``corrupt``.
+
+    A file is one record, of less than 2 GB, whatever its lines. With ``multiLine`` instead, Spark opens the file
+    again for every number that becomes text. In UTF-16, which JSON forbids and ``rejects`` names, such a number
+    gives an empty text.
+    """
     raw = spark.read.schema(f"{schema}, corrupt string").json(
-        path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt"
+        path, lineSep=NO_SEPARATOR, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt"
     )
     return raw.select("*", file_stem().alias("stem"))
 

@@ -341,3 +341,44 @@ def test_an_update_reads_new_files_only(spark, put, tmp_path):
     assert len(list((tmp_path / "sums").glob("batch-*"))) == 2
     assert rows(movements.update_jobs(spark, path, folder)) == wanted
     assert len(list((tmp_path / "sums").glob("batch-*"))) == 2
+
+
+def bytes_read(spark):
+    found = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in found if s.getScheme() == "file")
+
+
+def test_numbers_read_as_text_cost_no_second_reading(spark, put):
+    path = put("n/a.json", [{"data": n, "valor": n / 4} for n in range(2000)])
+    size, before = len(open(path).read()), bytes_read(spark)
+    got = files.read_json(spark, path, "data string, valor string").agg(F.sum("data"), F.sum("valor")).first()
+    assert tuple(got) == (1999000.0, 499750.0)
+    # Some hundred bytes for each of the 4000 numbers before.
+    assert bytes_read(spark) - before < 5 * size
+
+
+ODD_FILES = [
+    "", " \n", "[]", "null", "<html>busy\n</html>\n", '[{"a": 1.10, "b": {"x":  [1, 2]}},\n {"a": "t", "b": null}]\n',
+    '{\r\n "a": 100000000000000000000.50,\r\n "b": true}', '[{"a": "1"}', '{"a": "1"}\n{"a": "2"}\n', '[{"a": "1"}] x', "7",
+    '["x", {"a": 1e3}]', '﻿[{"a": 12, "b": "é\\u0000\\n"}]', '[{"a": "\x01"}]', b'[{"a": "\xff"}]', '[{"n": "x", "a": "k"}]',
+    '[[{"a": 1}]]', '[{"a": 1}, {"n": 2.5}, 3]', '[{"a": "é", "n": 3}]'.encode("utf-16"), "x\0y",
+]
+
+
+@pytest.mark.parametrize("split", [None, "64"])
+def test_whole_json_files_keep_their_rows(spark, put, tmp_path, split):
+    for k, content in enumerate(ODD_FILES):
+        put(f"odd/{k}.json", content)
+    put("odd/long.json", [{"a": n, "b": "x" * 50, "n": n} for n in range(100)])
+    schema = "a string, b string, n int"
+    multi = spark.read.schema(f"{schema}, corrupt string").json(
+        f"{tmp_path}/odd", multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="corrupt"
+    )
+    want = multi.select("*", files.file_stem().alias("stem")).collect()
+    if split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = files.read_json(spark, f"{tmp_path}/odd", schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 110
