@@ -101,9 +101,10 @@ def read_header_row_json(
     ``as_label`` the label column beside the code column is read. A file without one of the
     labels is skipped and reported. Returns (rows with ``value`` and ``_order``, rejects).
     """
+    # A row of its own for the items: a file is parsed once, however many columns and filters read them.
+    items = F.from_json("value", "array<map<string,string>>")
     files = spark.read.text(path, wholetext=True).select(
-        file_stem().alias("stem"),
-        F.from_json("value", "array<map<string,string>>").alias("items"),
+        file_stem().alias("stem"), F.explode(F.array(items)).alias("items")
     )
     header = F.element_at("items", 1)
 

@@ -343,6 +343,14 @@ def test_an_update_reads_new_files_only(spark, put, tmp_path):
     assert len(list((tmp_path / "sums").glob("batch-*"))) == 2
 
 
+def test_labelled_tables_are_parsed_once(spark, put):
+    path = put("p/a.json", [{"D1C": load.PLACE_LABEL, "V": "Valor"}, {"D1C": "1", "V": "2"}])
+    put("p/b.json", "<html>busy</html>")
+    got, bad = files.read_header_row_json(spark, path[:-6], {"place_id": load.PLACE_LABEL})
+    assert rows(got, "place_id", "value") == [("1", 2.0)] and rows(bad) == [("b", "corrupt")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
 def bytes_read(spark):
     found = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
     return sum(s.getBytesRead() for s in found if s.getScheme() == "file")
